@@ -109,8 +109,9 @@ def upsert_inns(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[DataFra
 def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[DataFrame, DataFrame]:
     """Site rows under two unique keys, domain_id and real_domain: (new table, rejects).
 
-    ``rows`` has domain_id, real_domain, seq and value columns of the table,
-    one row per domain (the last one is taken). A row
+    ``rows`` has domain_id, real_domain, seq and value columns of the table.
+    Of several rows of one domain the last one gives the values and the first
+    one the time from which it claims its real_domain. A row
     - of a known domain updates that row, real_domain included;
     - of a new domain with a known real_domain updates the owner of it, which
       keeps its own domain_id;
@@ -121,7 +122,10 @@ def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[
     domains, which then can be sent again. NULL real_domains never clash.
     """
     values = [c for c in existing.columns if c in rows.columns and c not in ("id", "domain_id", "real_domain")]
-    batch = last_per_key(rows.select("domain_id", "real_domain", seq, *values), ["domain_id"], seq)
+    slim = rows.select("domain_id", "real_domain", seq, *values)
+    batch = slim.groupBy("domain_id").agg(
+        F.max(_order(slim, seq, ["domain_id"])).alias("_last"), F.min(seq).alias("_since")
+    ).select("domain_id", *[F.col("_last").getField(c).alias(c) for c in ["real_domain", seq, *values]], "_since")
     body = F.struct(F.col("real_domain"), *[F.col(c) for c in values])
 
     by_domain = existing.select(
@@ -136,7 +140,7 @@ def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[
         batch.join(by_domain, F.col("domain_id") == F.col("_d"), "left")
         .join(by_real, F.col("real_domain") == F.col("_r"), "left")
         .select(
-            "domain_id", "real_domain", F.col(seq).alias("_seq"), body.alias("_body"), "_owner",
+            "domain_id", "real_domain", F.col(seq).alias("_seq"), "_since", body.alias("_body"), "_owner",
             F.coalesce("_held", F.lit(False)).alias("_held"),
             F.when(F.col("_known").isNull(), "new")
             .when(F.col("_old").eqNullSafe(F.col("real_domain")), "stay")
@@ -144,22 +148,23 @@ def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[
             .otherwise("move").alias("_kind"),
         )
     )
-    kind, at = F.col("_kind"), F.struct("_seq", "domain_id")
+    kind = F.col("_kind")
 
     # Free real_domains: the first row takes it. If a mover does, new rows
     # update it; if a new row does, movers are rejected.
     free = placed.where(~F.col("_held") & F.col("real_domain").isNotNull() & kind.isin("new", "move"))
     claims = free.groupBy("real_domain").agg(
-        F.min(F.struct("_seq", "domain_id", "_kind")).alias("_first"),
-        F.min(F.when(kind == "move", F.struct("_seq", "domain_id", "_body"))).alias("_mover"),
-        F.max(F.when(kind == "new", F.struct("_seq", "domain_id", "_body"))).alias("_newest"),
+        F.min(F.struct("_since", "domain_id", "_kind")).alias("_first"),
+        F.min(F.when(kind == "move", F.struct("_since", "domain_id", "_seq", "_body"))).alias("_mover"),
+        F.max(F.when(kind == "new", F.struct("_seq", "_body"))).alias("_newest"),
     )
     mover_wins = F.col("_first")["_kind"] == "move"
-    moved = claims.where(mover_wins).select(F.col("_mover")["domain_id"].alias("_moved"), F.col("_mover")["_seq"].alias("_moved_at"))
+    moved = claims.where(mover_wins).select(F.col("_mover")["domain_id"].alias("_moved"), F.col("_mover")["_since"].alias("_moved_at"))
     moved = moved.unionByName(
-        placed.where(kind == "leave").select(F.col("domain_id").alias("_moved"), F.col("_seq").alias("_moved_at"))
+        placed.where(kind == "leave").select(F.col("domain_id").alias("_moved"), F.col("_since").alias("_moved_at"))
     )
-    last_claim = F.when(mover_wins, F.greatest("_mover", "_newest")).otherwise(F.col("_newest"))
+    mover = F.when(mover_wins, F.struct(F.col("_mover")["_seq"].alias("_seq"), F.col("_mover")["_body"].alias("_body")))
+    last_claim = F.greatest(mover, F.col("_newest"))
     claimed = claims.select(F.col("_first")["domain_id"].alias("_target"), last_claim["_seq"].alias("_seq"), last_claim["_body"].alias("_body"))
 
     # Held real_domains: new rows update the owner, unless it has moved away
@@ -167,8 +172,8 @@ def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[
     guests = placed.where(F.col("_held") & (kind == "new")).join(moved, F.col("_owner") == F.col("_moved"), "left")
     left_behind = F.coalesce(F.col("_seq") > F.col("_moved_at"), F.lit(False))
     guest_groups = guests.groupBy("real_domain", "_owner", left_behind.alias("_free")).agg(
-        F.min(at)["domain_id"].alias("_first_domain"),
-        F.max(F.struct("_seq", "domain_id", "_body")).alias("_last"),
+        F.min(F.struct(F.greatest("_since", "_moved_at"), F.col("domain_id")))["domain_id"].alias("_first_domain"),
+        F.max(F.struct("_seq", "_body")).alias("_last"),
         F.first("_moved_at").alias("_moved_at"),
     )
     hosted = guest_groups.where(F.col("_free") | F.col("_moved_at").isNull()).select(

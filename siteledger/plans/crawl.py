@@ -19,7 +19,6 @@ from ..operators.upsert import (
     assign_ids,
     explode_contacts,
     insert_ignore,
-    last_per_key,
     upsert,
     upsert_domain_info,
     upsert_inns,
@@ -56,13 +55,13 @@ def read_pages(page_fetch: DataFrame, rules: Sequence[Rule] | None = None, sep:
 def site_rows(
     valid: DataFrame, contact_pages: DataFrame, probes: DataFrame, regions: DataFrame, prefixes: DataFrame, sep: str = ""
 ) -> DataFrame:
-    """Valid pages with city, contact-page finds and shop flags."""
+    """Valid attempts with city, contact-page finds and shop flags."""
     # The city comes from the main page alone, before contact pages add to it.
-    numbers = valid.where(F.size("inns") == 0).select("domain_id", F.explode("phones").alias("number"))
-    cities = phone_locations(numbers, prefixes).groupBy(F.col("domain_id").alias("_city_domain_id")).agg(
+    numbers = valid.where(F.size("inns") == 0).select("domain_id", "seq", F.explode("phones").alias("number"))
+    cities = phone_locations(numbers, prefixes).groupBy("domain_id", "seq").agg(
         F.array_sort(F.collect_set("location")).alias("_places")
     )
-    placed = valid.join(cities, F.col("domain_id") == F.col("_city_domain_id"), "left").select(
+    placed = valid.join(cities, ["domain_id", "seq"], "left").select(
         *valid.columns,
         F.when(F.size("inns") > 0, region_names(F.col("inns"), regions))
         .otherwise(F.coalesce("_places", F.array().cast("array<string>")))
@@ -106,10 +105,11 @@ def build_tables(
     def given(df: DataFrame | None, schema) -> DataFrame:
         return spark.createDataFrame([], schema) if df is None else df
 
-    valid = last_per_key(features.where(F.col("page_status") == VALID_STATUS), ["domain_id"], "seq")
+    # Every valid attempt adds its contacts; the site row comes from the last.
     sites = staged(
         site_rows(
-            valid, given(contact_pages, CONTACT_PAGES), given(probes, PROBES), regions, given(prefixes, PHONE_PREFIXES), sep
+            features.where(F.col("page_status") == VALID_STATUS), given(contact_pages, CONTACT_PAGES), given(probes, PROBES), regions,
+            given(prefixes, PHONE_PREFIXES), sep,
         )
     )
     found = explode_contacts(sites)

@@ -97,6 +97,22 @@ def test_upsert_domain_info_equals_row_by_row(spark):
         assert rows(rejects, "domain_id", "seq") == want_rejects, trial
 
 
+def test_repeated_fetches_claim_from_the_first(spark):
+    rng = random.Random(4)
+    for trial in range(4):
+        home = {d: rng.choice(["r1", "r2", "r3", f"own{d}"]) for d in range(1, 12)}
+        existing = [(1, 1, home[1], "old", 5)]
+        batch = [(d, home[d], f"t{s}", s) for s, d in enumerate(rng.choices(range(1, 12), k=40))]
+        table, rejects = upsert_domain_info(
+            spark.createDataFrame(existing, INFO),
+            spark.createDataFrame(batch, "domain_id long, real_domain string, title string, seq long"),
+            "seq",
+        )
+        want, _ = fold_info(existing, batch)
+        assert rows(table, "*") == want, trial
+        assert rejects.count() == 0
+
+
 def test_upsert_domain_info_golden(spark):
     empty = spark.createDataFrame([], INFO)
     batch = spark.createDataFrame([(1, "http://a.ru", "one", 1), (2, "http://a.ru", "two", 2)], "domain_id long, real_domain string, title string, seq long")
