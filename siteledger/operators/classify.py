@@ -104,9 +104,11 @@ def classify_pages(
             condition, first = F.col("_category") == i, _first_hit(low[part], members)
             word = F.when(condition, first) if i == 0 else word.when(condition, first)
     statuses = F.array(*[F.lit(status) for _, status, _ in categories]).cast("array<int>")
+    # Exploding a one-element array keeps the row as it is, but filters on the
+    # outcome stay above it: moved below, they would read every text again.
     return (
         df.select("*", *lowered.values())
-        .select("*", hit.alias("_category"))
+        .select("*", F.explode(F.array(hit)).alias("_category"))
         .select(
             *[F.col(f"`{c}`") for c in df.columns],
             F.get(statuses, F.col("_category")).alias("junk_status"),
