@@ -15,6 +15,9 @@ INN10_WEIGHTS = [2, 4, 10, 3, 5, 9, 4, 6, 8]
 INN12_WEIGHTS_11 = [7, 2, 4, 10, 3, 5, 9, 4, 6, 8]
 INN12_WEIGHTS_12 = [3, 7, 2, 4, 10, 3, 5, 9, 4, 6, 8]
 
+# The same as INN, but the first digit is looked for before what surrounds it.
+_INN_IN_TEXT = r"(?U)[0-9](?<!\w[0-9])[0-9]{9}(?:[0-9]{2})?(?!\w)"
+
 # A hit can only begin where a run of e-mail characters begins or where the
 # last hit ended, so a long run without "@" is read once and not once per
 # character.
@@ -84,5 +87,5 @@ def is_valid_inn(inn: Column, strict_mod10: bool = False) -> Column:
 
 def inns(text: Column, strict_mod10: bool = False) -> Column:
     """Distinct 10- and 12-digit numbers of the text with right check digits."""
-    found = F.array_distinct(_find_all(text, "(?U)" + INN))
+    found = F.array_distinct(_find_all(text, _INN_IN_TEXT))
     return F.filter(found, lambda n: is_valid_inn(n, strict_mod10))

@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 from .strings import clean_text, decode_entities
 
 # The inside of a tag after its name; quoted values may contain ">".
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _HIDDEN = (
-    r"(?is)<script\b[^>]*+>.*?</script\s*+>"
-    r"|<style\b[^>]*+>.*?</style\s*+>"
-    r"|<!--.*?-->"
+    r"(?is)<(?:script\b[^>]*+>.*?</script\s*+>"
+    r"|style\b[^>]*+>.*?</style\s*+>"
+    r"|!--.*?-->)"
 )
 _TAG = rf"(?s)<[/!?a-zA-Z]{_ATTRS}>|<[/!?a-zA-Z][^>]*+>"
 _TITLE = r"(?is)<title(?:\s[^>]*+)?>(.*?)</title\s*+>"
@@ -67,12 +68,26 @@ def text(markup: Column, sep: str = "") -> Column:
 
 def links(markup: Column) -> Column:
     """(href, text) of every anchor that has an href, in page order."""
+
+    def link(anchor: Column) -> Column:
+        return let(
+            F.regexp_extract(anchor, _ANCHOR_HEAD, 0),
+            lambda head: F.when(
+                F.regexp_like(head, F.lit(r"(?is)[\s\"']href\s*+=")),
+                F.struct(
+                    decode_entities(_attribute(head, "href")).alias("href"),
+                    text(F.substr(anchor, F.length(head) + 1)).alias("text"),
+                ),
+            ),
+        )
+
     anchors = F.regexp_extract_all(markup, F.lit(_ANCHOR), F.lit(0))
-    with_href = F.filter(anchors, lambda a: F.regexp_like(F.regexp_extract(a, _ANCHOR_HEAD, 0), F.lit(r"(?is)[\s\"']href\s*+=")))
-    return F.transform(
-        with_href,
-        lambda a: F.struct(
-            decode_entities(_attribute(F.regexp_extract(a, _ANCHOR_HEAD, 0), "href")).alias("href"),
-            text(F.regexp_replace(a, _ANCHOR_HEAD, "")).alias("text"),
-        ),
+    return F.filter(F.transform(anchors, link), lambda a: a.isNotNull())
+
+
+def contact_links(markup: Column) -> Column:
+    """``links`` of pages that may have ``mailto:`` or ``tel:`` ones, else an empty array."""
+    may_have = (
+        F.contains(markup, F.lit("mailto:")) | F.contains(markup, F.lit("tel:")) | F.contains(markup, F.lit("&#"))
     )
+    return F.when(may_have, links(markup)).otherwise(F.array().cast("array<struct<href string, text string>>"))

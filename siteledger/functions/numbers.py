@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 
-def python_round2(col: Column) -> Column:
-    """Round a double to two digits, half to even on its exact binary value.
 
-    ``bround`` works on the printed decimal, so 0.015 (stored slightly below)
-    would go to 0.02. Scaling by a power of two is exact for doubles, which
-    turns the tie test into integer arithmetic.
+def _exact_round2(x: Column) -> Column:
+    """Round a positive double below 2^40; exact also next to a tie.
+
+    Scaling by a power of two is exact for doubles, which turns the tie test
+    into integer arithmetic.
     """
-    x = F.abs(col)
     shift = F.lit(53) - F.floor(F.log2(x)).cast("int")
     scaled = (x * F.pow(F.lit(2.0), shift)).cast("bigint").cast("decimal(20,0)") * F.lit(100)
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), shift).cast("decimal(20,0)")
@@ -29,8 +29,26 @@ def python_round2(col: Column) -> Column:
         .when(rest == -one, -odd)
         .otherwise(F.lit(0))
     )
-    # Below 2^-8 everything rounds to zero; above 2^40 there is no tie to find.
-    small = x < F.lit(2.0 ** -8)
-    large = x >= F.lit(2.0 ** 40)
-    rounded = F.when(small, F.lit(0.0)).when(large, F.bround(x, 2)).otherwise(hundredths / F.lit(100.0))
-    return F.when(col < 0, -rounded).otherwise(rounded)
+    return hundredths / F.lit(100.0)
+
+
+def python_round2(col: Column) -> Column:
+    """Round a double to two digits, half to even on its exact binary value.
+
+    ``bround`` works on the printed decimal, so 0.015 (stored slightly below)
+    would go to 0.02.
+    """
+
+    def rounded(x: Column) -> Column:
+        def by_distance(y: Column) -> Column:
+            clear = (F.abs(y - F.floor(y) - 0.5) > F.lit(1e-6)) & (y < F.lit(4e9))
+            return (
+                F.when(x < F.lit(2.0 ** -8), F.lit(0.0))
+                .when(x >= F.lit(2.0 ** 40), F.bround(x, 2))
+                .when(clear, F.floor(y + 0.5) / F.lit(100.0))
+                .otherwise(_exact_round2(x))
+            )
+
+        return let(x * 100, by_distance)
+
+    return let(col, lambda v: F.signum(v) * let(F.abs(v), rounded))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 # Named HTML entities decoded in text. ``&amp;`` comes last, on
 # its own, so that ``&amp;lt;`` becomes ``&lt;`` and not ``<``.
 NAMED_ENTITIES = {
@@ -31,7 +33,8 @@ NAMED_ENTITIES = {
     "&shy;": "­",
 }
 
-_NUMERIC = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+_NUMERIC = r"#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}"
+_ENTITY = "&(?:" + "|".join([e[1:-1] for e in NAMED_ENTITIES] + [_NUMERIC]) + ");"
 
 
 def python_strip(col: Column) -> Column:
@@ -49,29 +52,32 @@ def sorted_csv(col: Column) -> Column:
     return F.concat_ws(",", F.array_sort(col))
 
 
-def _decode_numeric(col: Column) -> Column:
-    def replace(acc: Column, entity: Column) -> Column:
-        digits = F.regexp_replace(entity, "[&#;xX]", "")
-        is_hex = F.lower(entity).startswith("&#x")
-        code = F.when(is_hex, F.lpad(digits, 8, "0")).otherwise(
-            F.lpad(F.hex(digits.try_cast("bigint")), 8, "0")
-        )
-        number = F.conv(code, 16, 10).try_cast("bigint")
-        known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(code), "UTF-32")
-        return F.when(known, F.replace(acc, entity, char)).otherwise(acc)
-
-    found = F.array_distinct(F.regexp_extract_all(col, F.lit(_NUMERIC), F.lit(0)))
-    return F.when(F.contains(col, F.lit("&#")), F.aggregate(found, col, replace)).otherwise(col)
+def _numeric_char(entity: Column) -> Column:
+    """Character of a numeric reference; NULL when there is none."""
+    digits = F.regexp_replace(entity, "[&#;xX]", "")
+    is_hex = F.lower(entity).startswith("&#x")
+    code = F.when(is_hex, digits).otherwise(F.hex(digits.try_cast("bigint")))
+    padded = F.lpad(code, 8, "0")
+    number = F.conv(padded, 16, 10).try_cast("bigint")
+    known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    return F.when(known, F.decode(F.unhex(padded), "UTF-32"))
 
 
 def decode_entities(col: Column) -> Column:
     """Decode named and numeric character references; unknown ones stay."""
-    decoded = col
-    for entity, char in NAMED_ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    decoded = F.replace(_decode_numeric(decoded), F.lit("&amp;"), F.lit("&"))
-    return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
+    names = F.create_map(*[F.lit(x) for pair in NAMED_ENTITIES.items() for x in pair])
+
+    def replace(text: Column, entity: Column) -> Column:
+        char = F.when(F.substring(entity, 1, 2) == F.lit("&#"), _numeric_char(entity)).otherwise(F.try_element_at(names, entity))
+        return F.replace(text, entity, F.coalesce(char, entity))
+
+    def decode(text: Column) -> Column:
+        # One search finds what occurs at all; few references are to be replaced.
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)))
+        decoded = F.replace(F.aggregate(found, text, replace), F.lit("&amp;"), F.lit("&"))
+        return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+    return let(col, decode)
 
 
 def company_names(col: Column) -> Column:

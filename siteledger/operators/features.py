@@ -22,15 +22,19 @@ def with_texts(pages: DataFrame, html_col: str = "html", sep: str = "") -> DataF
     )
 
 
-def with_contacts(pages: DataFrame, only: Column | None = None) -> DataFrame:
-    """Add links, emails, phones and inns; rows outside ``only`` get NULLs at no cost."""
+def with_contacts(pages: DataFrame, only: Column | None = None, all_links: bool = True) -> DataFrame:
+    """Add links, emails, phones and inns; rows outside ``only`` get NULLs at no cost.
+
+    Without ``all_links`` the links are read only where a contact may be in them.
+    """
 
     def guarded(value: Column) -> Column:
         return value if only is None else F.when(only, value)
 
     # Each step is its own projection, so that the costly columns are computed
     # once although later ones use them several times.
-    return pages.select("*", guarded(html.links(F.col("_markup"))).alias("links")).select(
+    links = html.links if all_links else html.contact_links
+    return pages.select("*", guarded(links(F.col("_markup"))).alias("links")).select(
         "*",
         guarded(contacts.emails(F.col("text"), F.col("links"))).alias("emails"),
         guarded(contacts.phones(F.col("text"), F.col("links"))).alias("phones"),

@@ -72,7 +72,7 @@ def _contacts(pages: DataFrame, sep: str) -> DataFrame:
     """Contacts of each contact page next to its other columns, html dropped."""
     rest = [c for c in pages.columns if c != "html"]
     marked = pages.select(*rest, html.strip_hidden(F.col("html")).alias("_markup"))
-    read = marked.select(*rest, html.text(F.col("_markup"), sep).alias("_text"), html.links(F.col("_markup")).alias("_links"))
+    read = marked.select(*rest, html.text(F.col("_markup"), sep).alias("_text"), html.contact_links(F.col("_markup")).alias("_links"))
     t, a = F.col("_text"), F.col("_links")
     return read.select(
         *rest, contacts.emails(t, a).alias("emails"), contacts.phones(t, a).alias("phones"), contacts.inns(t).alias("inns")

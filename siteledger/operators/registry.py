@@ -163,7 +163,9 @@ def read_documents(docs: DataFrame) -> DataFrame:
     """
     parsed = docs.select(
         "inn_id", "inn", "doc",
-        F.from_json("doc", DOC_SCHEMA, {"columnNameOfCorruptRecord": "_bad"}).alias("_j"),
+        # Exploding a one-element array keeps the row as it is, but filters on
+        # the parsed document stay above it and do not parse it again.
+        F.explode(F.array(F.from_json("doc", DOC_SCHEMA, {"columnNameOfCorruptRecord": "_bad"}))).alias("_j"),
     )
     org = F.col("_j").getField("СвЮЛ")
     parts = parsed.select(

@@ -40,9 +40,11 @@ def category_votes(pages: DataFrame, tags: DataFrame, text: Column, key: str = "
     without a hit come out once with tag_id and votes NULL.
     """
     words, patterns = _split_tags(tags)
+    known = sorted({word for word, _ in words})
     item = "array<struct<word string, tag_id int, n bigint>>"
+    # Words that are no tag leave before the rows fan out.
     spoken = F.transform(
-        F.regexp_extract_all("_text", F.lit(r"(?U)\w+"), F.lit(0)),
+        F.filter(F.regexp_extract_all("_text", F.lit(r"(?U)\w+"), F.lit(0)), lambda w: w.isin(known)),
         lambda w: F.struct(w.alias("word"), F.lit(None).cast("int").alias("tag_id"), F.lit(1).cast("bigint").alias("n")),
     )
     searched = [

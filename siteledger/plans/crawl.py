@@ -49,7 +49,7 @@ def read_pages(page_fetch: DataFrame, rules: Sequence[Rule] | None = None, sep:
     judged = page_status(classify_pages(texts.drop("html"), rules)).withColumns(
         {c: F.when(F.col("is_page"), F.col(c)) for c in ("junk_status", "banword", "page_status")}
     )
-    return with_contacts(judged, F.col("page_status") == VALID_STATUS).drop("_markup", "text", "links")
+    return with_contacts(judged, F.col("page_status") == VALID_STATUS, all_links=False).drop("_markup", "text", "links")
 
 
 def site_rows(
