@@ -16,6 +16,7 @@ from .features import extract_features
 from .filters import first_n, id_bounds, portion, retry_set, search_domains, with_domain
 from .lookups import (
     category_tags,
+    contact_finds,
     deal_properties,
     delete_where,
     inn_regions,

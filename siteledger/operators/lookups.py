@@ -9,6 +9,9 @@ from ..functions import contacts, html
 from ..functions.strings import python_strip
 from .sizing import broadcast_if_small
 
+CONTACT_KINDS = ("emails", "phones", "inns")
+
+
 def category_tags(category: DataFrame, subcategory: DataFrame, tags: DataFrame) -> DataFrame:
     """Category name, subcategory name, tag text and tag id.
 
@@ -79,36 +82,60 @@ def _contacts(pages: DataFrame, sep: str) -> DataFrame:
     )
 
 
-def merge_contact_pages(main: DataFrame, contact_pages: DataFrame, sep: str = "") -> DataFrame:
-    """Add finds of the contact pages to sites whose main page has no e-mail.
+def _contact_items(contact_pages: DataFrame, sep: str) -> DataFrame:
+    """(domain_id, failed, item) with one row per contact of a page that answered 200.
+
+    Pages without a find keep one row, as they may carry the failure. Contacts
+    are read before any shuffle, so HTML never moves.
+    """
+    usable = (F.col("status") == 200) & ~F.coalesce(F.col("failed"), F.lit(False))
+    pages = contact_pages.select("domain_id", "failed", F.when(usable, F.col("html")).alias("html"))
+
+    def tagged(kind: str) -> Column:
+        values = F.coalesce(F.col(kind), F.array().cast("array<string>"))
+        return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+    items = F.concat(*[tagged(kind) for kind in CONTACT_KINDS])
+    return _contacts(pages, sep).select("domain_id", "failed", F.explode_outer(items).alias("item"))
+
+
+def contact_finds(contact_pages: DataFrame, sep: str = "") -> DataFrame:
+    """Distinct (domain_id, kind, value) of all contact pages; kind is emails, phones or inns.
 
     Only pages with status 200 count, and one failed request drops all contact
-    pages of its domain. Contacts are read before the shuffle, so HTML never
-    moves, and are made distinct on the map side.
+    pages of its domain. Both steps combine on the map side, so a domain with
+    very many pages is no burden to one task.
     """
-    fetched = contact_pages.withColumn(
-        "html", F.when((F.col("status") == 200) & ~F.coalesce(F.col("failed"), F.lit(False)), F.col("html"))
+    items = _contact_items(contact_pages, sep)
+    failed = contact_pages.where("failed").select("domain_id").distinct()
+    return (
+        items.where(F.col("item").isNotNull())
+        .select("domain_id", "item.kind", "item.value")
+        .distinct()
+        .join(failed, "domain_id", "left_anti")
     )
-    found = _contacts(fetched.select("domain_id", "failed", "html"), sep)
-    kinds = ("emails", "phones", "inns")
 
-    def tagged(kind: str) -> Column:
-        return F.transform(F.coalesce(F.col(kind), F.array().cast("array<string>")), lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
-    # explode_outer keeps pages without a find, which may carry the failure.
-    items = found.select("domain_id", "failed", F.explode_outer(F.concat(*[tagged(k) for k in kinds])).alias("item"))
+def merge_contact_pages(main: DataFrame, contact_pages: DataFrame, sep: str = "") -> DataFrame:
+    """Add finds of the contact pages to sites whose main page has no e-mail.
+
+    The lists hold what is distinct per domain; ``contact_finds`` gives the
+    same finds as rows.
+    """
+    items = _contact_items(contact_pages, sep)
     merged = items.groupBy("domain_id").agg(
         F.coalesce(F.bool_or("failed"), F.lit(False)).alias("_failed"),
         *[
             F.array_sort(F.collect_set(F.when(F.col("item.kind") == k, F.col("item.value")))).alias(f"_{k}")
-            for k in kinds
+            for k in CONTACT_KINDS
         ],
     ).withColumnRenamed("domain_id", "_contact_domain_id")
     use = (F.size("emails") == 0) & F.col("_failed").isNotNull() & ~F.col("_failed")
     joined = main.join(merged, F.col("domain_id") == F.col("_contact_domain_id"), "left")
     return joined.select(
         *[
-            F.when(use, F.array_union(F.col(c), F.col(f"_{c}"))).otherwise(F.col(c)).alias(c) if c in kinds else F.col(c)
+            F.when(use, F.array_union(F.col(c), F.col(f"_{c}"))).otherwise(F.col(c)).alias(c)
+            if c in CONTACT_KINDS else F.col(c)
             for c in main.columns
         ]
     )
@@ -145,9 +172,9 @@ def shop_flags(sites: DataFrame, probes: DataFrame) -> DataFrame:
 
 def deal_properties(ids: DataFrame, deals: DataFrame, key: str = "id") -> DataFrame:
     """Full deal rows for a list of deal ids."""
-    return deals.join(ids.select(key), key, "left_semi")
+    return deals.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def delete_where(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     """Rows whose key is not among the ids to delete."""
-    return df.join(ids.select(key), key, "left_anti")
+    return df.join(ids.select(key).distinct(), key, "left_anti")

@@ -8,7 +8,10 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sizing import broadcast_if_small
+
 MAX_TAG_ROWS = 100_000
+MAX_LISTED_WORDS = 20_000
 
 
 def _split_tags(tags: DataFrame) -> tuple[Counter, list[tuple[int, str]]]:
@@ -41,10 +44,11 @@ def category_votes(pages: DataFrame, tags: DataFrame, text: Column, key: str = "
     """
     words, patterns = _split_tags(tags)
     known = sorted({word for word, _ in words})
+    all_words = F.regexp_extract_all("_text", F.lit(r"(?U)\w+"), F.lit(0))
     item = "array<struct<word string, tag_id int, n bigint>>"
     # Words that are no tag leave before the rows fan out.
     spoken = F.transform(
-        F.filter(F.regexp_extract_all("_text", F.lit(r"(?U)\w+"), F.lit(0)), lambda w: w.isin(known)),
+        F.filter(all_words, lambda w: w.isin(known)) if len(known) <= MAX_LISTED_WORDS else all_words,
         lambda w: F.struct(w.alias("word"), F.lit(None).cast("int").alias("tag_id"), F.lit(1).cast("bigint").alias("n")),
     )
     searched = [
@@ -62,7 +66,7 @@ def category_votes(pages: DataFrame, tags: DataFrame, text: Column, key: str = "
         "word string, word_tag_id int, weight bigint",
     )
     items = pages.select(key, text.alias("_text")).select(key, F.explode_outer(F.concat(spoken.cast(item), found)).alias("i"))
-    hits = items.join(F.broadcast(vocabulary), F.col("i.word") == F.col("word"), "left").select(
+    hits = items.join(broadcast_if_small(vocabulary), F.col("i.word") == F.col("word"), "left").select(
         key, F.coalesce("word_tag_id", "i.tag_id").alias("tag_id"), (F.coalesce("weight", F.lit(1)) * F.col("i.n")).alias("n")
     )
     return hits.groupBy(key, "tag_id").agg(F.sum(F.when(F.col("tag_id").isNotNull(), F.col("n"))).alias("votes"))

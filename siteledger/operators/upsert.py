@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from .sizing import shared_dir
 
+# Parts into which the rows of one key are spread where a join needs all of them.
+SALTS = 32
+
 
 def _order(df: DataFrame, seq: str, keys: Sequence[str] = ()) -> Column:
     """Total order of update rows: seq first, then every other column."""
@@ -22,15 +25,16 @@ def _order(df: DataFrame, seq: str, keys: Sequence[str] = ()) -> Column:
     return F.struct(F.col(seq), *[F.col(f"`{c}`") for c in rest])
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str], seq: str, pick) -> DataFrame:
-    """The first (F.min) or last (F.max) row of each key."""
-    rows = df.groupBy(*keys).agg(pick(_order(df, seq, keys)).alias("_row"))
-    return rows.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns])
+def _one_per_key(df: DataFrame, keys: Sequence[str], seq: str, pick, *more: Column) -> DataFrame:
+    """The first (F.min) or last (F.max) row of each key, with more aggregates."""
+    rows = df.groupBy(*keys).agg(pick(_order(df, seq, keys)).alias("_row"), *more)
+    fields = [F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns]
+    return rows.select(*fields, *rows.columns[len(keys) + 1:])
 
 
-def last_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    """The row with the highest seq of each key."""
-    return _one_per_key(df, keys, seq, F.max)
+def last_per_key(df: DataFrame, keys: Sequence[str], seq: str, first_seq: str | None = None) -> DataFrame:
+    """The row with the highest seq of each key; ``first_seq`` names a column for the lowest one."""
+    return _one_per_key(df, keys, seq, F.max, *([F.min(seq).alias(first_seq)] if first_seq else []))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
@@ -106,12 +110,13 @@ def upsert_inns(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[DataFra
     return table, rejected.select(*rows.columns)
 
 
-def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[DataFrame, DataFrame]:
+def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str, first_seq: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Site rows under two unique keys, domain_id and real_domain: (new table, rejects).
 
     ``rows`` has domain_id, real_domain, seq and value columns of the table.
     Of several rows of one domain the last one gives the values and the first
-    one the time from which it claims its real_domain. A row
+    one (or the column ``first_seq``) the time from which it claims its
+    real_domain. A row
     - of a known domain updates that row, real_domain included;
     - of a new domain with a known real_domain updates the owner of it, which
       keeps its own domain_id;
@@ -122,68 +127,81 @@ def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[
     domains, which then can be sent again. NULL real_domains never clash.
     """
     values = [c for c in existing.columns if c in rows.columns and c not in ("id", "domain_id", "real_domain")]
-    slim = rows.select("domain_id", "real_domain", seq, *values)
+    slim = rows.select("domain_id", "real_domain", seq, *values, F.col(first_seq or seq).alias("_since"))
     batch = slim.groupBy("domain_id").agg(
-        F.max(_order(slim, seq, ["domain_id"])).alias("_last"), F.min(seq).alias("_since")
+        F.max(_order(slim.drop("_since"), seq, ["domain_id"])).alias("_last"), F.min("_since").alias("_since")
     ).select("domain_id", *[F.col("_last").getField(c).alias(c) for c in ["real_domain", seq, *values]], "_since")
     body = F.struct(F.col("real_domain"), *[F.col(c) for c in values])
 
     by_domain = existing.select(
         F.col("domain_id").alias("_d"), F.col("real_domain").alias("_old"), F.lit(True).alias("_known")
     ).where(F.col("_d").isNotNull())
-    by_real = existing.select(F.col("real_domain").alias("_r"), F.col("domain_id").alias("_owner"), F.lit(True).alias("_held")).where(
-        F.col("_r").isNotNull()
-    )
-    # Hot real_domains sit on the left of a left join with unique right keys,
-    # a shape adaptive execution splits.
-    placed = (
-        batch.join(by_domain, F.col("domain_id") == F.col("_d"), "left")
-        .join(by_real, F.col("real_domain") == F.col("_r"), "left")
-        .select(
-            "domain_id", "real_domain", F.col(seq).alias("_seq"), "_since", body.alias("_body"), "_owner",
-            F.coalesce("_held", F.lit(False)).alias("_held"),
-            F.when(F.col("_known").isNull(), "new")
-            .when(F.col("_old").eqNullSafe(F.col("real_domain")), "stay")
-            .when(F.col("real_domain").isNull(), "leave")
-            .otherwise("move").alias("_kind"),
-        )
+    placed = batch.join(by_domain, F.col("domain_id") == F.col("_d"), "left").select(
+        "domain_id", "real_domain", F.col(seq).alias("_seq"), "_since", body.alias("_body"),
+        F.when(F.col("_known").isNull(), "new")
+        .when(F.col("_old").eqNullSafe(F.col("real_domain")), "stay")
+        .when(F.col("real_domain").isNull(), "leave")
+        .otherwise("move").alias("_kind"),
     )
     kind = F.col("_kind")
+    is_claim = F.col("real_domain").isNotNull() & kind.isin("new", "move")
 
-    # Free real_domains: the first row takes it. If a mover does, new rows
-    # update it; if a new row does, movers are rejected.
-    free = placed.where(~F.col("_held") & F.col("real_domain").isNotNull() & kind.isin("new", "move"))
-    claims = free.groupBy("real_domain").agg(
+    # One row per wanted real_domain, combined on the map side, before the
+    # holders are looked up: a name wanted by a third of all rows stays cheap.
+    wanted = placed.where(is_claim).groupBy("real_domain").agg(
         F.min(F.struct("_since", "domain_id", "_kind")).alias("_first"),
         F.min(F.when(kind == "move", F.struct("_since", "domain_id", "_seq", "_body"))).alias("_mover"),
         F.max(F.when(kind == "new", F.struct("_seq", "_body"))).alias("_newest"),
     )
-    mover_wins = F.col("_first")["_kind"] == "move"
-    moved = claims.where(mover_wins).select(F.col("_mover")["domain_id"].alias("_moved"), F.col("_mover")["_since"].alias("_moved_at"))
-    moved = moved.unionByName(
-        placed.where(kind == "leave").select(F.col("domain_id").alias("_moved"), F.col("_since").alias("_moved_at"))
+    holders = existing.where(F.col("real_domain").isNotNull()).select(
+        F.col("real_domain").alias("_r"), F.col("domain_id").alias("_owner"), F.lit(True).alias("_held")
     )
+    claims = wanted.join(holders, F.col("real_domain") == F.col("_r"), "left")
+
+    # Free real_domains: the first row takes it. If a mover does, new rows
+    # update it; if a new row does, movers are rejected.
+    free = claims.where(F.col("_held").isNull())
+    mover_wins = F.col("_first")["_kind"] == "move"
     mover = F.when(mover_wins, F.struct(F.col("_mover")["_seq"].alias("_seq"), F.col("_mover")["_body"].alias("_body")))
     last_claim = F.greatest(mover, F.col("_newest"))
-    claimed = claims.select(F.col("_first")["domain_id"].alias("_target"), last_claim["_seq"].alias("_seq"), last_claim["_body"].alias("_body"))
-
-    # Held real_domains: new rows update the owner, unless it has moved away
-    # before them; then the first of them takes the name.
-    guests = placed.where(F.col("_held") & (kind == "new")).join(moved, F.col("_owner") == F.col("_moved"), "left")
-    left_behind = F.coalesce(F.col("_seq") > F.col("_moved_at"), F.lit(False))
-    guest_groups = guests.groupBy("real_domain", "_owner", left_behind.alias("_free")).agg(
-        F.min(F.struct(F.greatest("_since", "_moved_at"), F.col("domain_id")))["domain_id"].alias("_first_domain"),
-        F.max(F.struct("_seq", "_body")).alias("_last"),
-        F.first("_moved_at").alias("_moved_at"),
+    claimed = free.select(
+        F.col("_first")["domain_id"].alias("_target"), last_claim["_seq"].alias("_seq"), last_claim["_body"].alias("_body")
+    )
+    moved = free.where(mover_wins).select(
+        F.col("_mover")["domain_id"].alias("_moved"), F.col("_mover")["_since"].alias("_moved_at")
+    ).unionByName(
+        placed.where(kind == "leave").select(F.col("domain_id").alias("_moved"), F.col("_since").alias("_moved_at"))
+    )
+
+    # Held real_domains: new rows update the owner that stays.
+    held = claims.where(F.col("_held") & F.col("_newest").isNotNull()).join(moved, F.col("_owner") == F.col("_moved"), "left")
+    hosted = held.where(F.col("_moved").isNull()).select(
+        F.col("_owner").alias("_target"), F.col("_newest")["_seq"].alias("_seq"), F.col("_newest")["_body"].alias("_body")
+    )
+    # Where the owner moves away, rows before that are overwritten by its own;
+    # the first row after it takes the name. These few names meet their rows
+    # salted, so that a much wanted one is spread over the tasks.
+    salt = F.pmod(F.xxhash64("domain_id"), F.lit(SALTS))
+    left = held.where(F.col("_moved").isNotNull()).select(
+        F.col("real_domain").alias("_left"), "_moved_at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("_salt")
+    )
+    after = (
+        placed.where(is_claim & (kind == "new")).withColumn("_s", salt)
+        .join(left, (F.col("real_domain") == F.col("_left")) & (F.col("_s") == F.col("_salt")))
+        .where(F.col("_seq") > F.col("_moved_at"))
+        .groupBy("real_domain")
+        .agg(
+            F.min(F.struct(F.greatest("_since", "_moved_at"), F.col("domain_id")))["domain_id"].alias("_target"),
+            F.max(F.struct("_seq", "_body")).alias("_last"),
+        )
+        .select("_target", F.col("_last")["_seq"].alias("_seq"), F.col("_last")["_body"].alias("_body"))
     )
-    hosted = guest_groups.where(F.col("_free") | F.col("_moved_at").isNull()).select(
-        F.when(F.col("_free"), F.col("_first_domain")).otherwise(F.col("_owner")).alias("_target"),
-        F.col("_last")["_seq"].alias("_seq"), F.col("_last")["_body"].alias("_body"),
+    own = placed.where(kind.isin("stay", "leave") | F.col("real_domain").isNull()).select(
+        F.col("domain_id").alias("_target"), "_seq", "_body"
     )
-    own = placed.where((kind == "stay") | F.col("real_domain").isNull()).select(F.col("domain_id").alias("_target"), "_seq", "_body")
 
     changes = (
-        own.unionByName(claimed).unionByName(hosted)
+        own.unionByName(claimed).unionByName(hosted).unionByName(after)
         .groupBy("_target").agg(F.max(F.struct("_seq", "_body")).alias("_last"))
         .select("_target", F.col("_last")["_body"].alias("_new"))
     )

@@ -12,13 +12,14 @@ from ..functions.strings import sorted_csv
 from ..functions.urls import is_https, is_www
 from ..operators.classify import VALID_STATUS, classify_pages, page_status, resolve_status
 from ..operators.features import with_contacts, with_texts
-from ..operators.lookups import merge_contact_pages, phone_locations, region_names, shop_flags
+from ..operators.lookups import contact_finds, phone_locations, region_names, shop_flags
 from ..operators.rules import Rule
 from ..operators.sizing import staged
 from ..operators.upsert import (
     assign_ids,
     explode_contacts,
     insert_ignore,
+    last_per_key,
     upsert,
     upsert_domain_info,
     upsert_inns,
@@ -52,22 +53,51 @@ def read_pages(page_fetch: DataFrame, rules: Sequence[Rule] | None = None, sep:
     return with_contacts(judged, F.col("page_status") == VALID_STATUS, all_links=False).drop("_markup", "text", "links")
 
 
+def last_pages(features: DataFrame) -> DataFrame:
+    """The last valid page of each site, with ``first_seq`` of its first one."""
+    return last_per_key(features.where(F.col("page_status") == VALID_STATUS), ["domain_id"], "seq", "first_seq")
+
+
 def site_rows(
-    valid: DataFrame, contact_pages: DataFrame, probes: DataFrame, regions: DataFrame, prefixes: DataFrame, sep: str = ""
+    last: DataFrame, finds: DataFrame, probes: DataFrame, regions: DataFrame, prefixes: DataFrame
 ) -> DataFrame:
-    """Valid attempts with city, contact-page finds and shop flags."""
+    """Last pages with city, tax ids of the contact pages and shop flags."""
     # The city comes from the main page alone, before contact pages add to it.
-    numbers = valid.where(F.size("inns") == 0).select("domain_id", "seq", F.explode("phones").alias("number"))
-    cities = phone_locations(numbers, prefixes).groupBy("domain_id", "seq").agg(
+    numbers = last.where(F.size("inns") == 0).select("domain_id", F.explode("phones").alias("number"))
+    cities = phone_locations(numbers, prefixes).groupBy("domain_id").agg(
         F.array_sort(F.collect_set("location")).alias("_places")
     )
-    placed = valid.join(cities, ["domain_id", "seq"], "left").select(
-        *valid.columns,
-        F.when(F.size("inns") > 0, region_names(F.col("inns"), regions))
-        .otherwise(F.coalesce("_places", F.array().cast("array<string>")))
-        .alias("cities"),
+    more = finds.where(F.col("kind") == "inns").groupBy("domain_id").agg(F.collect_list("value").alias("_more"))
+    none = F.array().cast("array<string>")
+    city = F.when(F.size("inns") > 0, region_names(F.col("inns"), regions)).otherwise(F.coalesce("_places", none))
+    inns = F.when(F.size("emails") == 0, F.array_union("inns", F.coalesce("_more", none))).otherwise(F.col("inns"))
+    merged = last.join(cities, "domain_id", "left").join(more, "domain_id", "left").select(
+        *[inns.alias("inns") if c == "inns" else F.col(c) for c in last.columns], city.alias("cities")
+    )
+    return shop_flags(merged, probes)
+
+
+def contact_rows(features: DataFrame, finds: DataFrame) -> dict[str, DataFrame]:
+    """Rows for the contact tables: finds of every valid page and of contact pages.
+
+    Contact pages count for sites with a valid page without e-mail. Tax ids
+    come at the first and the last such page, as their owner is the last site.
+    """
+    valid = features.where(F.col("page_status") == VALID_STATUS)
+    needy = valid.where(F.size("emails") == 0).groupBy("domain_id").agg(
+        F.min("seq").alias("_first"), F.max("seq").alias("_last")
+    )
+    more = finds.join(needy, "domain_id").select(
+        "domain_id", "kind", "value", F.explode(F.array_distinct(F.array("_first", "_last"))).alias("seq")
     )
-    return shop_flags(merge_contact_pages(placed, contact_pages, sep), probes)
+    tables = explode_contacts(valid)
+    kinds = {"domain_phones": "phones", "domain_emails": "emails", "domain_inns": "inns", "inns": "inns"}
+    for name, kind in kinds.items():
+        rows = tables[name]
+        value = next(c for c in rows.columns if c not in ("domain_id", "seq"))
+        extra = more.where(F.col("kind") == kind).select("domain_id", "seq", F.col("value").alias(value))
+        tables[name] = rows.unionByName(extra)
+    return tables
 
 
 def domain_info_rows(sites: DataFrame, run_date: str) -> DataFrame:
@@ -79,8 +109,7 @@ def domain_info_rows(sites: DataFrame, run_date: str) -> DataFrame:
         F.coalesce("ip", F.lit("")).alias("ip"),
         # Columns every row gets alike.
         F.lit("").alias("country"), F.lit(0).alias("tag_id"), F.lit("").alias("license_type"),
-        F.lit("Отсутствует").alias("status"),
-        "is_ecommerce", "has_catalog", F.lit(run_date).cast("date").alias("last_updated"), "seq",
+        "is_ecommerce", "has_catalog", F.lit(run_date).cast("date").alias("last_updated"), "seq", "first_seq",
     )
 
 
@@ -105,18 +134,16 @@ def build_tables(
     def given(df: DataFrame | None, schema) -> DataFrame:
         return spark.createDataFrame([], schema) if df is None else df
 
-    # Every valid attempt adds its contacts; the site row comes from the last.
-    sites = staged(
-        site_rows(
-            features.where(F.col("page_status") == VALID_STATUS), given(contact_pages, CONTACT_PAGES), given(probes, PROBES), regions,
-            given(prefixes, PHONE_PREFIXES), sep,
-        )
+    finds = staged(contact_finds(given(contact_pages, CONTACT_PAGES), sep))
+    sites = site_rows(last_pages(features), finds, given(probes, PROBES), regions, given(prefixes, PHONE_PREFIXES))
+    found = contact_rows(features, finds)
+    info, info_rejects = upsert_domain_info(
+        tables["domain_info"], staged(domain_info_rows(sites, run_date)), "seq", first_seq="first_seq"
     )
-    found = explode_contacts(sites)
-    info, info_rejects = upsert_domain_info(tables["domain_info"], _keep_status(domain_info_rows(sites, run_date)), "seq")
     # Among the tax ids of one site the lowest counts as found first.
     order = F.struct("seq", "inn")
     inns, inns_rejects = upsert_inns(tables["inns"], found["inns"].withColumn("seq", order), "seq")
+    # A CRM label that a crawl never changes; new sites start with this one.
     info = info.withColumn("status", F.coalesce("status", F.lit("Отсутствует")))
     out = {
         "domains": resolve_status(tables["domains"], features.select(*ATTEMPT_COLUMNS)),
@@ -135,11 +162,6 @@ def build_tables(
     return {**out, "domain_info_rejects": info_rejects, "inns_rejects": inns_rejects.withColumn("seq", F.col("seq.seq"))}
 
 
-def _keep_status(rows: DataFrame) -> DataFrame:
-    """``status`` of domain_info is a CRM label that a crawl never changes."""
-    return rows.drop("status")
-
-
 def with_new_ids(table: DataFrame, order: Sequence[str]) -> DataFrame:
     """Give rows without an id the next free ids."""
     table = staged(table)
