@@ -68,6 +68,13 @@ def _(spark, sf):
     return sources.read_inns_csv(spark, path)
 
 
+@register("s4_json_rows", planted_sql("inn_rows") + "SELECT inn, domain_id FROM inn_rows")
+def _(spark, sf):
+    path = _scratch(spark, "inn-arrays")
+    sources.write_json_arrays(planted(spark, sf, "inn_rows").repartition(8, "inn"), path)
+    return sources.read_json_rows(spark, path)
+
+
 @register("s5_inns_with_domain", planted_sql("inn_rows") + "SELECT inn, domain_id FROM inn_rows WHERE domain_id IS NOT NULL")
 def _(spark, sf):
     path = _scratch(spark, "inns-json")

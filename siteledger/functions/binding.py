@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,3 +15,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     not shared, above all inside lambdas.
     """
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def text_list(values: Sequence[str]) -> Column:
+    """An array of constant strings as one literal, folded by the optimizer."""
+    if any("\n" in value for value in values):
+        return F.array(*[F.lit(value) for value in values])
+    return F.split(F.lit("\n".join(values)), "\n")

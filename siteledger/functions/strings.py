@@ -65,7 +65,8 @@ def _numeric_char(entity: Column) -> Column:
 
 def decode_entities(col: Column) -> Column:
     """Decode named and numeric character references; unknown ones stay."""
-    names = F.create_map(*[F.lit(x) for pair in NAMED_ENTITIES.items() for x in pair])
+    pairs = "\n".join(f"{entity}={char}" for entity, char in NAMED_ENTITIES.items())
+    names = F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("="))
 
     def replace(text: Column, entity: Column) -> Column:
         char = F.when(F.substring(entity, 1, 2) == F.lit("&#"), _numeric_char(entity)).otherwise(F.try_element_at(names, entity))

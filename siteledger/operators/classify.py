@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import reduce
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.binding import text_list
 from .rules import PARTS, Rule, default_rules
 
 VALID_STATUS = 200
@@ -42,10 +42,6 @@ def _literal_piece(rule: Rule) -> str:
     return max(rule.pattern.lower().split("."), key=len)
 
 
-def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
 def _hits(text: Column, rules: Sequence[Rule]) -> Column:
     """Whether any rule of one category hits the lower-cased text.
 
@@ -55,14 +51,13 @@ def _hits(text: Column, rules: Sequence[Rule]) -> Column:
     matched = F.rlike(text, F.lit(f"(?U){alternation}"))
     pieces = [_literal_piece(r) for r in rules]
     if all(pieces):
-        return _any([F.contains(text, F.lit(p)) for p in dict.fromkeys(pieces)]) & matched
+        return F.exists(text_list(list(dict.fromkeys(pieces))), lambda p: F.contains(text, p)) & matched
     return matched
 
 
 def _first_hit(text: Column, rules: Sequence[Rule]) -> Column:
     """The first pattern of a category that hits; looked up for junk pages only."""
-    patterns = F.array(*[F.lit(_regex(r)) for r in rules])
-    hits = F.filter(patterns, lambda p: F.rlike(text, F.concat(F.lit("(?U)"), p)))
+    hits = F.filter(text_list([_regex(r) for r in rules]), lambda p: F.rlike(text, F.concat(F.lit("(?U)"), p)))
     return F.get(hits, F.lit(0))
 
 
@@ -103,7 +98,7 @@ def classify_pages(
         for i, (part, _, members) in enumerate(categories):
             condition, first = F.col("_category") == i, _first_hit(low[part], members)
             word = F.when(condition, first) if i == 0 else word.when(condition, first)
-    statuses = F.array(*[F.lit(status) for _, status, _ in categories]).cast("array<int>")
+    statuses = text_list([str(status) for _, status, _ in categories]).cast("array<int>") if categories else F.array().cast("array<int>")
     # Exploding a one-element array keeps the row as it is, but filters on the
     # outcome stay above it: moved below, they would read every text again.
     return (

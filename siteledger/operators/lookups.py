@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import contacts, html
+from ..functions.binding import text_list
 from ..functions.strings import python_strip
 from .sizing import broadcast_if_small
 
@@ -41,9 +42,9 @@ def region_names(inns: Column, regions: DataFrame) -> Column:
     """
     rows = regions.where(F.col("id").between(0, 99)).select("id", "region").collect()
     names = dict(sorted((r["id"], (r["region"] or "").strip()) for r in rows))
-    by_code = F.array(*[F.lit(names.get(i)).cast("string") for i in range(100)])
+    by_code = text_list([(names.get(i) or "").replace("\n", " ") for i in range(100)])
     found = F.transform(inns, lambda n: F.get(by_code, F.substring(n, 1, 2).try_cast("int")))
-    return F.filter(found, lambda r: r.isNotNull())
+    return F.filter(found, lambda r: r != F.lit(""))
 
 
 def phone_locations(phones: DataFrame, prefixes: DataFrame) -> DataFrame:

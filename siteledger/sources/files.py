@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,3 +73,26 @@ def read_json_rows(spark: SparkSession, path: str, schema: T.StructType = INN_RO
 def write_inns_json(inns: DataFrame, path: str) -> None:
     """Write the tax ids that belong to a domain, one JSON object per line."""
     with_domain(inns).write.mode("overwrite").json(path)
+
+
+def _as_array(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines of one JSON array out of the JSON objects of a partition."""
+    yield pd.DataFrame({"value": ["["]})
+    comma = ""
+    for batch in batches:
+        if len(batch):
+            lines = "," + batch["value"]
+            lines.iloc[0] = comma + batch["value"].iloc[0]
+            comma = ","
+            yield pd.DataFrame({"value": lines})
+    yield pd.DataFrame({"value": ["]"]})
+
+
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """Write files that each hold one JSON array, the form ``read_json_rows`` reads.
+
+    Every partition is one file, so none should be large: an array is read
+    back by a single task.
+    """
+    objects = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    objects.mapInPandas(_as_array, "value string").write.mode("overwrite").text(path)
