@@ -9,9 +9,10 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.binding import text_list
+from ..functions.binding import let, text_list
 from .rules import PARTS, Rule, default_rules
 
+_SEPARATOR = "\x1f"
 VALID_STATUS = 200
 JUNK_BITRIX_STATUS = 228
 
@@ -55,10 +56,18 @@ def _hits(text: Column, rules: Sequence[Rule]) -> Column:
     return matched
 
 
-def _first_hit(text: Column, rules: Sequence[Rule]) -> Column:
-    """The first pattern of a category that hits; looked up for junk pages only."""
-    hits = F.filter(text_list([_regex(r) for r in rules]), lambda p: F.rlike(text, F.concat(F.lit("(?U)"), p)))
-    return F.get(hits, F.lit(0))
+def _first_hit(categories: Sequence[tuple[str, int, list[Rule]]], low: dict[str, Column]) -> Column:
+    """The first pattern that hits in the category found; looked up for junk pages only."""
+    category = F.col("_category")
+    patterns = text_list([_SEPARATOR.join(_regex(r) for r in members) for _, _, members in categories])
+    part = F.get(text_list([str(PARTS.index(p)) for p, _, _ in categories]).cast("array<int>"), category)
+    hits = let(
+        F.get(F.array(*[low[p] for p in PARTS]), part),
+        lambda text: F.filter(
+            F.split(F.get(patterns, category), _SEPARATOR), lambda p: F.rlike(text, F.concat(F.lit("(?U)"), p))
+        ),
+    )
+    return F.when(category.isNotNull(), F.get(hits, F.lit(0)))
 
 
 def _categories(rules: Sequence[Rule]):
@@ -89,15 +98,12 @@ def classify_pages(
     }
     low = {part: F.col(f"_low_{part}") for part in PARTS}
     categories = list(_categories(rules))
-    hit = F.lit(None).cast("int")
-    word = F.lit(None).cast("string")
+    hit, word = F.lit(None).cast("int"), F.lit(None).cast("string")
     if categories:
         for i, (part, _, members) in enumerate(categories):
             condition = _hits(low[part], members)
             hit = F.when(condition, F.lit(i)) if i == 0 else hit.when(condition, F.lit(i))
-        for i, (part, _, members) in enumerate(categories):
-            condition, first = F.col("_category") == i, _first_hit(low[part], members)
-            word = F.when(condition, first) if i == 0 else word.when(condition, first)
+        word = _first_hit(categories, low)
     statuses = text_list([str(status) for _, status, _ in categories]).cast("array<int>") if categories else F.array().cast("array<int>")
     # Exploding a one-element array keeps the row as it is, but filters on the
     # outcome stay above it: moved below, they would read every text again.
