@@ -7,13 +7,13 @@ side, so a key with a third of all updates reaches the join as one row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import shared_dir
+from .sizing import shared_dir, staged
 
 # Parts into which the rows of one key are spread where a join needs all of them.
 SALTS = 32
@@ -42,12 +42,43 @@ def first_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     return _one_per_key(df, keys, seq, F.min)
 
 
-def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str], seq: str) -> DataFrame:
+def _merge(existing: DataFrame, changes: DataFrame, keys: Mapping[str, str], value, id_col: str | None) -> DataFrame:
+    """Existing rows changed and new ones added; ``changes`` has one row per key.
+
+    ``keys`` maps key columns to those of the changes, ``value`` gives each
+    output column from the joined row. With ``id_col`` new rows get the next
+    free ids; only the changes are staged for that, never the table.
+    """
+    on = [F.col(k) == F.col(c) for k, c in keys.items()]
+    types = {f.name: f.dataType for f in existing.schema.fields}
+
+    def pick(joined: DataFrame) -> DataFrame:
+        return joined.select(*[value(c).cast(types[c]).alias(c) for c in existing.columns])
+
+    if id_col is None:
+        return pick(existing.join(changes, on, "full_outer"))
+    changes = staged(changes)
+    new = changes.join(existing.select(*keys), on, "left_anti").select(
+        "*", *[F.lit(None).cast(types[c]).alias(c) for c in existing.columns]
+    )
+    return pick(existing.join(changes, on, "left")).unionByName(_numbered(existing, pick(new), list(keys), id_col))
+
+
+def _numbered(existing: DataFrame, new: DataFrame, order: Sequence[str], id_col: str) -> DataFrame:
+    """New rows with ids that follow the highest one of the table."""
+    start = existing.agg(F.max(id_col)).first()[0] or 0
+    return assign_ids(new.drop(id_col), start, order, id_col)
+
+
+def upsert(
+    existing: DataFrame, updates: DataFrame, keys: Sequence[str], update_cols: Sequence[str], seq: str,
+    id_col: str | None = None,
+) -> DataFrame:
     """Last write wins on ``update_cols``; a known key keeps its other columns.
 
     A new key takes every column the first update of the key has, then the
     update columns of the last one. Columns missing from the updates stay
-    NULL on new rows.
+    NULL on new rows, but for ``id_col``, which then gets the next free ids.
     """
     given = [c for c in existing.columns if c in updates.columns and c not in keys]
     on_insert = [c for c in given if c not in update_cols]
@@ -57,7 +88,6 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str], update_
     if on_insert:
         aggregates.append(F.min(order).alias("_first"))
     u = slim.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(*aggregates)
-    joined = existing.join(u, [F.col(k) == F.col(f"_k_{k}") for k in keys], "full_outer")
     is_update, is_new = F.col("_last").isNotNull(), reduce(lambda a, b: a & b, [F.col(k).isNull() for k in keys])
 
     def value(c: str) -> Column:
@@ -69,18 +99,23 @@ def upsert(existing: DataFrame, updates: DataFrame, keys: Sequence[str], update_
             return F.when(is_update & is_new, F.col("_first").getField(c)).otherwise(F.col(c))
         return F.col(c)
 
-    return joined.select(*[value(c).cast(existing.schema[c].dataType).alias(c) for c in existing.columns])
+    return _merge(existing, u, {k: f"_k_{k}" for k in keys}, value, id_col)
 
 
-def insert_ignore(existing: DataFrame, rows: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
+def insert_ignore(
+    existing: DataFrame, rows: DataFrame, keys: Sequence[str], seq: str, id_col: str | None = None
+) -> DataFrame:
     """Keep-first: rows with a known key change nothing, the first new one is added."""
     new = first_per_key(rows, keys, seq).join(existing.select(*keys), list(keys), "left_anti")
-    return existing.unionByName(
-        new.select(*[F.col(c) for c in existing.columns if c in new.columns]), allowMissingColumns=True
-    )
+    new = new.select(*[c for c in existing.columns if c in new.columns])
+    if id_col is not None:
+        new = _numbered(existing, new, keys, id_col)
+    return existing.unionByName(new, allowMissingColumns=True)
 
 
-def upsert_inns(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[DataFrame, DataFrame]:
+def upsert_inns(
+    existing: DataFrame, rows: DataFrame, seq: str, id_col: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Owners of tax ids: (new table, rejected rows).
 
     ``rows``: inn, domain_id, seq. A row with a domain sets the owner (last
@@ -92,14 +127,13 @@ def upsert_inns(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[DataFra
         F.min(seq).alias("_first_seq"),
         F.max(F.when(has_domain, F.struct(F.col(seq), F.col("domain_id")))).alias("_owner"),
     )
-    joined = existing.join(per_inn, F.col("inn") == F.col("_inn"), "full_outer")
-    owner = F.coalesce(F.col("_owner")["domain_id"], F.col("domain_id"))
-    table = joined.select(
-        *[
-            F.coalesce("inn", "_inn").alias("inn") if c == "inn" else owner.alias(c) if c == "domain_id" else F.col(c)
-            for c in existing.columns
-        ]
-    )
+
+    def value(c: str) -> Column:
+        if c == "domain_id":
+            return F.coalesce(F.col("_owner")["domain_id"], F.col("domain_id"))
+        return F.coalesce("inn", "_inn") if c == "inn" else F.col(c)
+
+    table = _merge(existing, per_inn, {"inn": "_inn"}, value, id_col)
     plain = rows.where(~has_domain)
     first = per_inn.select("_inn", "_first_seq").join(
         existing.select(F.col("inn").alias("_inn"), F.lit(True).alias("_known")), "_inn", "left"
@@ -110,7 +144,9 @@ def upsert_inns(existing: DataFrame, rows: DataFrame, seq: str) -> tuple[DataFra
     return table, rejected.select(*rows.columns)
 
 
-def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str, first_seq: str | None = None) -> tuple[DataFrame, DataFrame]:
+def upsert_domain_info(
+    existing: DataFrame, rows: DataFrame, seq: str, first_seq: str | None = None, id_col: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Site rows under two unique keys, domain_id and real_domain: (new table, rejects).
 
     ``rows`` has domain_id, real_domain, seq and value columns of the table.
@@ -205,8 +241,6 @@ def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str, first_seq
         .groupBy("_target").agg(F.max(F.struct("_seq", "_body")).alias("_last"))
         .select("_target", F.col("_last")["_body"].alias("_new"))
     )
-    joined = existing.join(changes, F.col("domain_id") == F.col("_target"), "full_outer")
-
     def value(c: str) -> Column:
         if c == "domain_id":
             return F.coalesce("domain_id", "_target")
@@ -214,7 +248,7 @@ def upsert_domain_info(existing: DataFrame, rows: DataFrame, seq: str, first_seq
             return F.when(F.col("_new").isNotNull(), F.col("_new").getField(c)).otherwise(F.col(c))
         return F.col(c)
 
-    table = joined.select(*[value(c).cast(existing.schema[c].dataType).alias(c) for c in existing.columns])
+    table = _merge(existing, changes, {"domain_id": "_target"}, value, id_col)
     movers = placed.where(kind == "move").join(moved, F.col("domain_id") == F.col("_moved"), "left_anti")
     rejects = movers.select("domain_id", "real_domain", F.col("_seq").alias(seq), *[F.col("_body").getField(c).alias(c) for c in values])
     return table, rejects

@@ -16,11 +16,9 @@ from ..operators.lookups import contact_finds, phone_locations, region_names, sh
 from ..operators.rules import Rule
 from ..operators.sizing import staged
 from ..operators.upsert import (
-    assign_ids,
     explode_contacts,
     insert_ignore,
     last_per_key,
-    upsert,
     upsert_domain_info,
     upsert_inns,
 )
@@ -138,36 +136,23 @@ def build_tables(
     sites = site_rows(last_pages(features), finds, given(probes, PROBES), regions, given(prefixes, PHONE_PREFIXES))
     found = contact_rows(features, finds)
     info, info_rejects = upsert_domain_info(
-        tables["domain_info"], staged(domain_info_rows(sites, run_date)), "seq", first_seq="first_seq"
+        tables["domain_info"], staged(domain_info_rows(sites, run_date)), "seq", first_seq="first_seq", id_col="id"
     )
     # Among the tax ids of one site the lowest counts as found first.
     order = F.struct("seq", "inn")
-    inns, inns_rejects = upsert_inns(tables["inns"], found["inns"].withColumn("seq", order), "seq")
-    # A CRM label that a crawl never changes; new sites start with this one.
-    info = info.withColumn("status", F.coalesce("status", F.lit("Отсутствует")))
-    out = {
+    inns, inns_rejects = upsert_inns(tables["inns"], found["inns"].withColumn("seq", order), "seq", id_col="id")
+    first_inns = found["domain_inns"].withColumn("seq", order)
+    return {
         "domains": resolve_status(tables["domains"], features.select(*ATTEMPT_COLUMNS)),
-        "domain_info": info,
-        "domain_phones": upsert(tables["domain_phones"], found["domain_phones"], ["domain_id", "number"], [], "seq"),
-        "domain_emails": upsert(tables["domain_emails"], found["domain_emails"], ["domain_id", "email"], [], "seq"),
-        "domain_inns": insert_ignore(tables["domain_inns"], found["domain_inns"].withColumn("seq", order), ["domain_id"], "seq"),
+        # A CRM label that a crawl never changes; new sites start with this one.
+        "domain_info": info.withColumn("status", F.coalesce("status", F.lit("Отсутствует"))),
+        "domain_phones": insert_ignore(tables["domain_phones"], found["domain_phones"], ["domain_id", "number"], "seq", "id"),
+        "domain_emails": insert_ignore(tables["domain_emails"], found["domain_emails"], ["domain_id", "email"], "seq", "id"),
+        "domain_inns": insert_ignore(tables["domain_inns"], first_inns, ["domain_id"], "seq", "id"),
         "inns": inns,
+        "domain_info_rejects": info_rejects,
+        "inns_rejects": inns_rejects.withColumn("seq", F.col("seq.seq")),
     }
-    id_order = {
-        "domain_info": ["domain_id"], "domain_phones": ["domain_id", "number"], "domain_emails": ["domain_id", "email"],
-        "domain_inns": ["domain_id"], "inns": ["inn"],
-    }
-    for name, by in id_order.items():
-        out[name] = with_new_ids(out[name], by)
-    return {**out, "domain_info_rejects": info_rejects, "inns_rejects": inns_rejects.withColumn("seq", F.col("seq.seq"))}
-
-
-def with_new_ids(table: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Give rows without an id the next free ids."""
-    table = staged(table)
-    start = table.agg(F.max("id")).first()[0] or 0
-    new = assign_ids(table.where(F.col("id").isNull()).drop("id"), start, order)
-    return table.where(F.col("id").isNotNull()).unionByName(new)
 
 
 def crawl(
