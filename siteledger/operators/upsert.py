@@ -172,13 +172,14 @@ def upsert_domain_info(
     by_domain = existing.select(
         F.col("domain_id").alias("_d"), F.col("real_domain").alias("_old"), F.lit(True).alias("_known")
     ).where(F.col("_d").isNotNull())
-    placed = batch.join(by_domain, F.col("domain_id") == F.col("_d"), "left").select(
+    # Written once, as what follows looks at these rows from several sides.
+    placed = staged(batch.join(by_domain, F.col("domain_id") == F.col("_d"), "left").select(
         "domain_id", "real_domain", F.col(seq).alias("_seq"), "_since", body.alias("_body"),
         F.when(F.col("_known").isNull(), "new")
         .when(F.col("_old").eqNullSafe(F.col("real_domain")), "stay")
         .when(F.col("real_domain").isNull(), "leave")
         .otherwise("move").alias("_kind"),
-    )
+    ))
     kind = F.col("_kind")
     is_claim = F.col("real_domain").isNotNull() & kind.isin("new", "move")
 
@@ -192,7 +193,7 @@ def upsert_domain_info(
     holders = existing.where(F.col("real_domain").isNotNull()).select(
         F.col("real_domain").alias("_r"), F.col("domain_id").alias("_owner"), F.lit(True).alias("_held")
     )
-    claims = wanted.join(holders, F.col("real_domain") == F.col("_r"), "left")
+    claims = staged(wanted.join(holders, F.col("real_domain") == F.col("_r"), "left"))
 
     # Free real_domains: the first row takes it. If a mover does, new rows
     # update it; if a new row does, movers are rejected.

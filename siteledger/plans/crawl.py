@@ -136,7 +136,7 @@ def build_tables(
     sites = site_rows(last_pages(features), finds, given(probes, PROBES), regions, given(prefixes, PHONE_PREFIXES))
     found = contact_rows(features, finds)
     info, info_rejects = upsert_domain_info(
-        tables["domain_info"], staged(domain_info_rows(sites, run_date)), "seq", first_seq="first_seq", id_col="id"
+        tables["domain_info"], domain_info_rows(sites, run_date), "seq", first_seq="first_seq", id_col="id"
     )
     # Among the tax ids of one site the lowest counts as found first.
     order = F.struct("seq", "inn")
