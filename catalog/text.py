@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from siteledger import functions as fn
 from siteledger.functions.contacts import EMAIL
-from siteledger.functions.strings import NAMED_ENTITIES
 from siteledger.operators import category_votes, extract_features, identify_category, region_names
 
 from . import register, table
@@ -18,9 +17,12 @@ SQL_TAG = r"""(?s)<[/!?a-zA-Z](?:[^>"'']|"[^"]*"|''[^'']*'')*>|<[/!?a-zA-Z][^>]*
 SQL_PHONE = r"\+?[78][\s(-]{0,2}[0-9]{3,4}[\s)]?[\s-]?[0-9\s-]{0,4}[0-9\s-]{0,5}"
 
 
+# References that occur in the page table and in the derived pages.
+SQL_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": "\u00a0", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+
+
 def sql_decode(expr: str) -> str:
-    for entity, char in {**NAMED_ENTITIES, "&amp;": "&"}.items():
-        char = char.replace("'", "''")
+    for entity, char in SQL_ENTITIES.items():
         expr = f"replace({expr}, '{entity}', '{char}')"
     return expr
 

@@ -2,39 +2,19 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .binding import let
 
-# Named HTML entities decoded in text. ``&amp;`` comes last, on
-# its own, so that ``&amp;lt;`` becomes ``&lt;`` and not ``<``.
-NAMED_ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&nbsp;": " ",
-    "&copy;": "©",
-    "&reg;": "®",
-    "&trade;": "™",
-    "&laquo;": "«",
-    "&raquo;": "»",
-    "&ndash;": "–",
-    "&mdash;": "—",
-    "&middot;": "·",
-    "&bull;": "•",
-    "&hellip;": "…",
-    "&lsquo;": "‘",
-    "&rsquo;": "’",
-    "&ldquo;": "“",
-    "&rdquo;": "”",
-    "&euro;": "€",
-    "&shy;": "­",
-}
+# Named references of HTML 4 and ``&apos;``. ``&amp;`` is decoded last, on its
+# own, so that ``&amp;lt;`` becomes ``&lt;`` and not ``<``.
+NAMED_ENTITIES = {f"&{name};": chr(code) for name, code in name2codepoint.items() if name != "amp"} | {"&apos;": "'"}
 
 _NUMERIC = r"#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}"
-_ENTITY = "&(?:" + "|".join([e[1:-1] for e in NAMED_ENTITIES] + [_NUMERIC]) + ");"
+_ENTITY = f"&(?:[a-zA-Z][a-zA-Z0-9]{{1,9}}|{_NUMERIC});"
 
 
 def python_strip(col: Column) -> Column:
@@ -74,7 +54,7 @@ def decode_entities(col: Column) -> Column:
 
     def decode(text: Column) -> Column:
         # One search finds what occurs at all; few references are to be replaced.
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0)))
+        found = F.array_remove(F.array_distinct(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))), F.lit("&amp;"))
         decoded = F.replace(F.aggregate(found, text, replace), F.lit("&amp;"), F.lit("&"))
         return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
 

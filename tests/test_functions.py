@@ -95,6 +95,13 @@ def test_emails_equal_plain_scan(spark):
     assert hits > 50
 
 
+def test_named_entities(spark):
+    import html
+
+    text = "&eacute;&Uuml;&nbsp;&laquo;x&raquo; &apos;&hellip;&sup2; &alpha; a&b; &amp;eacute; &amp;amp; & ; &euro;"
+    assert one(spark, text, fn.decode_entities) == html.unescape(text)
+
+
 def test_numeric_entities(spark):
     assert one(spark, "&#1071; &#x42F; &amp;lt; &lt;&copy; &#128512; &#0; &bogus;", fn.decode_entities) == "Я Я &lt; <© 😀 &#0; &bogus;"
 
