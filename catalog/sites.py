@@ -35,7 +35,7 @@ from siteledger.streaming import refresh_tables, stream_pages
 from . import register, table
 from .planted import HTML, INN10, INN12, TITLE, planted, planted_sql
 from .reports import SQL_IS_PAGE, SQL_SITE_HIT
-from .text import SQL_PLANTED_INNS, sql_clean, sql_decode, sql_markup, sql_set, sql_text
+from .text import SQL_PLANTED_INNS, SQL_PLANTED_PHONES, sql_clean, sql_decode, sql_markup, sql_set, sql_text
 
 # A short rule list whose words occur in the page table.
 RULES = [
@@ -190,15 +190,16 @@ SQL_CONTACTS = """, c AS (SELECT domain_id, bool_or(failed) AS failed,
     FROM (SELECT o_custkey AS domain_id, o_orderkey, o_orderstatus, o_orderkey % 53 = 9 AS failed FROM orders) GROUP BY domain_id) """
 
 
-@register("j4_merge_contact_pages", planted_sql("page_fetch") + SQL_CONTACTS + f""", m AS (SELECT domain_id,
+@register("j4_merge_contact_pages", planted_sql("page_fetch") + SQL_CONTACTS + """, m AS (SELECT domain_id,
     CASE WHEN domain_id % 2 = 1 THEN ['u' || domain_id || '@ex' || (domain_id % 7) || '.com'] WHEN domain_id % 6 = 0 THEN ['Info' || domain_id || '@Firm.co.uk'] ELSE [] END AS emails
-    FROM page_fetch)
-    SELECT m.domain_id, {sql_set("CASE WHEN len(emails) = 0 AND NOT failed THEN coalesce(e, []) ELSE emails END")} AS emails
-    FROM m LEFT JOIN c ON m.domain_id = c.domain_id""")
+    FROM page_fetch), more AS (SELECT m.domain_id, e, t FROM m JOIN c ON m.domain_id = c.domain_id WHERE len(emails) = 0 AND NOT failed)
+    SELECT domain_id, 'emails' AS kind, unnest(emails) AS value FROM m UNION SELECT domain_id, 'emails', unnest(e) FROM more
+    UNION SELECT domain_id, 'phones', unnest(t) FROM more UNION SELECT c_custkey, 'inns', unnest(%s) FROM customer UNION SELECT c_custkey, 'phones',
+    unnest(string_split(%s, ',')) FROM customer WHERE %s <> ''""".replace("%s", "{}").format(
+    SQL_PLANTED_INNS, SQL_PLANTED_PHONES, SQL_PLANTED_PHONES))
 def _(spark, sf):
     main = extract_features(planted(spark, sf, "page_fetch")).select("domain_id", "emails", "phones", "inns")
-    merged = merge_contact_pages(main, planted(spark, sf, "contact_pages"))
-    return merged.select("domain_id", sorted_csv(F.col("emails")).alias("emails"))
+    return merge_contact_pages(main, planted(spark, sf, "contact_pages"))
 
 
 SQL_PROBES = """, pr AS (SELECT domain_id,

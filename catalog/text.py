@@ -118,8 +118,12 @@ def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", fn.sorted_csv(fn.phones(F.col("text"), no_links)).alias("phones"))
 
 
-@register("t7_phones_planted", f"""SELECT c_custkey AS domain_id, {sql_phones(
-    "(" + sql_text(HTML) + " || CASE WHEN c_custkey % 3 = 1 THEN ' x +7 (495) 123-' || lpad(CAST(c_custkey % 10000 AS STRING), 4, '0') ELSE '' END)")} AS phones FROM customer""")
+SQL_PLANTED_PHONES = sql_phones(
+    "(" + sql_text(HTML) + " || CASE WHEN c_custkey % 3 = 1 THEN ' x +7 (495) 123-' || lpad(CAST(c_custkey % 10000 AS STRING), 4, '0') ELSE '' END)"
+)
+
+
+@register("t7_phones_planted", f"SELECT c_custkey AS domain_id, {SQL_PLANTED_PHONES} AS phones FROM customer")
 def _(spark, sf):
     return extract_features(planted(spark, sf, "page_fetch")).select("domain_id", fn.sorted_csv(F.col("phones")).alias("phones"))
 

@@ -83,63 +83,46 @@ def _contacts(pages: DataFrame, sep: str) -> DataFrame:
     )
 
 
-def _contact_items(contact_pages: DataFrame, sep: str) -> DataFrame:
-    """(domain_id, failed, item) with one row per contact of a page that answered 200.
-
-    Pages without a find keep one row, as they may carry the failure. Contacts
-    are read before any shuffle, so HTML never moves.
-    """
-    usable = (F.col("status") == 200) & ~F.coalesce(F.col("failed"), F.lit(False))
-    pages = contact_pages.select("domain_id", "failed", F.when(usable, F.col("html")).alias("html"))
+def _items() -> Column:
+    """The emails, phones and inns arrays as one array of (kind, value)."""
 
     def tagged(kind: str) -> Column:
         values = F.coalesce(F.col(kind), F.array().cast("array<string>"))
         return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
 
-    items = F.concat(*[tagged(kind) for kind in CONTACT_KINDS])
-    return _contacts(pages, sep).select("domain_id", "failed", F.explode_outer(items).alias("item"))
+    return F.concat(*[tagged(kind) for kind in CONTACT_KINDS])
 
 
 def contact_finds(contact_pages: DataFrame, sep: str = "") -> DataFrame:
     """Distinct (domain_id, kind, value) of all contact pages; kind is emails, phones or inns.
 
     Only pages with status 200 count, and one failed request drops all contact
-    pages of its domain. Both steps combine on the map side, so a domain with
-    very many pages is no burden to one task.
+    pages of its domain. Contacts are read before any shuffle, so HTML never
+    moves, and made distinct on the map side, so that a domain with very many
+    pages is no burden to one task.
     """
-    items = _contact_items(contact_pages, sep)
+    pages = contact_pages.where((F.col("status") == 200) & ~F.coalesce(F.col("failed"), F.lit(False)))
     failed = contact_pages.where("failed").select("domain_id").distinct()
     return (
-        items.where(F.col("item").isNotNull())
+        _contacts(pages.select("domain_id", "html"), sep)
+        .select("domain_id", F.explode(_items()).alias("item"))
         .select("domain_id", "item.kind", "item.value")
         .distinct()
-        .join(failed, "domain_id", "left_anti")
+        .join(broadcast_if_small(failed), "domain_id", "left_anti")
     )
 
 
 def merge_contact_pages(main: DataFrame, contact_pages: DataFrame, sep: str = "") -> DataFrame:
-    """Add finds of the contact pages to sites whose main page has no e-mail.
+    """All contacts of the sites as distinct rows (domain_id, kind, value).
 
-    The lists hold what is distinct per domain; ``contact_finds`` gives the
-    same finds as rows.
+    ``main`` has domain_id, emails, phones and inns of the main pages. Sites
+    without an e-mail there also get the finds of their contact pages. Rows
+    and not lists, so that no domain has to fit in one cell.
     """
-    items = _contact_items(contact_pages, sep)
-    merged = items.groupBy("domain_id").agg(
-        F.coalesce(F.bool_or("failed"), F.lit(False)).alias("_failed"),
-        *[
-            F.array_sort(F.collect_set(F.when(F.col("item.kind") == k, F.col("item.value")))).alias(f"_{k}")
-            for k in CONTACT_KINDS
-        ],
-    ).withColumnRenamed("domain_id", "_contact_domain_id")
-    use = (F.size("emails") == 0) & F.col("_failed").isNotNull() & ~F.col("_failed")
-    joined = main.join(merged, F.col("domain_id") == F.col("_contact_domain_id"), "left")
-    return joined.select(
-        *[
-            F.when(use, F.array_union(F.col(c), F.col(f"_{c}"))).otherwise(F.col(c)).alias(c)
-            if c in CONTACT_KINDS else F.col(c)
-            for c in main.columns
-        ]
-    )
+    own = main.select("domain_id", F.explode(_items()).alias("item")).select("domain_id", "item.kind", "item.value")
+    needy = main.where(F.size("emails") == 0).select("domain_id").distinct()
+    more = contact_finds(contact_pages, sep).join(needy, "domain_id", "left_semi")
+    return own.unionByName(more).distinct()
 
 
 def shop_flags(sites: DataFrame, probes: DataFrame) -> DataFrame:

@@ -70,10 +70,7 @@ def test_contact_pages(spark):
     ]
     got = merge_contact_pages(main, spark.createDataFrame(pages, CONTACT_PAGES))
     assert rows(got, "*") == [
-        (1, ["a@b.ru", "c@d.ru"], ["7"], ["7707083893"]),
-        (2, ["m@x.ru"], [], []),
-        (3, [], [], []),
-        (4, [], [], []),
+        (1, "emails", "a@b.ru"), (1, "emails", "c@d.ru"), (1, "inns", "7707083893"), (1, "phones", "7"), (2, "emails", "m@x.ru"),
     ]
 
 
