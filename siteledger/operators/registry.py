@@ -160,16 +160,18 @@ def read_documents(docs: DataFrame) -> DataFrame:
     """(inn_id, inn, doc) to one flat row per document, its lists as arrays.
 
     ``is_rejected`` marks missing documents and those that are no JSON object.
+    A ``seq`` column, if there is one, is kept.
     """
+    given = ["inn_id", "inn", "doc", *[c for c in docs.columns if c == "seq"]]
     parsed = docs.select(
-        "inn_id", "inn", "doc",
+        *given,
         # Exploding a one-element array keeps the row as it is, but filters on
         # the parsed document stay above it and do not parse it again.
         F.explode(F.array(F.from_json("doc", DOC_SCHEMA, {"columnNameOfCorruptRecord": "_bad"}))).alias("_j"),
     )
     org = F.col("_j").getField("СвЮЛ")
     parts = parsed.select(
-        "inn_id", "inn", "doc",
+        *given,
         (
             F.col("doc").isNull() | F.col("_j").isNull() | F.col("_j").getField("_bad").isNotNull()
             | ~F.ltrim("doc").startswith("{")
@@ -186,7 +188,7 @@ def read_documents(docs: DataFrame) -> DataFrame:
     msp = F.try_element_at(fin, F.lit("msp")).getField(ATTRS)
     staff = F.try_element_at(fin, F.lit(EMPLOYEES_YEAR)).getField(ATTRS)["n"]
     flat = parts.select(
-        "inn_id", "inn", "doc", "is_rejected",
+        *given, "is_rejected",
         clean_name(_get(o, "СвНаимЮЛ", ATTRS, "НаимЮЛПолн")).alias("name"),
         clean_name(_get(o, "СвНаимЮЛ", ATTRS, "НаимЮЛСокр")).alias("short_name"),
         _get(o, ATTRS, "ПолнНаимОПФ").alias("type"),
@@ -237,17 +239,24 @@ COMPANY_INFO_COLUMNS = [
 ]
 
 
-def registry_tables(read: DataFrame) -> dict[str, DataFrame]:
-    """The company tables and the rejects out of ``read_documents``."""
+def registry_tables(read: DataFrame, order: bool = False) -> dict[str, DataFrame]:
+    """The company tables and the rejects out of ``read_documents``.
+
+    With ``order`` the rows carry ``seq``: the one of their document, then
+    their place in it.
+    """
     good = read.where(~F.col("is_rejected"))
+    seq = F.col("seq") if "seq" in read.columns else F.lit(0)
 
     def child(array: str) -> DataFrame:
-        return good.select("inn_id", "inn", F.explode(array).alias("_e")).select("inn_id", "inn", "_e.*")
+        rows = good.select("inn_id", "inn", seq.alias("_seq"), F.posexplode(array).alias("_pos", "_e"))
+        return rows.select("inn_id", "inn", "_e.*", *([F.struct("_seq", "_pos").alias("seq")] if order else []))
 
-    finances = child("finances")
+    # Keys that start like a year but hold no number name no year.
+    finances = child("finances").withColumn("year", F.col("year").try_cast("int")).where(F.col("year").isNotNull())
     return {
-        "company_info": good.select(*COMPANY_INFO_COLUMNS),
-        "company_finances": finances.withColumn("year", F.col("year").try_cast("int")),
+        "company_info": good.select(*COMPANY_INFO_COLUMNS, *([seq.alias("seq")] if order else [])),
+        "company_finances": finances,
         "company_founders": child("founders"),
         "company_additional_activities": child("activities"),
         "rejects": read.where("is_rejected").select("inn_id", "inn", "doc"),

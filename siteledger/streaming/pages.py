@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +27,7 @@ def stream_pages(
 
     def log_features(batch: DataFrame, batch_id: int) -> None:
         read_pages(batch, rules, sep).write.mode("overwrite").parquet(f"{root}/features/batch_id={batch_id}")
+        announce(batch.sparkSession, root, "features", batch_id)
 
     pages = spark.readStream.schema(PAGE_FETCH).option("maxFilesPerTrigger", max_files).parquet(in_dir)
     query = (
@@ -37,19 +37,10 @@ def stream_pages(
         .start()
     )
     query.awaitTermination()
-    last = _last_batch(spark, root)
+    last = latest_snapshot(spark, root, "features")
     return -1 if last is None else last
 
 
-def _last_batch(spark: SparkSession, root: str) -> int | None:
-    try:
-        return spark.read.parquet(f"{root}/features").agg(F.max("batch_id")).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def refresh_tables(spark: SparkSession, root: str, **inputs) -> int:
     """Fold the logged batches since the last refresh into new table snapshots.
 
@@ -57,11 +48,12 @@ def refresh_tables(spark: SparkSession, root: str, **inputs) -> int:
     between. A refresh that broke off is simply run again: folding a batch
     into a table that already has it changes nothing.
     """
-    upto, base = _last_batch(spark, root), latest_snapshot(spark, root, "refresh")
+    upto, base = latest_snapshot(spark, root, "features"), latest_snapshot(spark, root, "refresh")
     if upto is None or upto == base:
         return -1 if upto is None else upto
+    first = 0 if base is None else base + 1
     tables = {name: read_table(spark, root, name) for name in SITE_TABLES}
-    features = spark.read.parquet(f"{root}/features").where(F.col("batch_id") > (-1 if base is None else base))
+    features = spark.read.parquet(f"{root}/features").where(F.col("batch_id").between(first, upto))
     new = build_tables(tables, features.drop("batch_id"), **inputs)
     for name in SITE_TABLES:
         write_table(new[name], root, name)

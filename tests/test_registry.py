@@ -132,3 +132,24 @@ def test_load_twice_changes_nothing(spark, docs):
         assert once[name].schema == TABLES[name]
         assert sorted(map(repr, once[name].collect())) == sorted(map(repr, twice[name].collect()))
     assert once["company_finances"].count() == 4
+
+
+def test_later_documents_and_entries_win(spark):
+    def doc(name, founders, **fin):
+        body = {"СвЮЛ": {"СвНаимЮЛ": {A: {"НаимЮЛПолн": name}}, "СвУчредит": {"УчрФЛ": founders}},
+                "fin": {y: {A: {"income": v}} for y, v in fin.items()}}
+        return json.dumps(body, ensure_ascii=False)
+
+    def founder(name, inn):
+        return {"СвФЛ": {A: {"Имя": name, "ИННФЛ": inn}}}
+
+    rows = [
+        (1, "11", doc("new", [founder("B", "2")], y2021="3000000"), 2),
+        (1, "11", doc("old", [founder("B", "9"), founder("C", "8"), founder("C", "5")], y2020="1000000", y2021="2000000", yfoo="1"), 1),
+    ]
+    names = ["company_info", "company_finances", "company_founders", "company_additional_activities"]
+    tables = {n: spark.createDataFrame([], TABLES[n]) for n in names}
+    out = load_registry(tables, spark.createDataFrame(rows, "inn_id long, inn string, doc string, seq long"))
+    assert [r["name"] for r in out["company_info"].collect()] == ["new"]
+    assert sorted((r["year"], r["income"]) for r in out["company_finances"].collect()) == [(2020, 1.0), (2021, 3.0)]
+    assert sorted((r["founder_full_name"], r["founder_inn"]) for r in out["company_founders"].collect()) == [("B", "2"), ("C", "5")]
