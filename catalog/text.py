@@ -76,13 +76,13 @@ def _(spark, sf):
 
 @register("t2_description", "SELECT c_custkey AS domain_id, c_mktsegment || ' > all' AS description FROM customer")
 def _(spark, sf):
-    return planted(spark, sf, "page_fetch").select("domain_id", fn.description(F.col("html")).alias("description"))
+    return planted(spark, sf, "page_fetch").select("domain_id", fn.description(fn.meta_tags(F.col("html"))).alias("description"))
 
 
 @register("t3_keywords", """SELECT c_custkey AS domain_id, CASE WHEN c_custkey % 4 = 1
     THEN substr(trim(repeat(c_mktsegment || ', ', 150)), 1, 1000) ELSE '' END AS keywords FROM customer""")
 def _(spark, sf):
-    return planted(spark, sf, "page_fetch").select("domain_id", fn.keywords(F.col("html")).alias("keywords"))
+    return planted(spark, sf, "page_fetch").select("domain_id", fn.keywords(fn.meta_tags(F.col("html"))).alias("keywords"))
 
 
 @register("t4_text", f"SELECT page_id, {sql_text('html')} AS text FROM pages")

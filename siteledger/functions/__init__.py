@@ -7,6 +7,7 @@ from .html import (
     keywords,
     links,
     meta_content,
+    meta_tags,
     strip_hidden,
     text,
     title,
@@ -18,7 +19,7 @@ from .urls import bare_host, host_of, is_https, is_www, zone_of
 __all__ = [
     "CMS_MARKERS", "bare_host", "clean_text", "cms", "company_names",
     "decode_entities", "description", "emails", "host_of", "inns", "is_https",
-    "is_valid_inn", "is_www", "keywords", "links", "meta_content", "phones",
+    "is_valid_inn", "is_www", "keywords", "links", "meta_content", "meta_tags", "phones",
     "python_round2", "python_strip", "sorted_csv", "strip_hidden", "text",
     "title", "zone_of",
 ]

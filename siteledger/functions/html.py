@@ -1,7 +1,7 @@
 """Page features from HTML by regular expressions that run inside the JVM.
 
-Patterns use possessive quantifiers, so that a broken page costs linear time
-and no stack. ``strip_hidden`` is meant to run once per page; the other
+Patterns use possessive quantifiers and always find an end, so that a broken
+page costs linear time and no stack. ``strip_hidden`` is meant to run once per page; the other
 functions take its result.
 """
 
@@ -13,19 +13,22 @@ from pyspark.sql import functions as F
 from .binding import let
 from .strings import clean_text, decode_entities
 
-# The inside of a tag after its name; quoted values may contain ">".
-_ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# The rest of a tag after its name. Quoted values may contain ">"; where quotes
+# do not match up the tag ends at the next ">", and a tag that never ends takes
+# the rest of the page. As some end is always found, a search never starts over.
+_REST = r"""(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?:>|\z)|[^>]*+(?:>|\z))"""
+# What is never closed hides the rest of the page, as in a parser.
 _HIDDEN = (
-    r"(?is)<(?:script\b[^>]*+>.*?</script\s*+>"
-    r"|style\b[^>]*+>.*?</style\s*+>"
-    r"|!--.*?-->)"
+    r"(?is)<(?:script\b[^>]*+(?:>|\z).*?(?:</script\s*+>|\z)"
+    r"|style\b[^>]*+(?:>|\z).*?(?:</style\s*+>|\z)"
+    r"|!--.*?(?:-->|\z))"
 )
-_TAG = rf"(?s)<[/!?a-zA-Z]{_ATTRS}>|<[/!?a-zA-Z][^>]*+>"
-_TITLE = r"(?is)<title(?:\s[^>]*+)?>(.*?)</title\s*+>"
-_META = rf"(?is)<meta\s{_ATTRS}>"
+_TAG = rf"(?s)<[/!?a-zA-Z]{_REST}"
+_TITLE = r"(?is)<title(?:\s[^>]*+)?(?:>|\z)(?:(.*?)</title\s*+>|.*+)"
+_META = rf"(?is)<meta\s{_REST}"
 # An anchor ends at its closing tag, at the next anchor or at the end.
-_ANCHOR = rf"(?is)<a\s{_ATTRS}>.*?(?=<a\s|</a\s*+>|\z)"
-_ANCHOR_HEAD = rf"(?is)^<a\s{_ATTRS}>"
+_ANCHOR = rf"(?is)<a\s{_REST}.*?(?=<a\s|</a\s*+>|\z)"
+_ANCHOR_HEAD = rf"(?is)^<a\s{_REST}"
 
 
 def strip_hidden(html: Column) -> Column:
@@ -44,21 +47,26 @@ def title(markup: Column) -> Column:
     return clean_text(decode_entities(F.regexp_extract(markup, _TITLE, 1)))
 
 
-def meta_content(markup: Column, name: str) -> Column:
-    """``content`` of the first meta tag whose ``name`` is exactly this one."""
-    metas = F.regexp_extract_all(markup, F.lit(_META), F.lit(0))
-    named = F.filter(metas, lambda tag: _attribute(tag, "name") == F.lit(name))
+def meta_tags(markup: Column) -> Column:
+    """All meta tags of the page."""
+    return F.regexp_extract_all(markup, F.lit(_META), F.lit(0))
+
+
+def meta_content(tags: Column, name: str) -> Column:
+    """``content`` of the first of the meta tags whose ``name`` is exactly this one."""
+    named = F.filter(tags, lambda tag: _attribute(tag, "name") == F.lit(name))
     first = F.try_element_at(named, F.lit(1))
     return F.coalesce(clean_text(decode_entities(_attribute(first, "content"))), F.lit(""))
 
 
-def description(markup: Column) -> Column:
-    return meta_content(markup, "description")
+def description(tags: Column) -> Column:
+    """Description out of the ``meta_tags``."""
+    return meta_content(tags, "description")
 
 
-def keywords(markup: Column) -> Column:
-    """Keywords meta tag, at most 1000 characters as the table declares."""
-    return F.substring(meta_content(markup, "keywords"), 1, 1000)
+def keywords(tags: Column) -> Column:
+    """Keywords out of the ``meta_tags``, at most 1000 characters as the table declares."""
+    return F.substring(meta_content(tags, "keywords"), 1, 1000)
 
 
 def text(markup: Column, sep: str = "") -> Column:

@@ -19,7 +19,8 @@ _ENTITY = f"&(?:[a-zA-Z][a-zA-Z0-9]{{1,9}}|{_NUMERIC});"
 
 def python_strip(col: Column) -> Column:
     """Remove all Unicode white space on both ends (``trim`` only takes blanks)."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    # The lookbehind keeps a long run inside the text from being tried at each of its characters.
+    return F.regexp_replace(col, r"(?U)^\s++|(?<!\s)\s++\z", "")
 
 
 def clean_text(col: Column) -> Column:

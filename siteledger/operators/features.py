@@ -12,14 +12,15 @@ from ..functions.urls import is_www
 
 def with_texts(pages: DataFrame, html_col: str = "html", sep: str = "") -> DataFrame:
     """Add title, description, keywords, text and the script-free ``_markup``."""
-    markup = F.col("_markup")
-    return pages.select("*", html.strip_hidden(F.col(html_col)).alias("_markup")).select(
+    markup, tags = F.col("_markup"), F.col("_meta_tags")
+    marked = pages.select("*", html.strip_hidden(F.col(html_col)).alias("_markup"))
+    return marked.select("*", html.meta_tags(markup).alias("_meta_tags")).select(
         "*",
         html.title(markup).alias("title"),
-        html.description(markup).alias("description"),
-        html.keywords(markup).alias("keywords"),
+        html.description(tags).alias("description"),
+        html.keywords(tags).alias("keywords"),
         html.text(markup, sep).alias("text"),
-    )
+    ).drop("_meta_tags")
 
 
 def with_contacts(pages: DataFrame, only: Column | None = None, all_links: bool = True) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import contacts, html
 from ..functions.binding import text_list
 from ..functions.strings import python_strip
-from .sizing import broadcast_if_small
+from .sizing import broadcast_if_small, fits_broadcast, staged
 
 CONTACT_KINDS = ("emails", "phones", "inns")
 
@@ -59,7 +59,8 @@ def phone_locations(phones: DataFrame, prefixes: DataFrame) -> DataFrame:
         r[0] for r in lookup.select(F.length("prefix").alias("n")).distinct()
         .where(F.col("n").between(1, 15)).orderBy(F.desc("n")).collect()
     ]
-    small = broadcast_if_small(lookup) is not lookup
+    small = fits_broadcast(lookup)
+    lookup = lookup if small else staged(lookup)
     number = F.regexp_replace("number", "^8", "7")
     out = phones.withColumn("_number", number)
     for n in lengths:

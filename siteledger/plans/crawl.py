@@ -104,9 +104,9 @@ def domain_info_rows(sites: DataFrame, run_date: str) -> DataFrame:
         "domain_id", F.col("real_url").alias("real_domain"), "title", "description", "keywords",
         sorted_csv(F.col("cities")).alias("city"), sorted_csv(F.col("inns")).alias("inn"), "cms",
         F.coalesce("hosting", F.lit("")).alias("hosting"), "is_ssl", "is_www", "is_https_redirect",
-        F.coalesce("ip", F.lit("")).alias("ip"),
+        F.coalesce("ip", F.lit("")).alias("ip"), F.coalesce("country", F.lit("")).alias("country"),
         # Columns every row gets alike.
-        F.lit("").alias("country"), F.lit(0).alias("tag_id"), F.lit("").alias("license_type"),
+        F.lit(0).alias("tag_id"), F.lit("").alias("license_type"),
         "is_ecommerce", "has_catalog", F.lit(run_date).cast("date").alias("last_updated"), "seq", "first_seq",
     )
 
@@ -133,7 +133,7 @@ def build_tables(
         return spark.createDataFrame([], schema) if df is None else df
 
     finds = staged(contact_finds(given(contact_pages, CONTACT_PAGES), sep))
-    sites = site_rows(last_pages(features), finds, given(probes, PROBES), regions, given(prefixes, PHONE_PREFIXES))
+    sites = site_rows(staged(last_pages(features)), finds, given(probes, PROBES), regions, given(prefixes, PHONE_PREFIXES))
     found = contact_rows(features, finds)
     info, info_rejects = upsert_domain_info(
         tables["domain_info"], domain_info_rows(sites, run_date), "seq", first_seq="first_seq", id_col="id"
