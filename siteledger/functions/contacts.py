@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 # What counts as an e-mail and as a phone number in text.
 EMAIL = r"[a-zA-Z0-9\.\-_]+@[a-zA-Z0-9_\-]+\.[a-zA-Z]+\.?[a-zA-Z]*\.?[a-zA-Z]*"
 PHONE = r"\+?[78]{1}[\s\(-]{0,2}[0-9]{3,4}[\s\)]?[\s-]?[0-9-\s]{0,4}[0-9-\s]{0,5}"
@@ -57,11 +59,11 @@ def phones(text: Column, links: Column) -> Column:
     return F.array_distinct(F.filter(digits, lambda n: F.regexp_like(n, F.lit("^[78][0-9]{10}$"))))
 
 
-def _check_digit_matches(inn: Column, weights: list[int], strict_mod10: bool) -> Column:
+def _check_digit_matches(number: Column, length: int, weights: list[int], strict_mod10: bool) -> Column:
     """Weighted sum of the leading digits, mod 11, equals the next digit."""
 
     def digit(position: int) -> Column:
-        return F.substring(inn, position, 1).try_cast("int")
+        return F.call_function("div", number, F.lit(10 ** (length - position)).cast("bigint")) % 10
 
     total = sum((digit(i) * w for i, w in enumerate(weights, start=1)), F.lit(0))
     key = total % 11
@@ -71,18 +73,27 @@ def _check_digit_matches(inn: Column, weights: list[int], strict_mod10: bool) ->
 
 
 def is_valid_inn(inn: Column, strict_mod10: bool = False) -> Column:
-    """Check digits of a 10- or 12-digit INN; false for other lengths.
+    """Check digits of a 10- or 12-digit INN; false for anything else.
 
     A weighted sum of 10 (mod 11) can match no digit, so such ids are
     rejected; the official rule takes it mod 10 again (``strict_mod10``).
     """
-    ten = (F.length(inn) == 10) & _check_digit_matches(inn, INN10_WEIGHTS, strict_mod10)
-    twelve = (
-        (F.length(inn) == 12)
-        & _check_digit_matches(inn, INN12_WEIGHTS_11, strict_mod10)
-        & _check_digit_matches(inn, INN12_WEIGHTS_12, strict_mod10)
+
+    def ten(number: Column) -> Column:
+        return _check_digit_matches(number, 10, INN10_WEIGHTS, strict_mod10)
+
+    def twelve(number: Column) -> Column:
+        return _check_digit_matches(number, 12, INN12_WEIGHTS_11, strict_mod10) & _check_digit_matches(
+            number, 12, INN12_WEIGHTS_12, strict_mod10
+        )
+
+    number = inn.try_cast("bigint")
+    return F.coalesce(
+        F.when(F.regexp_like(inn, F.lit("^[0-9]{10}$")), let(number, ten)).when(
+            F.regexp_like(inn, F.lit("^[0-9]{12}$")), let(number, twelve)
+        ),
+        F.lit(False),
     )
-    return F.coalesce(ten | twelve, F.lit(False))
 
 
 def inns(text: Column, strict_mod10: bool = False) -> Column:

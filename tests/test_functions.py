@@ -22,6 +22,8 @@ def one(spark, value, expr, dtype="string"):
         ("7700000070", False, False),
         ("7700000070", True, True),
         ("12345", False, False),
+        ("+770708389", False, False),
+        (None, False, False),
     ],
 )
 def test_inn_checksum(spark, inn, strict, kept):
