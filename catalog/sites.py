@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from siteledger import sources
-from siteledger.functions import sorted_csv
 from siteledger.operators import (
     Rule,
     attempt_code,
@@ -33,9 +32,9 @@ from siteledger.schemas import PAGE_FETCH, TABLES
 from siteledger.streaming import refresh_tables, stream_pages
 
 from . import register, table
-from .planted import HTML, INN10, INN12, TITLE, planted, planted_sql
+from .planted import TITLE, planted, planted_sql
 from .reports import SQL_IS_PAGE, SQL_SITE_HIT
-from .text import SQL_PLANTED_INNS, SQL_PLANTED_PHONES, sql_clean, sql_decode, sql_markup, sql_set, sql_text
+from .text import SQL_PLANTED_INNS, SQL_PLANTED_PHONES, sql_clean, sql_decode, sql_markup, sql_text
 
 # A short rule list whose words occur in the page table.
 RULES = [

@@ -9,7 +9,7 @@ from siteledger.functions.contacts import EMAIL
 from siteledger.operators import category_votes, extract_features, identify_category, region_names
 
 from . import register, table
-from .planted import HTML, INN10, INN12, TITLE, URL, planted, planted_sql
+from .planted import HTML, INN10, INN12, TITLE, planted
 
 # The same patterns as the Column functions, written for the checking engine.
 SQL_HIDDEN = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->"

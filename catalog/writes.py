@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from siteledger import sources
 from siteledger.operators import (
     assign_ids,
     dedupe_real_domain,
@@ -12,6 +15,7 @@ from siteledger.operators import (
     first_per_key,
     insert_ignore,
     last_per_key,
+    shared_dir,
     upsert,
     upsert_domain_info,
     upsert_inns,
@@ -61,6 +65,24 @@ def _(spark, sf):
     return upsert(existing, updates, ["o_orderkey"], ["o_orderstatus", "o_totalprice"], "seq")
 
 
+@register("u1_upsert_buckets", SQL_LINE_UPDATES + """SELECT coalesce(o_orderkey, l.k) AS o_orderkey, o_custkey,
+    coalesce(l.status, o_orderstatus) AS o_orderstatus, coalesce(l.price, o_totalprice) AS o_totalprice
+    FROM orders FULL JOIN (SELECT * FROM u WHERE rn = 1) l ON o_orderkey = l.k""")
+def _(spark, sf):
+    """The same upsert into a bucketed table on disk."""
+    root = f"{shared_dir(spark)}/buckets-{uuid.uuid4().hex}"
+    existing = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    updates = table(spark, sf, "lineitem").select(
+        (F.col("l_orderkey") * 2).alias("o_orderkey"), F.col("l_returnflag").alias("o_orderstatus"),
+        F.col("l_extendedprice").alias("o_totalprice"), F.col("l_partkey").alias("part"), F.col("l_linenumber").alias("seq"),
+    )
+    # Lines of one order with one number are told apart by the remaining columns, as in the SQL.
+    updates = updates.withColumn("seq", F.struct("seq", "part", "o_totalprice", "o_orderstatus")).drop("part")
+    sources.write_buckets(existing, root, "orders", ["o_orderkey"], 8)
+    sources.upsert_buckets(spark, root, "orders", existing.schema, updates, ["o_orderkey"], ["o_orderstatus", "o_totalprice"], "seq", 8)
+    return sources.read_buckets(spark, root, "orders", existing.schema)
+
+
 @register("u2_insert_ignore", """SELECT s_name AS inn, s_suppkey AS domain_id FROM supplier UNION ALL
     SELECT arg_min(lpad(CAST(o_orderkey AS STRING), 10, '0'), o_orderkey), o_custkey FROM orders
     WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY o_custkey""")

@@ -1,0 +1,72 @@
+"""Keyed tables in buckets, so that an upsert rewrites only the buckets it touches.
+
+A bucket is a folder of rows with one ``pmod(xxhash64(key), n)``. Every write
+makes new folders and then records which snapshot holds which bucket; readers
+keep the folders they have, and a write that broke off leaves no trace.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.upsert import upsert
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _current(spark: SparkSession, root: str, name: str) -> dict[int, int]:
+    """Snapshot that holds each bucket; one entry per bucket."""
+    try:
+        marks = spark.read.schema("bucket int, snapshot bigint").parquet(f"{root}/buckets/{name}")
+        return {r["bucket"]: r["snapshot"] for r in marks.groupBy("bucket").agg(F.max("snapshot").alias("snapshot")).collect()}
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+
+
+def write_buckets(df: DataFrame, root: str, name: str, keys: Sequence[str], buckets: int, snapshot: int | None = None) -> int:
+    """Write rows as new versions of the buckets they fall into; returns the snapshot.
+
+    Rows of one bucket go to one folder, in as many files as there are tasks
+    that meet them; a bucket should fit a task or two.
+    """
+    spark = df.sparkSession
+    if snapshot is None:
+        snapshot = max(_current(spark, root, name).values(), default=-1) + 1
+    path = f"{root}/data/{name}/snapshot={snapshot}"
+    marked = df.withColumn("_bucket", bucket_of(keys, buckets))
+    marked.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
+    written = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(path)
+    marks = written.select(F.col("_bucket").alias("bucket"), F.lit(snapshot).cast("bigint").alias("snapshot")).distinct()
+    marks.coalesce(1).write.mode("append").parquet(f"{root}/buckets/{name}")
+    return snapshot
+
+
+def read_buckets(spark: SparkSession, root: str, name: str, schema: T.StructType, only: Sequence[int] | None = None) -> DataFrame:
+    """The whole table, or some of its buckets."""
+    current = _current(spark, root, name)
+    paths = [
+        f"{root}/data/{name}/snapshot={snapshot}/_bucket={bucket}"
+        for bucket, snapshot in sorted(current.items()) if only is None or bucket in set(only)
+    ]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def upsert_buckets(
+    spark: SparkSession, root: str, name: str, schema: T.StructType, updates: DataFrame,
+    keys: Sequence[str], update_cols: Sequence[str], seq: str, buckets: int,
+) -> int:
+    """``upsert`` into a bucketed table; other buckets are neither read nor written."""
+    touched = [r[0] for r in updates.select(bucket_of(keys, buckets)).distinct().collect()]
+    existing = read_buckets(spark, root, name, schema, touched)
+    return write_buckets(upsert(existing, updates, keys, update_cols, seq), root, name, keys, buckets)

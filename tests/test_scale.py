@@ -15,7 +15,7 @@ from siteledger.operators import (
     upsert_domain_info,
     upsert_inns,
 )
-from siteledger.schemas import CONTACT_PAGES, PHONE_PREFIXES, PROBES
+from siteledger.schemas import PHONE_PREFIXES
 
 N = 30_000
 

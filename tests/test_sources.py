@@ -134,3 +134,19 @@ def test_audit(spark):
     counted, seen = with_run_counters(df, "run", junk=F.count_if(F.col("page_status") != 200))
     counted.collect()
     assert seen.get == {"rows": 1, "junk": 1}
+
+
+def test_upsert_touches_only_its_buckets(spark, tmp_path):
+    root, keys = str(tmp_path), ["id"]
+    table = spark.range(0, 400).select("id", F.lit("old").alias("v"), F.lit("keep").alias("w"))
+    assert sources.write_buckets(table, root, "t", keys, 16) == 0
+    updates = spark.createDataFrame([(5, "new", 1), (5, "newer", 2), (9000, "added", 1)], "id long, v string, seq long")
+    expected = {r["id"]: (r["v"], r["w"]) for r in table.collect()} | {5: ("newer", "keep"), 9000: ("added", None)}
+    for snapshot in (1, 2):
+        assert sources.upsert_buckets(spark, root, "t", table.schema, updates, keys, ["v"], "seq", 16) == snapshot
+        read = sources.read_buckets(spark, root, "t", table.schema)
+        assert {r["id"]: (r["v"], r["w"]) for r in read.collect()} == expected
+        assert read.count() == len(expected)
+        written = [p.name for p in (tmp_path / "data" / "t" / f"snapshot={snapshot}").iterdir() if p.name.startswith("_bucket=")]
+        assert 1 <= len(written) <= 2
+    assert sources.read_buckets(spark, root, "none", table.schema).count() == 0
