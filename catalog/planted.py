@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siteledger.sources import spread
+
 from . import table
 
 K = "CAST(c_custkey AS STRING)"
@@ -158,9 +160,16 @@ INPUTS["registry_docs"] = ("customer", [
 ])
 
 
+# Inputs with texts to read; the rows they come from are spread if they are few.
+WITH_TEXTS = ("page_fetch", "contact_pages", "site_info", "registry_docs")
+
+
 def planted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, columns = INPUTS[name]
-    return table(spark, sf_dir, source).selectExpr(*[f"{expr} AS {column}" for column, expr in columns])
+    rows = table(spark, sf_dir, source)
+    if name in WITH_TEXTS:
+        rows = spread(rows)
+    return rows.selectExpr(*[f"{expr} AS {column}" for column, expr in columns])
 
 
 def planted_sql(*names: str) -> str:

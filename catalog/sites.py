@@ -31,7 +31,7 @@ from siteledger.plans import clean_up, crawl, read_pages
 from siteledger.schemas import PAGE_FETCH, TABLES
 from siteledger.streaming import refresh_tables, stream_pages
 
-from . import register, table
+from . import register, table, texts
 from .planted import TITLE, planted, planted_sql
 from .reports import SQL_IS_PAGE, SQL_SITE_HIT
 from .text import SQL_PLANTED_INNS, SQL_PLANTED_PHONES, sql_clean, sql_decode, sql_markup, sql_text
@@ -64,7 +64,7 @@ def _sql_pages() -> str:
 
 
 def classified_pages(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", F.col("url").alias("real_url"), strip_hidden(F.col("html")).alias("m"))
+    pages = texts(spark, sf, "pages", "page_id", "url", "html").select("page_id", F.col("url").alias("real_url"), strip_hidden(F.col("html")).alias("m"))
     pages = pages.select("page_id", "real_url", title(F.col("m")).alias("title"), text(F.col("m")).alias("text"))
     return classify_pages(pages, RULES, description=F.lit(""))
 

@@ -8,7 +8,7 @@ from siteledger import functions as fn
 from siteledger.functions.contacts import EMAIL
 from siteledger.operators import category_votes, extract_features, identify_category, region_names
 
-from . import register, table
+from . import register, table, texts
 from .planted import HTML, INN10, INN12, TITLE, planted
 
 # The same patterns as the Column functions, written for the checking engine.
@@ -66,7 +66,7 @@ def sql_valid_inn(inn: str) -> str:
 
 @register("t1_title", f"""SELECT page_id, {sql_clean(sql_decode(f"regexp_extract({sql_markup('html')}, '(?is)<title[^>]*>(.*?)</title', 1)"))} AS title FROM pages""")
 def _(spark, sf):
-    return table(spark, sf, "pages").select("page_id", fn.title(fn.strip_hidden(F.col("html"))).alias("title"))
+    return texts(spark, sf, "pages", "page_id", "html").select("page_id", fn.title(fn.strip_hidden(F.col("html"))).alias("title"))
 
 
 @register("t1_title_planted", f"SELECT c_custkey AS domain_id, {sql_clean(sql_decode(TITLE))} AS title FROM customer")
@@ -87,14 +87,14 @@ def _(spark, sf):
 
 @register("t4_text", f"SELECT page_id, {sql_text('html')} AS text FROM pages")
 def _(spark, sf):
-    return table(spark, sf, "pages").select("page_id", fn.text(fn.strip_hidden(F.col("html"))).alias("text"))
+    return texts(spark, sf, "pages", "page_id", "html").select("page_id", fn.text(fn.strip_hidden(F.col("html"))).alias("text"))
 
 
 @register("t5_links", f"""WITH a AS (SELECT page_id, regexp_extract_all({sql_markup('html')}, '(?is)<a\\s[^>]*>.*?</a\\s*>') AS l FROM pages)
     SELECT page_id, array_to_string(list_transform(l, lambda x: regexp_extract(x, 'href="([^"]*)"', 1) || ' ' ||
     regexp_replace(x, '<[^>]*>', '', 'g')), '|') AS links, CAST(len(l) AS INT) AS n FROM a""")
 def _(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", fn.links(fn.strip_hidden(F.col("html"))).alias("l"))
+    pages = texts(spark, sf, "pages", "page_id", "html").select("page_id", fn.links(fn.strip_hidden(F.col("html"))).alias("l"))
     joined = F.array_join(F.transform("l", lambda a: F.concat(a["href"], F.lit(" "), a["text"])), "|")
     return pages.select("page_id", joined.alias("links"), F.size("l").alias("n"))
 
@@ -102,7 +102,7 @@ def _(spark, sf):
 @register("t6_emails", f"SELECT doc_id, {sql_emails('text')} AS emails FROM documents")
 def _(spark, sf):
     no_links = F.array().cast("array<struct<href string, text string>>")
-    return table(spark, sf, "documents").select("doc_id", fn.sorted_csv(fn.emails(F.col("text"), no_links)).alias("emails"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", fn.sorted_csv(fn.emails(F.col("text"), no_links)).alias("emails"))
 
 
 @register("t6_emails_planted", """SELECT c_custkey AS domain_id,
@@ -115,7 +115,7 @@ def _(spark, sf):
 @register("t7_phones", f"SELECT doc_id, {sql_phones('text')} AS phones FROM documents")
 def _(spark, sf):
     no_links = F.array().cast("array<struct<href string, text string>>")
-    return table(spark, sf, "documents").select("doc_id", fn.sorted_csv(fn.phones(F.col("text"), no_links)).alias("phones"))
+    return texts(spark, sf, "documents", "doc_id", "text").select("doc_id", fn.sorted_csv(fn.phones(F.col("text"), no_links)).alias("phones"))
 
 
 SQL_PLANTED_PHONES = sql_phones(
@@ -175,7 +175,7 @@ def _sql_votes() -> str:
 
 @register("t9_category_votes", _sql_votes() + "SELECT doc_id, CAST(tag_id AS INT) AS tag_id, votes FROM votes WHERE votes > 0")
 def _(spark, sf):
-    votes = category_votes(table(spark, sf, "documents"), _tags(spark), F.col("text"), "doc_id")
+    votes = category_votes(texts(spark, sf, "documents", "doc_id", "text"), _tags(spark), F.col("text"), "doc_id")
     return votes.where(F.col("tag_id").isNotNull())
 
 
@@ -183,7 +183,7 @@ def _(spark, sf):
     min(tag_id) FILTER (WHERE votes = m) END AS INT) AS tag_id FROM
     (SELECT *, max(votes) OVER (PARTITION BY doc_id) AS m FROM votes) GROUP BY doc_id""")
 def _(spark, sf):
-    return identify_category(table(spark, sf, "documents"), _tags(spark), F.col("text"), "doc_id")
+    return identify_category(texts(spark, sf, "documents", "doc_id", "text"), _tags(spark), F.col("text"), "doc_id")
 
 
 @register("t10_cms", """SELECT c_custkey AS domain_id, CASE WHEN c_custkey % 7 = 3 THEN 'Bitrix'
@@ -224,7 +224,7 @@ def _(spark, sf):
     {sql_emails(sql_text('html'))} AS emails, {sql_phones(sql_text('html'))} AS phones, '' AS cms, contains(url, 'www.') AS is_www FROM pages""")
 def _(spark, sf):
     """All features of the page table in one pass."""
-    return extract_features(table(spark, sf, "pages"), url_col="url").select(
+    return extract_features(texts(spark, sf, "pages", "page_id", "url", "html"), url_col="url").select(
         "page_id", "title", "description", "keywords", F.length("text").alias("text_length"),
         fn.sorted_csv(F.col("emails")).alias("emails"), fn.sorted_csv(F.col("phones")).alias("phones"), "cms", "is_www",
     )

@@ -6,6 +6,7 @@ from .files import (
     read_domains_txt,
     read_inns_csv,
     read_json_rows,
+    spread,
     with_row_number,
     write_inns_json,
     write_json_arrays,
@@ -15,6 +16,6 @@ from .tables import append_records, latest_snapshot, read_table, seed_lookup, wr
 __all__ = [
     "bucket_of", "read_buckets", "upsert_buckets", "write_buckets",
     "append_records", "latest_snapshot", "read_domains_csv", "read_domains_txt", "read_inns_csv",
-    "read_json_rows", "read_table", "seed_lookup", "with_row_number", "write_inns_json", "write_json_arrays",
+    "read_json_rows", "read_table", "seed_lookup", "spread", "with_row_number", "write_inns_json", "write_json_arrays",
     "write_table",
 ]

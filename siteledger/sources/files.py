@@ -39,6 +39,16 @@ def with_row_number(df: DataFrame, name: str = "id") -> DataFrame:
     )
 
 
+def spread(df: DataFrame, small: int = 64) -> DataFrame:
+    """A table just read, spread over the cores if its files make very few tasks.
+
+    Extraction is bound by the CPU, and a small file is one task. Tables with
+    ``small`` or more tasks, or one for every core, stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, small) else df
+
+
 def domain_rows(domains: DataFrame) -> DataFrame:
     """Distinct ``domain`` values with their ``zone``."""
     return domains.select("domain").distinct().withColumn("zone", zone_of(F.col("domain")))
