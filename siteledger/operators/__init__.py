@@ -29,7 +29,7 @@ from .quality import fk_orphans, length_violations, null_violations, unique_viol
 from .regions import REGIONS, default_regions
 from .registry import parse_registry, read_documents, registry_tables, turnover_segment
 from .rules import Rule, default_rules
-from .sizing import broadcast_if_small, fits_broadcast, shared_dir, staged
+from .sizing import broadcast_if_small, clear_staged, fits_broadcast, shared_dir, staged
 from .stats import cms_counts, column_counts, count_status, real_domain_copies, real_domain_counts, status_counts
 from .tagging import category_votes, identify_category
 from .upsert import (

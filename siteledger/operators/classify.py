@@ -16,7 +16,8 @@ _SEPARATOR = "\x1f"
 VALID_STATUS = 200
 JUNK_BITRIX_STATUS = 228
 
-# Status stored for each kind of fetch error.
+# Status stored for each kind of fetch error. Other kinds (ssl,
+# cookie, data, value, db) leave the stored status as it is.
 ERROR_STATUS = {
     "connect": 404,
     "os": 404,
@@ -27,9 +28,6 @@ ERROR_STATUS = {
     "disconnect": 800,
     "unicode": 888,
 }
-# Kinds that leave the stored status as it is.
-UNCHANGED_ERRORS = ("ssl", "cookie", "data", "value", "db")
-
 
 def _regex(rule: Rule) -> str:
     """Words are lower-cased and bounded but, on purpose, not escaped."""

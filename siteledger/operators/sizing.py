@@ -45,4 +45,23 @@ def staged(df: DataFrame) -> DataFrame:
     executors, and later readers prune columns."""
     path = f"{shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _staged_paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Folders written by this process, for ``clear_staged``.
+_staged_paths: list[str] = []
+
+
+def clear_staged(spark: SparkSession) -> int:
+    """Delete the folders this process staged; returns their number.
+
+    Call it once the results of a job are written: they are read from there.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf, paths = spark.sparkContext._jsc.hadoopConfiguration(), _staged_paths[:]
+    for name in paths:
+        path = hadoop.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+        _staged_paths.remove(name)
+    return len(paths)

@@ -127,3 +127,18 @@ def test_extraction_is_narrow_and_stays_in_the_jvm(spark):
 def test_staged_tables_prune_columns(spark):
     plan = plan_of(staged(spark.range(10).selectExpr("id", "id as wide")).select("id"))
     assert "ReadSchema: struct<id:bigint>" in plan
+
+
+def test_staged_folders_can_be_cleared(spark, tmp_path, monkeypatch):
+    from pathlib import Path
+
+    from siteledger.operators import clear_staged, sizing
+
+    monkeypatch.setattr(sizing, "_staged_paths", [])
+    kept = staged(spark.range(5))
+    (path,) = sizing._staged_paths
+    kept.write.parquet(str(tmp_path / "result"))
+    assert Path(path).exists()
+    assert clear_staged(spark) == 1
+    assert not Path(path).exists() and clear_staged(spark) == 0
+    assert spark.read.parquet(str(tmp_path / "result")).count() == 5
