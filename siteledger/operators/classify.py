@@ -29,6 +29,7 @@ ERROR_STATUS = {
     "unicode": 888,
 }
 
+
 def _regex(rule: Rule) -> str:
     """Words are lower-cased and bounded but, on purpose, not escaped."""
     return rf"\b{rule.pattern.lower()}\b" if rule.word else rule.pattern
