@@ -125,3 +125,28 @@ def test_large_side_is_not_broadcast(spark, monkeypatch):
         assert found.count() == 100
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_ids_in_semi_and_anti_joins(spark, rows):
+    from siteledger.operators import deal_properties, delete_where, fk_orphans
+
+    ids = rows.select(F.col("k").alias("id"))
+    table = spark.range(0, 2 * N)
+    unique = N - N // 3 + 1
+    hit = deal_properties(ids, table)
+    assert hit.count() == unique
+    assert delete_where(table, ids).count() == 2 * N - unique
+    assert fk_orphans(rows, spark.range(0, 1), "k", "id").count() == N - N // 3
+    assert fk_orphans(rows, spark.range(1, N), "k", "id").count() == N // 3
+
+
+def test_hot_key_insert_and_upsert(spark, rows):
+    from siteledger.operators import insert_ignore, upsert
+
+    existing = spark.createDataFrame([(0, "old", "keep")], "k long, v string, w string")
+    updates = rows.withColumn("v", F.col("seq").cast("string"))
+    merged = upsert(existing, updates, ["k"], ["v"], "seq")
+    assert merged.count() == N - N // 3 + 1
+    assert tuple(merged.where("k = 0").first()) == (0, str(N - 3), "keep")
+    added = insert_ignore(existing.limit(0), updates, ["k"], "seq")
+    assert added.where("k = 0").first()["v"] == "0"
