@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,15 +28,10 @@ def broadcast_if_small(df: DataFrame, **limits) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for staged tables: what the cluster names in spark.checkpoint.dir."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if named is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="siteledger-"))
-        named = sc.getCheckpointDir()
-    return named
+    """Folder for staged tables: what the cluster names in spark.checkpoint.dir,
+    or a folder of the warehouse, which executors share as well, if that is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def staged(df: DataFrame) -> DataFrame:

@@ -10,10 +10,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizing import shared_dir, staged
+from .sizing import staged
 
 # Parts into which the rows of one key are spread where a join needs all of them.
 SALTS = 32
@@ -277,24 +277,16 @@ def assign_ids(new: DataFrame, start: int, order: Sequence[str], id_col: str = "
     counting and numbering see the same partitions even when an executor is
     lost. Only one count per partition is brought together.
     """
-    shared_dir(new.sparkSession)
     rest = sorted(c for c in new.columns if c not in order)
     by = [F.col(c) for c in [*order, *rest]]
     ranged = new.repartitionByRange(*by).sortWithinPartitions(*by)
-    sc = new.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(new.sparkSession))
-    stable = ranged.checkpoint(eager=True).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_mono"))
-    counts = stable.groupBy("_part").count().collect()  # one row per partition
-    offsets, total = {}, start
-    for part, n in sorted((r["_part"], r["count"]) for r in counts):
-        offsets[part] = total
-        total += n
-    if not offsets:
-        return stable.select(F.lit(None).cast("bigint").alias(id_col), *new.columns)
-    lookup = F.array(*[F.lit(offsets.get(p, total)).cast("bigint") for p in range(max(offsets) + 1)])
-    row = F.col("_mono") - F.shiftleft(F.col("_part").cast("bigint"), 33)
-    return stable.select((F.get(lookup, F.col("_part")) + row + 1).alias(id_col), *new.columns)
+    stable = staged(ranged.withColumn("_mono", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_mono", 33))
+    # One row per partition; the window runs over those rows only.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = stable.groupBy("_part").agg(F.count("*").alias("_n"))
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    row = F.col("_mono") - F.shiftleft(F.col("_part"), 33)
+    return stable.join(offsets, "_part").select((F.col("_before") + row + (start + 1)).alias(id_col), *new.columns)
 
 
 def explode_contacts(features: DataFrame) -> dict[str, DataFrame]:

@@ -9,10 +9,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as entry
+from catalog import ORACLE, QUERIES
 from oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+
 
 
 @pytest.fixture(scope="module")
