@@ -73,3 +73,16 @@ def batches(columns: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
 def rows_of(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     """Values of the named columns, row by row."""
     return zip(*(batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names), strict=True)
+
+
+def with_text(docs: DataFrame, keep: Sequence[str], text_col: str) -> DataFrame:
+    """Columns to keep as struct ``_doc``, and the text as ``_text`` if it is not among them."""
+    packed = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_doc")
+    return docs.select(packed, *([] if text_col in keep else [F.col(f"`{text_col}`").alias("_text")]))
+
+
+def texts_of(part: pa.RecordBatch, keep: Sequence[str], text_col: str) -> list[str | None]:
+    place = part.schema.get_field_index
+    if text_col in keep:
+        return part.column(place("_doc")).field(list(keep).index(text_col)).to_pylist()
+    return part.column(place("_text")).to_pylist()

@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, fold
+from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
+from .langid import Model, learn, predict
+from .line_dedup import repeated_chunks
+from .packing import pack
 from .sharding import interleave
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +29,34 @@ def register(name: str, sql: str | None = None):
     return keep
 
 
+@register("op1_string_tiling")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), ["doc_id"])
+    share = F.round("_share", 6).alias("coverage")
+    return found.select("_doc.doc_id", (F.col("_items") > 0).alias("contaminated"), F.col("_item").alias("item_id"), share, F.col("_items").alias("n_items"))
+
+
+@register("op2_line_chunks")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_chunks(documents(spark, sf_dir))
+    return found.select("doc_id", F.col("lines").alias("n_lines"), F.col("removed").alias("n_removed"), F.col("spans").alias("removed_lines"))
+
+
+def language_model(spark: SparkSession, sf_dir: str) -> Model | None:
+    """Centroids of the labelled documents outside the held-out fold."""
+    docs = documents(spark, sf_dir)
+    return learn(docs.where(fold("doc_id", 5) != 0), F.col("lang"), F.col("text"), F.md5(F.col("doc_id").cast("string").cast("binary")))
+
+
+@register("op3_nearest_centroid")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = predict(documents(spark, sf_dir), language_model(spark, sf_dir), ["doc_id"])
+    return found.select(
+        "_doc.doc_id", (fold("_doc.doc_id", 5) == 0).alias("held_out"), F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"),
+        F.col("_rejected").alias("rejected"),
+    )
+
+
 @register("op6_stratified_interleaving")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = interleave(documents(spark, sf_dir))
@@ -33,6 +65,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op8_histogram_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
 @register(
     "op9_block_naming",
     r"""
