@@ -13,6 +13,7 @@ from .exact_dedup import exact_duplicates
 from .langid import Model, learn, predict
 from .line_dedup import repeated_chunks
 from .packing import pack
+from .pii import personal_data
 from .sharding import interleave
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +66,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op7_contextual_extraction")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(spark, sf_dir))
+
+
 @register("op8_histogram_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
