@@ -15,7 +15,7 @@ BLOCK_BYTES = 8192
 def normalised(text: Column) -> Column:
     """Text with each run of blanks as one space; null counts as empty."""
     # A lone space is left alone, so only runs and other blanks are rewritten.
-    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D](?:[\x20\x09-\x0D]++|(?<!\x20))", " ")
 
 
 def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -24,15 +24,19 @@ def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _blocks(read: DataFrame, block_bytes: int) -> DataFrame:
-    """(_doc, _sha, blocks, i, _block): the text cut into blocks of fixed size; empty text is one empty block."""
+    """(_doc, _sha, blocks, i, _block): the text cut into blocks of fixed size; empty text is one empty block.
+
+    There is always a block. An inner explode, like an equality that needs no
+    null, would add a filter that computes the normalised text once more.
+    """
     size = F.octet_length("_norm")
     count = F.greatest(F.ceil(size / block_bytes), F.lit(1)).cast("int")
     cut = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(F.col("_norm"), i * block_bytes + 1, F.lit(block_bytes)))
-    return read.select("_doc", "_sha", count.alias("blocks"), cut.alias("_cut")).select("_doc", "_sha", "blocks", F.posexplode("_cut").alias("i", "_block"))
+    return read.select("_doc", "_sha", count.alias("blocks"), cut.alias("_cut")).select("_doc", "_sha", "blocks", F.posexplode_outer("_cut").alias("i", "_block"))
 
 
 def _same(left: DataFrame, right: DataFrame):
-    return left["_doc"].eqNullSafe(right["_doc"]) & (left["_sha"] == right["_sha"])
+    return left["_doc"].eqNullSafe(right["_doc"]) & left["_sha"].eqNullSafe(right["_sha"])
 
 
 def _whole(rows: DataFrame) -> DataFrame:
@@ -109,6 +113,6 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
     sha = F.sha2(normalised(F.col(f"`{text_col}`")).cast("binary"), 256)
     keyed = docs.withColumn("_row_sha", sha)
-    found = keyed.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_kept_id")) & (F.col("_row_sha") == F.col("_kept_sha")), "left_semi")
+    found = keyed.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_kept_id")) & F.col("_row_sha").eqNullSafe(F.col("_kept_sha")), "left_semi")
     first = F.row_number().over(Window.partitionBy(f"`{id_col}`", "_row_sha").orderBy(F.lit(0)))
     return found.withColumn("_row_no", first).where("_row_no = 1").drop("_row_sha", "_row_no")
