@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -36,6 +37,12 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFra
     return joined.select(*df.columns, place.alias(name))
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffle files that nothing refers to any more; Spark drops them when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % folds

@@ -15,6 +15,7 @@ from .line_dedup import repeated_chunks
 from .packing import pack
 from .pii import personal_data
 from .sharding import interleave
+from .suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,3 +87,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
+
+
+@register("op10_interval_expansion")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
