@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 
 from siteledger.operators import staged
 
+CHUNK = 1 << 20
+BASE, OTHER_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+# Blanks that part words: space and 9 to 13. Letters A to Z in lower case.
+_BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+_LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -93,3 +99,76 @@ def texts_of(part: pa.RecordBatch, keep: Sequence[str], text_col: str) -> list[s
     if text_col in keep:
         return part.column(place("_doc")).field(list(keep).index(text_col)).to_pylist()
     return part.column(place("_text")).to_pylist()
+
+
+_KEPT: dict[int, tuple[np.ndarray, ...]] = {}
+
+
+def _constants(base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, those of its inverse, and a random odd value per byte; computed once per task."""
+    if base not in _KEPT:
+        powers = (np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(CHUNK + 4096, b, np.uint64)))) for b in (base, pow(base, -1, 2**64)))
+        _KEPT[base] = (*powers, np.random.default_rng(base % 1000).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1))
+    return _KEPT[base]
+
+
+def prefix_hash(data: np.ndarray, base: int) -> np.ndarray:
+    up, _, table = _constants(base)
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(table[data] * up[: len(data)], dtype=np.uint64)))
+
+
+def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+    """Hash of the bytes from start to end, wherever they are."""
+    _, down, _ = _constants(base)
+    out = (prefix[end] - prefix[start]) * down[start]
+    out ^= out >> np.uint64(31)
+    out *= np.uint64(0x94D049BB133111EB)
+    return out ^ (out >> np.uint64(29))
+
+
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a text column without nulls, and where each text begins and the last one ends."""
+    wide = pa.types.is_large_string(column.type)
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    whole = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return whole[ends[0] : ends[-1]], ends - ends[0]
+
+
+def token_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash per word of all texts, and the text it is in; A to Z count as lower case, words have no blanks in them.
+
+    Bytes are read chunk by chunk, each of which ends where a word cannot go on.
+    """
+    hashes, texts, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while at < len(data):
+        end = min(at + CHUNK, len(data))
+        if end < len(data):
+            blank = np.flatnonzero(_BLANK[data[at:end]])
+            bound = ends[np.searchsorted(ends, end, side="right") - 1]
+            cut = max(int(bound), at + int(blank[-1]) + 1 if len(blank) else 0)
+            if cut <= at:  # one word is longer than a chunk
+                cut = int(ends[np.searchsorted(ends, at, side="right")])
+                for begin in range(at, cut, CHUNK):
+                    blank = np.flatnonzero(_BLANK[data[begin : min(begin + CHUNK, cut)]])
+                    if len(blank):
+                        cut = begin + int(blank[0])
+                        break
+                whole = _LOWER[data[at:cut]].tobytes()
+                hashes.append(np.array([xxhash.xxh3_64_intdigest(whole)], np.uint64))
+                texts.append(np.searchsorted(ends, [at], side="right") - 1)
+                at = cut
+                continue
+            end = cut
+        part = data[at:end]
+        word = ~_BLANK[part]
+        first = np.zeros(len(part) + 1, bool)
+        low, high = np.searchsorted(ends, [at, end + 1])
+        first[ends[low:high] - at] = True
+        begins = word & (first[:-1] | ~np.concatenate(([False], word[:-1])))
+        stops = word & (first[1:] | ~np.concatenate((word[1:], [False])))
+        starts = np.flatnonzero(begins)
+        hashes.append(range_hash(prefix_hash(_LOWER[part], BASE), starts, np.flatnonzero(stops) + 1, BASE))
+        texts.append(np.searchsorted(ends, starts + at, side="right") - 1)
+        at = end
+    return np.concatenate(hashes), np.concatenate(texts)

@@ -12,6 +12,7 @@ from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
 from .langid import Model, learn, predict
 from .line_dedup import repeated_chunks
+from .lm_score import score_documents
 from .packing import pack
 from .pii import personal_data
 from .sharding import interleave
@@ -59,6 +60,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op5_elias_fano_trie")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir), fold("doc_id", 7) == 2)
+
+
 @register("op6_stratified_interleaving")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = interleave(documents(spark, sf_dir))

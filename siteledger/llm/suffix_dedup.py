@@ -13,43 +13,16 @@ from pyspark.sql import functions as F
 
 from siteledger.operators import staged
 
-from .common import batches, release, rows_of
+from .common import BASE, CHUNK, OTHER_BASE, batches, prefix_hash, range_hash, release, rows_of
 
 LEAST = 100
 GRAM = 40
-CHUNK = 1 << 20
 BUCKET_BYTES = 1 << 20
 HOT_PIECES = 4096
 LAST = (1 << 63) - 1
-_A, _B = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _PLACE = np.uint64((1 << 22) - 1)  # a place in a chunk
 
 
-_KEPT: dict[int, tuple[np.ndarray, ...]] = {}
-
-
-def _constants(base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2^64, those of its inverse, and a random odd value per byte; computed once per task."""
-    if base not in _KEPT:
-        powers = (np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(CHUNK + 4096, b, np.uint64)))) for b in (base, pow(base, -1, 2**64)))
-        _KEPT[base] = (*powers, np.random.default_rng(base % 1000).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1))
-    return _KEPT[base]
-
-
-def _prefix(data: np.ndarray, base: int) -> np.ndarray:
-    up, _, table = _constants(base)
-    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(table[data] * up[: len(data)], dtype=np.uint64)))
-
-
-def _range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    """Hash of the bytes from start to end, wherever they are."""
-    _, down, _ = _constants(base)
-    out = (prefix[end] - prefix[start]) * down[start]
-    out ^= out >> np.uint64(31)
-    out *= np.uint64(0x94D049BB133111EB)
-    return out ^ (out >> np.uint64(29))
-
-
 def pieces(text: bytes, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, start, size, hash) of the pieces of a text.
 
@@ -63,7 +36,7 @@ def pieces(text: bytes, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarra
     for at in range(0, len(whole) - least + 1, CHUNK):
         data = whole[at : at + CHUNK + least - 1]
         starts = np.arange(len(data) - gram + 1)
-        hashes = _range_hash(_prefix(data, _A), starts, starts + gram, _A)
+        hashes = range_hash(prefix_hash(data, BASE), starts, starts + gram, BASE)
         low, size = (hashes & ~_PLACE) | starts.view(np.uint64), 1
         while size * 2 <= width:
             low, size = np.minimum(low[:-size], low[size:]), size * 2
@@ -72,7 +45,7 @@ def pieces(text: bytes, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarra
         low = low[: len(data) - least + 1] & _PLACE
         begin = np.concatenate(([0], np.flatnonzero(low[1:] != low[:-1]) + 1))
         end = np.concatenate((begin[1:], [len(low)])) + least - 1
-        found.append((hashes[low[begin].view(np.int64)], begin + at, end - begin, _range_hash(_prefix(data, _B), begin, end, _B)))
+        found.append((hashes[low[begin].view(np.int64)], begin + at, end - begin, range_hash(prefix_hash(data, OTHER_BASE), begin, end, OTHER_BASE)))
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(column) for column in zip(*found, strict=True))
@@ -263,7 +236,7 @@ def _window_rows(least: int):
             for doc, t, start, anchor, piece in rows_of(part, "_doc", "_t", "start", "anchor", "piece"):
                 data = np.frombuffer(piece, np.uint8)
                 at = np.arange(len(data) - least + 1)
-                hashes = [_signed(_range_hash(_prefix(data, b), at, at + least, b)) for b in (_A, _B)]
+                hashes = [_signed(range_hash(prefix_hash(data, b), at, at + least, b)) for b in (BASE, OTHER_BASE)]
                 columns = [np.full(len(at), anchor), *hashes, np.full(len(at), doc), np.full(len(at), t), at + start]
                 yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], schema=schema)
 
