@@ -13,6 +13,7 @@ from .exact_dedup import exact_duplicates
 from .langid import Model, learn, predict
 from .line_dedup import repeated_chunks
 from .lm_score import score_documents
+from .minhash import near_duplicates
 from .packing import pack
 from .pii import personal_data
 from .sharding import interleave
@@ -60,6 +61,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op4_inverted_signatures")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 @register("op5_elias_fano_trie")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir), fold("doc_id", 7) == 2)
