@@ -66,7 +66,8 @@ def identities(read: DataFrame, small: DataFrame, block_bytes: int = BLOCK_BYTES
     occurs nowhere else leave at once. The hash in ``small`` does no more than
     keep blocks without any counterpart from being sorted.
     """
-    twice = small.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h")
+    # Staged, so that the join has plain shuffles on both sides and splits a hot block.
+    twice = staged(small.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h"))
     whole = _whole(small.join(twice, "_h"))
     some = read.join(whole, _same(read, whole), "left_semi")
     rows = staged(_blocks(some, block_bytes))
@@ -100,7 +101,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ids = identities(read, small, block_bytes)
     known = staged(every.join(ids, _same(every, ids), "left").select(every["_doc"], every["_sha"], "_rows", "total", "name"))
     shared = known.where("name IS NOT NULL")
-    classes = shared.groupBy("total", "name").agg(F.min("_doc").alias("keep_id"), F.sum("_rows").alias("group_size"))
+    classes = staged(shared.groupBy("total", "name").agg(F.min("_doc").alias("keep_id"), F.sum("_rows").alias("group_size")))
     joined = shared.join(classes, ["total", "name"]).select("_doc", "_sha", "_rows", "keep_id", "group_size")
     alone = known.where("name IS NULL").select("_doc", "_sha", "_rows", F.col("_doc").alias("keep_id"), F.col("_rows").alias("group_size"))
     rows = joined.unionByName(alone).withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), "_rows")))
@@ -110,9 +111,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that ``exact_duplicates`` keeps, with their columns as they are."""
-    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    sha = F.sha2(normalised(F.col(f"`{text_col}`")).cast("binary"), 256)
-    keyed = docs.withColumn("_row_sha", sha)
-    found = keyed.join(kept, F.col(f"`{id_col}`").eqNullSafe(F.col("_kept_id")) & F.col("_row_sha").eqNullSafe(F.col("_kept_sha")), "left_semi")
-    first = F.row_number().over(Window.partitionBy(f"`{id_col}`", "_row_sha").orderBy(F.lit(0)))
-    return found.withColumn("_row_no", first).where("_row_no = 1").drop("_row_sha", "_row_no")
+    kept = exact_duplicates(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id"), F.unhex("text_sha256").alias("_kept_sha"))
+    sha = F.unhex(F.sha2(normalised(F.col(f"`{text_col}`")).cast("binary"), 256))
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(packed.alias("_doc"), F.col(f"`{id_col}`").alias("_id"), sha.alias("_sha"))
+    found = keyed.join(kept, F.col("_id").eqNullSafe(F.col("_kept_id")) & F.col("_sha").eqNullSafe(F.col("_kept_sha")), "left_semi")
+    first = F.row_number().over(Window.partitionBy("_id", "_sha").orderBy(F.lit(0)))
+    return found.withColumn("_no", first).where("_no = 1").select("_doc.*")

@@ -92,14 +92,20 @@ def _count_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame, lang: Column, text: Column, order: Column, per_language: int = SAMPLE_PER_LANGUAGE, **options) -> Model | None:
-    """Fit on at most ``per_language`` texts of each language, the first by ``order``; whole texts with a letter count.
+    """Fit on at most ``per_language`` texts of each language, the first by a hash of ``order``; whole texts with a letter count.
 
-    The sample is chosen from language and order alone, in one window that keeps
-    the first rows of each task before it shuffles.
+    The sample is chosen from language and order alone. A share of each language
+    that holds about twice the sample is taken by the hash, so one task ranks
+    no more than that.
     """
     keyed = docs.select(lang.alias("lang"), text.alias("text"), order.alias("_order")).where("lang IS NOT NULL AND text IS NOT NULL")
-    first = Window.partitionBy("lang").orderBy("_order")
-    chosen = keyed.select("lang", "_order").withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language)
+    drawn = keyed.select("lang", F.coalesce("_order", F.lit("")).alias("_order")).withColumn("_draw", F.crc32(F.concat(F.lit("draw"), F.col("_order")).cast("binary")))
+    counts = drawn.groupBy("lang").agg(F.count("*").alias("_n"))
+    few = F.col("_draw") * F.col("_n") < F.lit((2.0 * per_language + 100) * (1 << 32))
+    drawn = drawn.join(counts, "lang").where(few).select("lang", "_order", "_draw").distinct()
+    first = Window.partitionBy("lang").orderBy("_draw", "_order")
+    chosen = drawn.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= per_language)
+    keyed = keyed.withColumn("_order", F.coalesce("_order", F.lit("")))
     ids = F.broadcast(chosen.select("lang", "_order").distinct())
     rows = keyed.where(text_has_letter("text")).join(ids, ["lang", "_order"]).dropDuplicates(["lang", "_order"])
     found = rows.select("lang", "text").mapInArrow(_count_rows, "lang string, counts binary").collect()

@@ -93,14 +93,15 @@ def repeated_chunks(
     small = staged(read.mapInArrow(_hash_rows(roll, spread, least, least_bytes), "_doc long, _t long, at long, lines long, h1 long, h2 long"))
     every = small.where("at < 0").select("_doc", "_t", "lines").distinct()
     found = small.where("at >= 0")
-    twice = found.groupBy("h1", "h2").agg(F.count("*").alias("_n")).where("_n > 1").select("h1", "h2")
+    # Staged, so that the joins have plain shuffles on both sides and split a hot chunk.
+    twice = staged(found.groupBy("h1", "h2").agg(F.count("*").alias("_n")).where("_n > 1").select("h1", "h2"))
     places = found.join(twice, ["h1", "h2"]).groupBy("_doc", "_t").agg(F.collect_set(F.struct("at", "lines")).alias("_places"))  # chunks of one document
     texts = read.join(places.withColumnsRenamed({"_doc": "_d", "_t": "_u"}), F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_u")))
     cut = texts.select("_doc", "_t", "_text", "_places").mapInArrow(_byte_rows, "_doc long, _t long, at long, lines long, chunk binary")
     # A repeated row has its chunks once; the bytes are shuffled by a hash and compared as they are.
     some = staged(cut)
     order = F.struct("_doc", "_t", "at")
-    first = some.groupBy("chunk").agg(F.min(order).alias("_first"))
+    first = staged(some.groupBy("chunk").agg(F.min(order).alias("_first")))
     gone = some.join(first, "chunk").where(order != F.col("_first")).select("_doc", "_t", "at", "lines").distinct()
     lists = gone.groupBy("_doc", "_t").agg(F.sum("lines").alias("removed"), F.sort_array(F.collect_list(F.struct("at", "lines"))).alias("_gone"))
     text = F.array_join(F.transform("_gone", lambda g: F.concat(g["at"].cast("string"), F.lit(":"), g["lines"].cast("string"))), ",")
@@ -113,11 +114,11 @@ def repeated_chunks(
 def drop_repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with repeated chunks of lines cut out of the text; all other columns as they are."""
     gone = repeated_chunks(docs, id_col, text_col, **options).where("removed > 0").select(F.col(id_col).alias("_d"), F.col("_t").alias("_u"), F.col("spans").alias("_spans"))
-    name = f"`{text_col}`"
-    key = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce(F.col(name), F.lit(""))) == F.col("_u"))
-    lines = F.split(F.col(name), "\n", -1)
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(packed, F.col(f"`{id_col}`").cast("long").alias("_doc"), F.col(f"`{text_col}`").alias("_text"))
+    key = F.col("_doc").eqNullSafe(F.col("_d")) & (F.xxhash64(F.coalesce("_text", F.lit(""))) == F.col("_u"))
     numbers = F.transform(F.split("_spans", ","), lambda s: F.struct(F.split(s, ":")[0].cast("int").alias("a"), F.split(s, ":")[1].cast("int").alias("n")))
-    stay = F.filter(lines, lambda _, i: ~F.exists(numbers, lambda s: (i >= s["a"]) & (i < s["a"] + s["n"])))
-    left = F.when(F.col("_spans").isNull(), F.col(name)).otherwise(F.array_join(stay, "\n"))
-    joined = docs.join(gone, key, "left").withColumn("_left", left)
-    return joined.select(*[F.col("_left").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    stay = F.filter(F.split("_text", "\n", -1), lambda _, i: ~F.exists(numbers, lambda s: (i >= s["a"]) & (i < s["a"] + s["n"])))
+    left = F.when(F.col("_spans").isNull(), F.col("_text")).otherwise(F.array_join(stay, "\n"))
+    joined = rows.join(gone, key, "left").withColumn("_left", left)
+    return joined.select(*[F.col("_left").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns])

@@ -284,4 +284,5 @@ def _labelled(read: DataFrame, near: DataFrame, shingle: int, percent: int, coor
 def drop_near(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each component, that with the smallest id, with its columns as they are."""
     kept = near_duplicates(docs, shingle, percent, id_col, text_col, **options).where("kept").select(F.col(id_col).alias("_kept_id"))
-    return docs.join(kept, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(f"`{id_col}`").cast("long").alias("_id"))
+    return packed.join(kept, F.col("_id").eqNullSafe(F.col("_kept_id")), "left_semi").select("_doc.*")

@@ -261,7 +261,8 @@ def repeated_spans(read: DataFrame, least: int = LEAST, gram: int = GRAM, bucket
     found = read.select("_doc", "_t", "_text").mapInArrow(_place_rows(least, gram), ", ".join(f"{n} long" for n in _PLACES.names))
     places = staged(found.join(twice, "anchor"))
     release(spark)
-    # Copies of a piece count as one, the first of them.
+    # Copies of a piece count as one, the first of them. Sides of joins that were reduced are staged, so that
+    # both sides are plain shuffles and a hot key is split.
     where = F.struct("_doc", "_t", "start")
     first = staged(places.groupBy("anchor", "hash", "size").agg(F.min(where).alias("_first")))
     copies = places.join(first, ["anchor", "hash", "size"]).where(where != F.col("_first"))
