@@ -21,8 +21,8 @@ from .common import release, text_bytes, token_hashes
 END, START = np.uint64(1), np.uint64(2)
 MASS = 100.0
 HOT_SHARE = 1000
-SHARD_BYTES = 24 << 20
-SLICE_BYTES = 12 << 20
+SHARD_BYTES = 10 << 20
+SLICE_BYTES = 4 << 20
 SLICE_TEXTS = 1 << 15
 COLD, HOT, TEXTS, SUMS = range(4)
 _ROWS = pa.schema([("shard", pa.int64()), ("part", pa.int64()), ("kind", pa.int64()), ("data", pa.binary())])
@@ -228,6 +228,10 @@ def _blocks(primary: np.ndarray, other: np.ndarray, of: np.ndarray, held: np.nda
             yield s, _dump(words=words[bounds[s] : bounds[s + 1]], per=per, child=child[e], runs=lengths[e].astype(np.uint8), texts=texts[post[s] : post[s + 1]])
 
 
+def _sums(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(of, values, n).astype(np.float64)  # without values it counts in integers
+
+
 def _emit_rows(known: Known, shards: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number = TaskContext.get().partitionId(), 0
@@ -239,11 +243,11 @@ def _emit_rows(known: Known, shards: int):
                 a, b = _ranks(before, known.hot), _ranks(now, known.hot)
                 near, far, start = (a >= 0) & (b >= 0), b < 0, (a < 0) & (b >= 0)
                 frequent, word = b >= 0, np.where(now == END, -1, b)
-                base = np.bincount(of[frequent], known.base[b[frequent]], n)
-                score = np.bincount(of[near], known.pairs[a[near], b[near]], n)
-                score += np.bincount(of[word >= 0], known.context[word[word >= 0]], n)
+                base = _sums(of[frequent], known.base[b[frequent]], n)
+                score = _sums(of[near], known.pairs[a[near], b[near]], n)
+                score += _sums(of[word >= 0], known.context[word[word >= 0]], n)
                 score += known.context[_ranks(np.array([START]), known.hot)[0]]
-                heard = np.bincount(of[frequent], known.counts[b[frequent]] > 0, n)
+                heard = _sums(of[frequent], known.counts[b[frequent]] > 0, n)
                 ids = rows.column(rows.schema.get_field_index("_id"))
                 tokens = np.bincount(of, minlength=n)
                 texts_row = _dump(id=np.array(ids.fill_null(0)), null=np.array(ids.is_null()), held=held, tokens=tokens, base=base, score=score, known=heard.astype(np.int64))

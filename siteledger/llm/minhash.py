@@ -278,7 +278,8 @@ def _labelled(read: DataFrame, near: DataFrame, shingle: int, percent: int, coor
     others = labels.select(F.col("node").alias("b"), F.col("label").alias("_b"))
     across = more.join(ends, "a").join(others, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct()
     above = components(labels.select(F.col("label").alias("node")).distinct(), across)
-    return staged(labels.join(above.withColumnsRenamed({"node": "label", "label": "_top"}), "label").select("node", F.col("_top").alias("label")))
+    above = above.select(F.col("node").alias("_of"), F.col("label").alias("_top"))
+    return staged(labels.join(above, F.col("label") == F.col("_of")).select("node", F.col("_top").alias("label")))
 
 
 def drop_near(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

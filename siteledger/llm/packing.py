@@ -118,15 +118,18 @@ def plan(counts: np.ndarray, window: int) -> list[tuple[tuple[int, ...], int]]:
         use(combos[k], int(round(solved[k])))
     while len(rest := np.flatnonzero(left)):
         combo, room = [int(rest[-1])], window - int(rest[-1])
-        taken = {combo[0]: 1}
+        left[combo[0]] -= 1
         while room:
-            fits = rest[: np.searchsorted(rest, room, side="right")]
-            best = next((int(n) for n in fits[::-1] if left[n] > taken.get(int(n), 0)), None)
-            if best is None:
+            fits = np.flatnonzero(left[: room + 1])
+            if not len(fits):
                 break
+            # The rest exactly, by one piece or by two; else the longest piece that fits.
+            whole = fits[(left[room - fits] > (fits * 2 == room)) & (fits < room)]
+            best = room if fits[-1] == room else int(whole[-1]) if len(whole) else int(fits[-1])
             combo.append(best)
-            taken[best] = taken.get(best, 0) + 1
+            left[best] -= 1
             room -= best
+        np.add.at(left, combo, 1)
         use(tuple(combo))
     return made
 

@@ -19,6 +19,8 @@ LEAST = 100
 GRAM = 40
 BUCKET_BYTES = 1 << 20
 HOT_PIECES = 4096
+FILTER_BITS = 26
+TASK_BYTES = 64 << 20
 LAST = (1 << 63) - 1
 _PLACE = np.uint64((1 << 22) - 1)  # a place in a chunk
 
@@ -146,6 +148,8 @@ def repeated(chars: np.ndarray, order: np.ndarray, texts: int, least: int) -> np
 def earlier(texts: list[bytes], doc: np.ndarray, tie: np.ndarray, start: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, first offset, last offset) of the runs of windows that occur earlier, by (doc, tie, place), in these texts."""
     sizes = np.array([len(t) + 1 for t in texts])
+    if not len(sizes) or sizes.max() <= least:
+        return (np.zeros(0, np.int64),) * 3
     chars = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 1
     ends = np.cumsum(sizes) - 1
     chars[ends] = 0
@@ -188,14 +192,39 @@ def _anchor_rows(least: int, gram: int):
     return run
 
 
+def _bitmap_rows(table: pa.Table) -> pa.Table:
+    """One chunk of the filter: 8192 bits, set where an anchor's low bits fall."""
+    anchors = table["anchor"].to_numpy()
+    bits = np.zeros(8192, np.uint8)
+    bits[anchors & 8191] = 1
+    chunk = int(anchors[0] & ((1 << FILTER_BITS) - 1)) >> 13
+    return pa.table({"chunk": pa.array([chunk], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+
+def _filter(anchors: DataFrame) -> np.ndarray:
+    """Which low bits occur among the anchors, in a bitmap of fixed size.
+
+    It spares most anchors without a counterpart the shuffle as long as it is
+    sparse; what passes is joined exactly, so a full one only spares less.
+    """
+    chunk = F.shiftright(F.col("anchor").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 13)
+    whole = np.zeros(((1 << FILTER_BITS) >> 13, 1024), np.uint8)
+    for row in anchors.groupBy(chunk.alias("_chunk")).applyInArrow(_bitmap_rows, "chunk long, bits binary").collect():  # 8 MB at most
+        whole[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
+    return whole.ravel()
+
+
 _PLACES = pa.schema([(n, pa.int64()) for n in ("_doc", "_t", "start", "size", "anchor", "hash")])
 
 
-def _place_rows(least: int, gram: int):
+def _place_rows(least: int, gram: int, known: np.ndarray):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for doc, t, text in rows_of(part, "_doc", "_t", "_text"):
                 anchor, start, size, mixed = pieces(text.encode(), least, gram)
+                low = anchor & np.uint64((1 << FILTER_BITS) - 1)
+                keep = (known[(low >> np.uint64(3)).astype(np.int64)] >> (7 - (low & np.uint64(7))).astype(np.uint8)) & 1 == 1
+                anchor, start, size, mixed = anchor[keep], start[keep], size[keep], mixed[keep]
                 if len(start):
                     columns = [np.full(len(start), doc), np.full(len(start), t), start, size, _signed(anchor), _signed(mixed)]
                     yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], schema=_PLACES)
@@ -258,7 +287,7 @@ def repeated_spans(read: DataFrame, least: int = LEAST, gram: int = GRAM, bucket
     counted = read.select("_text").mapInArrow(_anchor_rows(least, gram), "anchor long, n long")
     twice = staged(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
     release(spark)
-    found = read.select("_doc", "_t", "_text").mapInArrow(_place_rows(least, gram), ", ".join(f"{n} long" for n in _PLACES.names))
+    found = read.select("_doc", "_t", "_text").mapInArrow(_place_rows(least, gram, _filter(twice)), ", ".join(f"{n} long" for n in _PLACES.names))
     places = staged(found.join(twice, "anchor"))
     release(spark)
     # Copies of a piece count as one, the first of them. Sides of joins that were reduced are staged, so that
@@ -276,8 +305,10 @@ def repeated_spans(read: DataFrame, least: int = LEAST, gram: int = GRAM, bucket
     release(spark)
     buckets = max(1, math.ceil(total / bucket_bytes))
     kinds = ", ".join(f"{n} long" for n in _GONE.names)
-    cold = cut.where(F.col("variants") <= hot_pieces).groupBy(F.pmod(F.xxhash64("anchor"), F.lit(buckets)).alias("_bucket"))
-    expanded = staged(cold.applyInArrow(_expand(least), kinds))
+    # Sorting suffixes is work for the processor, so small shuffles are not gathered into few tasks.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / TASK_BYTES))
+    cold = cut.where(F.col("variants") <= hot_pieces).withColumn("_bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).repartition(tasks, "_bucket")
+    expanded = staged(cold.groupBy("_bucket").applyInArrow(_expand(least), kinds))
     # Too many pieces with one anchor for a bucket: their windows are grouped one by one, which spreads them.
     hot = cut.where(F.col("variants") > hot_pieces)
     windows = staged(hot.mapInArrow(_window_rows(least), "anchor long, h1 long, h2 long, _doc long, _t long, at long"))
