@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siteledger.sources import spread
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -29,8 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table whose texts are to be read, spread over the cores if it is small."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+    """Columns of a table whose texts are to be read."""
+    return table(spark, sf_dir, name).select(*columns)
 
 
 from . import companies, crm, reports, sites, text, writes  # noqa: E402,F401

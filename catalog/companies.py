@@ -8,7 +8,7 @@ from siteledger.operators import parse_registry, read_documents
 from siteledger.plans import load_registry
 from siteledger.schemas import TABLES
 
-from . import register
+from . import ORACLE, register
 from .planted import planted, planted_sql
 
 SQL_GOOD = planted_sql("registry_docs") + """, good AS MATERIALIZED (SELECT inn_id, inn, doc FROM registry_docs
@@ -108,9 +108,32 @@ def _(spark, sf):
     return parse_registry(planted(spark, sf, "registry_docs"))["rejects"]
 
 
+def _registry(spark, sf):
+    names = ["company_info", "company_finances", "company_founders", "company_additional_activities"]
+    return load_registry({n: spark.createDataFrame([], TABLES[n]) for n in names}, planted(spark, sf, "registry_docs"))
+
+
 @register("plan_registry_founders", SQL_GOOD + """SELECT inn_id, 'Петров' || inn_id || ' Иван' AS founder_full_name FROM good
     UNION ALL SELECT inn_id, 'Анна' FROM good WHERE inn_id % 3 = 0""")
 def _(spark, sf):
-    names = ["company_info", "company_finances", "company_founders", "company_additional_activities"]
-    tables = {n: spark.createDataFrame([], TABLES[n]) for n in names}
-    return load_registry(tables, planted(spark, sf, "registry_docs"))["company_founders"].select("inn_id", "founder_full_name")
+    return _registry(spark, sf)["company_founders"].select("inn_id", "founder_full_name")
+
+
+@register("plan_registry_finances", ORACLE["x3_finances"])
+def _(spark, sf):
+    return _registry(spark, sf)["company_finances"].select("inn_id", "inn", "year", "income", "outcome", "profit")
+
+
+@register("plan_registry_activities", ORACLE["x7_activities"])
+def _(spark, sf):
+    return _registry(spark, sf)["company_additional_activities"].select("inn_id", "inn", "activity_code", "activity_name", "activity_version")
+
+
+@register("plan_registry_addresses", ORACLE["x8_address"])
+def _(spark, sf):
+    return _registry(spark, sf)["company_info"].select("inn_id", "address", "city")
+
+
+@register("plan_registry_rejects", ORACLE["x_rejects"])
+def _(spark, sf):
+    return _registry(spark, sf)["rejects"].select("inn_id", "inn", "doc")

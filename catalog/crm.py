@@ -26,6 +26,15 @@ def _(spark, sf):
     return deal_updates(_deals(spark, sf)).select("id", F.col("fields")["TITLE"].alias("title"))
 
 
+@register("e2_deal_fields", """SELECT page_id AS id, trim(split_part(url, ':', 2), '/') AS title, CAST(page_id % 10 AS STRING) AS segment, 'x' || page_id AS opportunity FROM pages""")
+def _(spark, sf):
+    deals = _deals(spark, sf).select("*", (F.col("bitrix_id") % 10).alias("segment"), F.concat(F.lit("x"), "bitrix_id").alias("opportunity"))
+    fields = F.col("fields")
+    return deal_updates(deals, ["title", "segment", "opportunity"]).select(
+        "id", fields["TITLE"].alias("title"), fields["UF_CRM_1656332862"].alias("segment"), fields["OPPORTUNITY"].alias("opportunity")
+    )
+
+
 @register("e2_contact_updates", """SELECT o_orderkey AS id, trim(split_part(url, ':', 2), '/') AS last_name FROM pages JOIN orders ON o_custkey = page_id""")
 def _(spark, sf):
     contacts = table(spark, sf, "orders").select(F.col("o_custkey").alias("bitrix_id"), F.col("o_orderkey").alias("contact_id"))

@@ -30,7 +30,7 @@ from siteledger.operators import (
     unique_violations,
     with_domain,
 )
-from siteledger.plans import read_pages
+from siteledger.plans import load_domain_inns, load_domains, load_inns, read_pages
 
 from . import register, table
 from .planted import planted, planted_sql
@@ -59,8 +59,7 @@ def _(spark, sf):
     return sources.read_domains_txt(spark, path)
 
 
-@register("s3_inn_csv", """SELECT DISTINCT inn FROM (SELECT lpad(CAST(o_custkey AS STRING), 10, '0') AS inn FROM orders
-    ORDER BY o_orderkey LIMIT 100001)""")
+@register("s3_inn_csv", "SELECT DISTINCT lpad(CAST(o_custkey AS STRING), 10, '0') AS inn FROM orders")
 def _(spark, sf):
     path = _scratch(spark, "inns-csv")
     inn = F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("inn")
@@ -107,8 +106,8 @@ SQL_SITE_HIT = ("(contains(lower(real_domain), 'porn') OR coalesce(title, '') IN
                 "OR description = 'Ставки на спорт')")
 
 
-@register("s8_audit_deleted", planted_sql("site_info") + f"""SELECT id, domain_id, real_domain, substr(title, 1, 100) AS title,
-    substr(description, 1, 100) AS description FROM site_info WHERE {SQL_SITE_HIT}""")
+@register("s8_audit_deleted", planted_sql("site_info") + f"""SELECT id, domain_id, real_domain, title, description
+    FROM site_info WHERE {SQL_SITE_HIT}""")
 def _(spark, sf):
     return audit_deleted(clean_domain_info(planted(spark, sf, "site_info"))[1])
 
@@ -134,6 +133,11 @@ def _(spark, sf):
     return retry_set(planted(spark, sf, "order_domains"), 404).select("id", "domain", "status")
 
 
+@register("f2_retry_timeouts", planted_sql("order_domains") + "SELECT id, domain, status FROM order_domains WHERE status = 408 AND id >= 1000")
+def _(spark, sf):
+    return retry_set(planted(spark, sf, "order_domains"), 408, 1000).select("id", "domain", "status")
+
+
 @register("f3_id_bounds", "SELECT min(o_orderkey) AS first_id, max(o_orderkey) AS last_id, count(*) AS n FROM orders")
 def _(spark, sf):
     return id_bounds(table(spark, sf, "orders"), "o_orderkey")
@@ -222,3 +226,46 @@ def _(spark, sf):
     UNION ALL SELECT id, 'cms' FROM order_domains WHERE cms IS NULL""")
 def _(spark, sf):
     return null_violations(planted(spark, sf, "order_domains"), ["real_domain", "cms"])
+
+
+@register("plan_load_domains", planted_sql("domains") + """, n AS (SELECT DISTINCT 'n' || (o_custkey % 500) || '.ru' AS domain FROM orders),
+    m AS (SELECT max(id) AS last FROM domains) SELECT id, domain, zone, real_domain, status FROM domains UNION ALL
+    SELECT last + row_number() OVER (ORDER BY domain), domain, 'ru', NULL, NULL FROM n, m""")
+def _(spark, sf):
+    path, known = _scratch(spark, "domains-csv"), planted(spark, sf, "domains")
+    new = table(spark, sf, "orders").select(F.concat(F.lit("n"), F.col("o_custkey") % 500, F.lit(".ru")).alias("domain"))
+    known.select("domain").unionByName(new).write.option("header", True).csv(path)
+    return load_domains(known, path)
+
+
+SQL_LOAD_INNS = """WITH e AS (SELECT s_suppkey AS id, lpad(CAST(s_suppkey AS STRING), 10, '0') AS inn, CAST(s_nationkey AS BIGINT) AS domain_id FROM supplier),
+    r AS (SELECT DISTINCT lpad(CAST(o_custkey AS STRING), 10, '0') AS inn FROM orders) """
+
+
+def _load_inns(spark, sf):
+    path = _scratch(spark, "inns-csv")
+    known = table(spark, sf, "supplier").selectExpr("s_suppkey AS id", "lpad(CAST(s_suppkey AS STRING), 10, '0') AS inn", "CAST(s_nationkey AS BIGINT) AS domain_id")
+    inn = F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("inn")
+    table(spark, sf, "orders").select(inn).write.option("header", True).csv(path)
+    return load_inns(known, path)
+
+
+@register("plan_load_inns", SQL_LOAD_INNS + """SELECT id, inn, domain_id FROM e UNION ALL SELECT (SELECT max(id) FROM e) + row_number() OVER (ORDER BY inn), inn, NULL
+    FROM r WHERE inn NOT IN (SELECT inn FROM e)""")
+def _(spark, sf):
+    return _load_inns(spark, sf)[0]
+
+
+@register("plan_load_inns_known", SQL_LOAD_INNS + "SELECT inn FROM r WHERE inn IN (SELECT inn FROM e)")
+def _(spark, sf):
+    return _load_inns(spark, sf)[1]
+
+
+@register("plan_load_domain_inns", planted_sql("inn_rows") + """, e AS (SELECT s_suppkey AS id, s_name AS inn, s_suppkey AS domain_id FROM supplier),
+    n AS (SELECT domain_id, min(inn) AS inn FROM inn_rows WHERE domain_id IS NOT NULL AND domain_id NOT IN (SELECT domain_id FROM e) GROUP BY domain_id)
+    SELECT id, inn, domain_id FROM e UNION ALL SELECT (SELECT max(id) FROM e) + row_number() OVER (ORDER BY domain_id), inn, domain_id FROM n""")
+def _(spark, sf):
+    path = _scratch(spark, "inn-arrays")
+    known = table(spark, sf, "supplier").selectExpr("s_suppkey AS id", "s_name AS inn", "s_suppkey AS domain_id")
+    sources.write_json_arrays(planted(spark, sf, "inn_rows").repartition(8, "inn"), path)
+    return load_domain_inns(known, path)

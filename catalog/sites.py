@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteledger import sources
@@ -284,18 +286,72 @@ def _(spark, sf):
     return _crawl(spark, sf)["inns"].select("inn", "domain_id")
 
 
+SQL_MAIN_MAILS = f"""m AS (SELECT domain_id, CASE WHEN domain_id % 2 = 1 THEN ['u' || domain_id || '@ex' || (domain_id % 7) || '.com']
+    WHEN domain_id % 6 = 0 THEN ['Info' || domain_id || '@Firm.co.uk'] ELSE [] END AS emails FROM v)"""
+SQL_MAIN_PHONES = f"""SELECT c_custkey AS domain_id, unnest(string_split({SQL_PLANTED_PHONES}, ',')) AS number FROM customer
+    WHERE {SQL_PLANTED_PHONES} <> '' AND c_custkey IN (SELECT domain_id FROM v)"""
+
+
+@register("plan_crawl_phones", planted_sql("page_fetch") + SQL_CONTACTS + f""", {SQL_VALID}, {SQL_MAIN_MAILS} {SQL_MAIN_PHONES}
+    UNION SELECT m.domain_id, unnest(t) FROM m JOIN c ON m.domain_id = c.domain_id WHERE len(emails) = 0 AND NOT failed""")
+def _(spark, sf):
+    return _crawl(spark, sf, contact_pages=planted(spark, sf, "contact_pages"))["domain_phones"].select("domain_id", "number")
+
+
+@register("plan_crawl_domain_inns", planted_sql("page_fetch") + f""", {SQL_VALID} SELECT row_number() OVER (ORDER BY domain_id) AS id,
+    list_min(inns) AS inn, domain_id FROM v WHERE len(inns) > 0""")
+def _(spark, sf):
+    return _crawl(spark, sf)["domain_inns"].select("id", "inn", "domain_id")
+
+
+@register("plan_crawl_info_texts", planted_sql("page_fetch") + f""", {SQL_VALID}, {SQL_PREFIXES}, one AS (SELECT prefix, min(location) AS location FROM prefixes GROUP BY prefix),
+    ph AS ({SQL_MAIN_PHONES}), loc AS (SELECT domain_id, number, arg_max(location, length(prefix)) AS location FROM ph JOIN one
+    ON starts_with('7' || substr(number, 2), prefix) GROUP BY domain_id, number), byphone AS (SELECT domain_id, string_agg(DISTINCT location, ',' ORDER BY location) AS city FROM loc GROUP BY domain_id),
+    byinn AS (SELECT domain_id, string_agg(n_name, ',' ORDER BY n_name) AS city FROM (SELECT domain_id, unnest(inns) AS inn FROM v) JOIN nation
+    ON CAST(substr(inn, 1, 2) AS INT) = n_nationkey + 40 GROUP BY domain_id),
+    r AS (SELECT v.domain_id, real_url AS real_domain, seq, coalesce(CASE WHEN len(inns) > 0 THEN i.city ELSE p.city END, '') AS city, c_mktsegment || ' > all' AS description,
+    CASE WHEN v.domain_id % 4 = 1 THEN trim(repeat(c_mktsegment || ', ', 150)) ELSE '' END AS keywords, contains(real_url, 'https://') AS is_https_redirect
+    FROM v JOIN customer ON c_custkey = v.domain_id LEFT JOIN byinn i ON i.domain_id = v.domain_id LEFT JOIN byphone p ON p.domain_id = v.domain_id),
+    o AS (SELECT real_domain, arg_min(domain_id, seq) AS domain_id, arg_max(r, seq) AS w FROM r GROUP BY real_domain)
+    SELECT domain_id, w.city AS city, w.description AS description, w.keywords AS keywords, '' AS hosting, w.is_https_redirect AS is_https_redirect,
+    DATE '2024-05-01' AS last_updated, '' AS country, '' AS license_type, 'Отсутствует' AS status FROM o""")
+def _(spark, sf):
+    """Texts of the sites and their cities, by tax id or else by phone number."""
+    return _crawl(spark, sf, prefixes=_prefixes(spark, sf))["domain_info"].select(
+        "domain_id", "city", "description", "keywords", "hosting", "is_https_redirect", "last_updated", "country", "license_type", "status"
+    )
+
+
 @register("plan_clean_up_records", planted_sql("site_info") + f"SELECT id, real_domain FROM site_info WHERE {SQL_SITE_HIT}")
 def _(spark, sf):
     return clean_up(planted(spark, sf, "site_info"))[1].select("id", "real_domain")
 
 
-@register("st1_stream_domains", SQL_CRAWL_DOMAINS)
-def _(spark, sf):
+def _stream(spark, sf, name, **more):
     """The crawl as a stream of files: feature log, then one refresh."""
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     pages = planted(spark, sf, "page_fetch")
     pages.select(*[F.col(f.name).cast(f.dataType) for f in PAGE_FETCH.fields]).repartition(4, "domain_id").write.parquet(f"{base}/feed")
     sources.write_table(planted(spark, sf, "domains"), f"{base}/root", "domains")
     stream_pages(spark, f"{base}/feed", f"{base}/root", f"{base}/checkpoint", max_files=2)
-    refresh_tables(spark, f"{base}/root", regions=_regions(spark, sf), run_date="2024-05-01")
-    return sources.read_table(spark, f"{base}/root", "domains")
+    refresh_tables(spark, f"{base}/root", regions=_regions(spark, sf), run_date="2024-05-01", **more)
+    return sources.read_table(spark, f"{base}/root", name)
+
+
+@register("st1_stream_domains", SQL_CRAWL_DOMAINS)
+def _(spark, sf):
+    return _stream(spark, sf, "domains")
+
+
+@register("st1_stream_contacts", planted_sql("page_fetch") + f""", {SQL_VALID}, {SQL_MAIN_MAILS}
+    SELECT domain_id, 'emails' AS kind, unnest(emails) AS value FROM m UNION ALL SELECT domain_id, 'phones', number FROM ({SQL_MAIN_PHONES})
+    UNION ALL SELECT domain_id, 'domain_inns', list_min(inns) FROM v WHERE len(inns) > 0
+    UNION ALL SELECT max(domain_id), 'inns', inn FROM (SELECT domain_id, unnest(inns) AS inn FROM v) GROUP BY inn""")
+def _(spark, sf):
+    """All contact tables of the streamed crawl, one after the other."""
+    emails = _stream(spark, sf, "domain_emails")
+    root = emails.inputFiles()[0].split("/data/")[0] if emails.inputFiles() else None
+    rows = [emails.select("domain_id", F.lit("emails").alias("kind"), F.col("email").alias("value"))]
+    for name, kind, value in (("domain_phones", "phones", "number"), ("domain_inns", "domain_inns", "inn"), ("inns", "inns", "inn")):
+        rows.append(sources.read_table(spark, root, name).select("domain_id", F.lit(kind).alias("kind"), F.col(value).alias("value")))
+    return reduce(DataFrame.unionByName, rows)

@@ -80,7 +80,7 @@ def _(spark, sf):
 
 
 @register("t3_keywords", """SELECT c_custkey AS domain_id, CASE WHEN c_custkey % 4 = 1
-    THEN substr(trim(repeat(c_mktsegment || ', ', 150)), 1, 1000) ELSE '' END AS keywords FROM customer""")
+    THEN trim(repeat(c_mktsegment || ', ', 150)) ELSE '' END AS keywords FROM customer""")
 def _(spark, sf):
     return planted(spark, sf, "page_fetch").select("domain_id", fn.keywords(fn.meta_tags(F.col("html"))).alias("keywords"))
 
@@ -90,6 +90,15 @@ def _(spark, sf):
     return texts(spark, sf, "pages", "page_id", "html").select("page_id", fn.text(fn.strip_hidden(F.col("html"))).alias("text"))
 
 
+@register("t4_text_planted", "SELECT c_custkey AS domain_id, 'ab A c A &; xz' || c_name AS text FROM customer")
+def _(spark, sf):
+    """Templates and ruby annotations are no text; numeric references need no semicolon and may have leading zeros."""
+    html = F.concat(
+        F.lit("a<template>hid"), "c_custkey", F.lit("@x.ru</template>b &#65 c &#0000000065; &amp;; <ruby>x<rt>y<rt>w</rt><rp>(</rp></ruby>z"), "c_name"
+    )
+    return table(spark, sf, "customer").select(F.col("c_custkey").alias("domain_id"), fn.text(fn.strip_hidden(html)).alias("text"))
+
+
 @register("t5_links", f"""WITH a AS (SELECT page_id, regexp_extract_all({sql_markup('html')}, '(?is)<a\\s[^>]*>.*?</a\\s*>') AS l FROM pages)
     SELECT page_id, array_to_string(list_transform(l, lambda x: regexp_extract(x, 'href="([^"]*)"', 1) || ' ' ||
     regexp_replace(x, '<[^>]*>', '', 'g')), '|') AS links, CAST(len(l) AS INT) AS n FROM a""")
@@ -153,8 +162,15 @@ def _(spark, sf):
 TAGS = [(1, "the, of, and, of"), (2, "que, de, la, été"), (3, "und, der, die"), (5, "in the, to the")]
 
 
-def _tags(spark):
-    return spark.createDataFrame(TAGS, "id int, tag string")
+# 87 rows with 17 words each, as long as real lists: two syllables of the documents after each other.
+_SYLLABLES = "the an er on en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea ra ce li ch".split()
+LONG_TAGS = [
+    (i, ", ".join(_SYLLABLES[(i + k) % 40] + _SYLLABLES[(i * 7 + k * 3) % 40] for k in range(17))) for i in range(1, 88)
+]
+
+
+def _tags(spark, tags=TAGS):
+    return spark.createDataFrame(tags, "id int, tag string")
 
 
 def _sql_votes() -> str:
@@ -186,6 +202,17 @@ def _(spark, sf):
     return identify_category(texts(spark, sf, "documents", "doc_id", "text"), _tags(spark), F.col("text"), "doc_id")
 
 
+_SQL_LONG = "(VALUES " + ", ".join(f"({i}, '{word.strip()}')" for i, words in LONG_TAGS for word in words.split(",")) + ") AS l(tag_id, word)"
+
+
+@register("t9_votes_long_list", rf"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{{L}}\p{{M}}\p{{N}}_]+')) AS word FROM documents),
+    l AS (SELECT tag_id, word, count(*) AS weight FROM (SELECT * FROM {_SQL_LONG}) GROUP BY tag_id, word)
+    SELECT doc_id, CAST(tag_id AS INT) AS tag_id, CAST(sum(weight) AS BIGINT) AS votes FROM w JOIN l ON w.word = l.word GROUP BY doc_id, tag_id""")
+def _(spark, sf):
+    votes = category_votes(texts(spark, sf, "documents", "doc_id", "text"), _tags(spark, LONG_TAGS), F.col("text"), "doc_id")
+    return votes.where(F.col("tag_id").isNotNull())
+
+
 @register("t10_cms", """SELECT c_custkey AS domain_id, CASE WHEN c_custkey % 7 = 3 THEN 'Bitrix'
     WHEN c_custkey % 5 = 2 THEN 'Wordpress' ELSE '' END AS cms FROM customer""")
 def _(spark, sf):

@@ -23,7 +23,7 @@ from siteledger.operators import (
 
 from . import register, table
 from .planted import planted, planted_sql
-from .text import SQL_PLANTED_INNS
+from .text import SQL_PLANTED_INNS, SQL_PLANTED_PHONES
 
 
 @register("w1_last_write", """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
@@ -162,6 +162,21 @@ def _(spark, sf):
     return dedupe_real_domain(planted(spark, sf, "order_domains")).select("id", "real_domain")
 
 
+@register("u5_dedupe_listed", planted_sql("order_domains") + """, k AS (SELECT real_domain, max(id) AS keep FROM order_domains WHERE real_domain IS NOT NULL AND id % 2 = 1 GROUP BY real_domain)
+    SELECT id, o.real_domain FROM order_domains o LEFT JOIN k ON o.real_domain = k.real_domain WHERE keep IS NULL OR id = keep""")
+def _(spark, sf):
+    """Copies of listed sites go, but for the row that the list names."""
+    rows = planted(spark, sf, "order_domains")
+    keep = rows.where("real_domain IS NOT NULL AND id % 2 = 1").groupBy("real_domain").agg(F.max("id").alias("id"))
+    return dedupe_real_domain(rows, keep).select("id", "real_domain")
+
+
+@register("u6_explode_phones", f"""SELECT c_custkey AS domain_id, c_custkey AS seq, unnest(string_split({SQL_PLANTED_PHONES}, ',')) AS number
+    FROM customer WHERE {SQL_PLANTED_PHONES} <> ''""")
+def _(spark, sf):
+    return explode_contacts(extract_features(planted(spark, sf, "page_fetch")))["domain_phones"]
+
+
 @register("u6_explode_inns", f"SELECT c_custkey AS domain_id, c_custkey AS seq, unnest({SQL_PLANTED_INNS}) AS inn FROM customer")
 def _(spark, sf):
     return explode_contacts(extract_features(planted(spark, sf, "page_fetch")))["inns"]

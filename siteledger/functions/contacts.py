@@ -10,14 +10,13 @@ from .binding import let
 # What counts as an e-mail and as a phone number in text.
 EMAIL = r"[a-zA-Z0-9\.\-_]+@[a-zA-Z0-9_\-]+\.[a-zA-Z]+\.?[a-zA-Z]*\.?[a-zA-Z]*"
 PHONE = r"\+?[78]{1}[\s\(-]{0,2}[0-9]{3,4}[\s\)]?[\s-]?[0-9-\s]{0,4}[0-9-\s]{0,5}"
-INN = r"\b\d{12}\b|\b\d{10}\b"
 
 # Weights of the INN check digits.
 INN10_WEIGHTS = [2, 4, 10, 3, 5, 9, 4, 6, 8]
 INN12_WEIGHTS_11 = [7, 2, 4, 10, 3, 5, 9, 4, 6, 8]
 INN12_WEIGHTS_12 = [3, 7, 2, 4, 10, 3, 5, 9, 4, 6, 8]
 
-# The same as INN, but the first digit is looked for before what surrounds it.
+# Ten or twelve digits between word boundaries; the first digit is looked for before what surrounds it.
 _INN_IN_TEXT = r"(?U)[0-9](?<!\w[0-9])[0-9]{9}(?:[0-9]{2})?(?!\w)"
 
 # A hit can only begin where a run of e-mail characters begins or where the

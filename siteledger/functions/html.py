@@ -21,6 +21,9 @@ _REST = r"""(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?:>|\z)|[^>]*+(?:>|\z))"""
 _HIDDEN = (
     r"(?is)<(?:script\b[^>]*+(?:>|\z).*?(?:</script\s*+>|\z)"
     r"|style\b[^>]*+(?:>|\z).*?(?:</style\s*+>|\z)"
+    r"|template\b[^>]*+(?:>|\z).*?(?:</template\s*+>|\z)"
+    r"|rt\b[^>]*+(?:>|\z).*?(?=</?(?:rt|rp|rb|rtc|ruby)\b|\z)"
+    r"|rp\b[^>]*+(?:>|\z).*?(?=</?(?:rt|rp|rb|rtc|ruby)\b|\z)"
     r"|!--.*?(?:-->|\z))"
 )
 _TAG = rf"(?s)<[/!?a-zA-Z]{_REST}"
@@ -32,7 +35,7 @@ _ANCHOR_HEAD = rf"(?is)^<a\s{_REST}"
 
 
 def strip_hidden(html: Column) -> Column:
-    """HTML without scripts, styles and comments."""
+    """HTML without scripts, styles, templates, ruby annotations and comments."""
     return F.regexp_replace(html, _HIDDEN, "")
 
 
@@ -64,9 +67,10 @@ def description(tags: Column) -> Column:
     return meta_content(tags, "description")
 
 
-def keywords(tags: Column) -> Column:
-    """Keywords out of the ``meta_tags``, at most 1000 characters as the table declares."""
-    return F.substring(meta_content(tags, "keywords"), 1, 1000)
+def keywords(tags: Column, limit: int | None = None) -> Column:
+    """Keywords out of the ``meta_tags``, or their first ``limit`` characters."""
+    whole = meta_content(tags, "keywords")
+    return whole if limit is None else F.substring(whole, 1, limit)
 
 
 def text(markup: Column, sep: str = "") -> Column:

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from .binding import let
 
-# Named references of HTML 4 and ``&apos;``. ``&amp;`` is decoded last, on its
-# own, so that ``&amp;lt;`` becomes ``&lt;`` and not ``<``.
-NAMED_ENTITIES = {f"&{name};": chr(code) for name, code in name2codepoint.items() if name != "amp"} | {"&apos;": "'"}
+# Named references of HTML 4 and ``&apos;``.
+NAMED_ENTITIES = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&apos;": "'"}
 
-_NUMERIC = r"#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}"
-_ENTITY = f"&(?:[a-zA-Z][a-zA-Z0-9]{{1,9}}|{_NUMERIC});"
+# Names need their semicolon, numbers do not.
+_ENTITY = r"&(?:[a-zA-Z][a-zA-Z0-9]{1,9};|#[0-9]++;?|#[xX][0-9a-fA-F]++;?)"
 
 
 def python_strip(col: Column) -> Column:
@@ -34,30 +33,30 @@ def sorted_csv(col: Column) -> Column:
 
 
 def _numeric_char(entity: Column) -> Column:
-    """Character of a numeric reference; NULL when there is none."""
-    digits = F.regexp_replace(entity, "[&#;xX]", "")
+    """Character of a numeric reference, leading zeros or not; NULL when there is none."""
+    digits = F.regexp_replace(entity, "^&#[xX]?0*|;$", "")
     is_hex = F.lower(entity).startswith("&#x")
     code = F.when(is_hex, digits).otherwise(F.hex(digits.try_cast("bigint")))
-    padded = F.lpad(code, 8, "0")
+    padded = F.when(F.length(code) <= 8, F.lpad(code, 8, "0"))
     number = F.conv(padded, 16, 10).try_cast("bigint")
     known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
     return F.when(known, F.decode(F.unhex(padded), "UTF-32"))
 
 
 def decode_entities(col: Column) -> Column:
-    """Decode named and numeric character references; unknown ones stay."""
+    """Decode named and numeric character references in one pass; unknown ones stay."""
     pairs = "\n".join(f"{entity}={char}" for entity, char in NAMED_ENTITIES.items())
     names = F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("="))
 
-    def replace(text: Column, entity: Column) -> Column:
-        char = F.when(F.substring(entity, 1, 2) == F.lit("&#"), _numeric_char(entity)).otherwise(F.try_element_at(names, entity))
-        return F.replace(text, entity, F.coalesce(char, entity))
+    def char(entity: Column) -> Column:
+        known = F.when(F.substring(entity, 1, 2) == F.lit("&#"), _numeric_char(entity)).otherwise(F.try_element_at(names, entity))
+        return F.coalesce(known, entity)
 
     def decode(text: Column) -> Column:
-        # One search finds what occurs at all; few references are to be replaced.
-        found = F.array_remove(F.array_distinct(F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))), F.lit("&amp;"))
-        decoded = F.replace(F.aggregate(found, text, replace), F.lit("&amp;"), F.lit("&"))
-        return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+        # The texts between references, each with the reference after it.
+        between, found = F.split(text, _ENTITY, -1), F.regexp_extract_all(text, F.lit(_ENTITY), F.lit(0))
+        joined = F.zip_with(between, found, lambda t, e: F.concat(t, F.coalesce(char(e), F.lit(""))))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(joined, "")).otherwise(text)
 
     return let(col, decode)
 

@@ -6,13 +6,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def audit_deleted(deleted: DataFrame) -> DataFrame:
-    """Ids, real_domain and the first 100 characters of title and description."""
-    return deleted.select(
-        "id", "domain_id", "real_domain",
-        F.substring("title", 1, 100).alias("title"),
-        F.substring("description", 1, 100).alias("description"),
-    )
+def audit_deleted(deleted: DataFrame, limit: int | None = None) -> DataFrame:
+    """Ids, real_domain, title and description, or the first ``limit`` characters of both."""
+    texts = [F.col(c) if limit is None else F.substring(c, 1, limit).alias(c) for c in ("title", "description")]
+    return deleted.select("id", "domain_id", "real_domain", *texts)
 
 
 def audit_invalid_cms(pages: DataFrame, status: int = 228) -> DataFrame:

@@ -94,10 +94,11 @@ def crm_rename(df: DataFrame, mapping: Mapping[str, str] = CRM_FIELDS) -> DataFr
     return df.select(*[F.col(f"`{c}`").alias(crm_code(c, mapping)) for c in df.columns])
 
 
-def deal_updates(deals: DataFrame) -> DataFrame:
-    """(id, fields) per deal: its title becomes the bare host of its site."""
-    title = bare_host(F.col("real_domain"))
-    return deals.select(F.col("bitrix_id").alias("id"), F.create_map(F.lit(crm_code("title")), title).alias("fields"))
+def deal_updates(deals: DataFrame, fields: Sequence[str] = ("title",)) -> DataFrame:
+    """(id, fields) per deal: its title becomes the bare host of its site, other fields their columns."""
+    values = {f: bare_host(F.col("real_domain")) if f == "title" else F.col(f).cast("string") for f in fields}
+    pairs = [x for f, value in values.items() for x in (F.lit(crm_code(f)), value)]
+    return deals.select(F.col("bitrix_id").alias("id"), F.create_map(*pairs).alias("fields"))
 
 
 def contact_updates(deals: DataFrame, contacts: DataFrame) -> DataFrame:

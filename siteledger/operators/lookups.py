@@ -11,6 +11,8 @@ from ..functions.strings import python_strip
 from .sizing import broadcast_if_small, fits_broadcast, staged
 
 CONTACT_KINDS = ("emails", "phones", "inns")
+# At most 111,110 prefixes have this many digits or fewer.
+SHORT_PREFIX = 5
 
 
 def category_tags(category: DataFrame, subcategory: DataFrame, tags: DataFrame) -> DataFrame:
@@ -42,7 +44,7 @@ def region_names(inns: Column, regions: DataFrame) -> Column:
     """
     rows = regions.where(F.col("id").between(0, 99)).select("id", "region").collect()
     names = dict(sorted((r["id"], (r["region"] or "").strip()) for r in rows))
-    by_code = text_list([(names.get(i) or "").replace("\n", " ") for i in range(100)])
+    by_code = text_list([names.get(i) or "" for i in range(100)])
     found = F.transform(inns, lambda n: F.get(by_code, F.substring(n, 1, 2).try_cast("int")))
     return F.filter(found, lambda r: r != F.lit(""))
 
@@ -51,23 +53,22 @@ def phone_locations(phones: DataFrame, prefixes: DataFrame) -> DataFrame:
     """Place of each phone number by the longest prefix known; unknown drops out.
 
     ``prefixes``: prefix, location, in the 7... form; 8... numbers are read as
-    7... ones. One join per prefix length (at most one per digit) keeps the
-    phones where they are as long as the table is small enough to broadcast.
+    7... ones. One join per prefix length keeps the phones where they are as
+    long as the table is small enough to broadcast. Digits of up to
+    ``SHORT_PREFIX`` places are few in any table, so these, on which all phones
+    would meet, are broadcast in any case; longer ones spread over many keys.
+    Empty prefixes match nothing.
     """
-    lookup = prefixes.groupBy("prefix").agg(F.min("location").alias("location"))
-    lengths = [
-        r[0] for r in lookup.select(F.length("prefix").alias("n")).distinct()
-        .where(F.col("n").between(1, 15)).orderBy(F.desc("n")).collect()
-    ]
+    lookup = staged(prefixes.where("prefix rlike '^[0-9]+$'").groupBy("prefix").agg(F.min("location").alias("location")))
+    lengths = [r[0] for r in lookup.select(F.length("prefix").alias("n")).distinct().orderBy(F.desc("n")).collect()]  # one row per length
     small = fits_broadcast(lookup)
-    lookup = lookup if small else staged(lookup)
     number = F.regexp_replace("number", "^8", "7")
     out = phones.withColumn("_number", number)
     for n in lengths:
         side = lookup.where(F.length("prefix") == n).select(
             F.col("prefix").alias(f"_prefix{n}"), F.col("location").alias(f"_location{n}")
         )
-        side = F.broadcast(side) if small else side
+        side = F.broadcast(side) if small or n <= SHORT_PREFIX else side
         out = out.join(side, F.substring("_number", 1, n) == F.col(f"_prefix{n}"), "left").drop(f"_prefix{n}")
     best = F.coalesce(*[F.col(f"_location{n}") for n in lengths]) if lengths else F.lit(None).cast("string")
     return out.select(*phones.columns, best.alias("location")).where(F.col("location").isNotNull())
@@ -109,7 +110,7 @@ def contact_finds(contact_pages: DataFrame, sep: str = "") -> DataFrame:
         .select("domain_id", F.explode(_items()).alias("item"))
         .select("domain_id", "item.kind", "item.value")
         .distinct()
-        .join(broadcast_if_small(failed), "domain_id", "left_anti")
+        .join(failed, "domain_id", "left_anti")
     )
 
 
@@ -120,8 +121,10 @@ def merge_contact_pages(main: DataFrame, contact_pages: DataFrame, sep: str = ""
     without an e-mail there also get the finds of their contact pages. Rows
     and not lists, so that no domain has to fit in one cell.
     """
-    own = main.select("domain_id", F.explode(_items()).alias("item")).select("domain_id", "item.kind", "item.value")
-    needy = main.where(F.size("emails") == 0).select("domain_id").distinct()
+    # Narrow rows of the main pages, staged, so that pages are read once.
+    read = staged(main.select("domain_id", (F.size("emails") == 0).alias("_needy"), _items().alias("_items")))
+    own = read.select("domain_id", F.explode("_items").alias("item")).select("domain_id", "item.kind", "item.value")
+    needy = read.where("_needy").select("domain_id").distinct()
     more = contact_finds(contact_pages, sep).join(needy, "domain_id", "left_semi")
     return own.unionByName(more).distinct()
 

@@ -123,7 +123,7 @@ def _finances(fin: Column) -> Column:
         income = F.coalesce(attrs["income"], F.lit("0")).try_cast("bigint")
         outcome = F.coalesce(attrs["outcome"], F.lit("0")).try_cast("bigint")
         return F.struct(
-            F.substring(entry["key"], 2, 100).alias("year"),
+            F.substr(entry["key"], F.lit(2)).alias("year"),
             python_round2(income / F.lit(1000000.0)).alias("income"),
             python_round2(outcome / F.lit(1000000.0)).alias("outcome"),
             python_round2((income - outcome) / F.lit(1000000.0)).alias("profit"),

@@ -2,29 +2,29 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import broadcast_if_small
+from ..functions.binding import let, text_list
 
-MAX_TAG_ROWS = 100_000
-MAX_LISTED_WORDS = 20_000
+_VOTES = "array<struct<tag_id:int,votes:bigint>>"
+_LOOKUP = "array<map<string,array<struct<tag_id:int,votes:bigint>>>>"
+WORDS_PER_SLOT = 4
 
 
 def _split_tags(tags: DataFrame) -> tuple[Counter, list[tuple[int, str]]]:
     """Words with their weight and all other patterns, from (id, "a, b, c") rows.
 
-    The tag list is a vocabulary and must stay one: its size is checked.
+    The tag list is a vocabulary: it has to fit into the memory of the driver and of a task.
     """
-    rows = tags.select("id", "tag").limit(MAX_TAG_ROWS + 1).collect()
-    if len(rows) > MAX_TAG_ROWS:
-        raise ValueError(f"a tag list has at most {MAX_TAG_ROWS} rows")
     words: Counter = Counter()
     patterns: list[tuple[int, str]] = []
-    for row in rows:
+    for row in tags.select("id", "tag").toLocalIterator():
         for tag in (row["tag"] or "").split(","):
             tag = tag.strip()
             if re.fullmatch(r"\w+", tag):
@@ -34,48 +34,62 @@ def _split_tags(tags: DataFrame) -> tuple[Counter, list[tuple[int, str]]]:
     return words, patterns
 
 
-def category_votes(pages: DataFrame, tags: DataFrame, text: Column, key: str = "page_id") -> DataFrame:
-    """Number of hits per page and tag row: (key, tag_id, votes).
+def _slot(word: Column, slots: int) -> Column:
+    return F.pmod(F.crc32(word.cast("binary")), F.lit(slots)).cast("int")
+
+
+def _lookup(words: Counter) -> tuple[Column, int]:
+    """All words as one constant, cut into slots by a hash so that a look-up reads a few entries only."""
+    slots = max(1, len(words) // WORDS_PER_SLOT)
+    table: list[dict[str, list]] = [defaultdict(list) for _ in range(slots)]
+    for (word, tag_id), weight in words.items():
+        table[zlib.crc32(word.encode()) % slots][word].append({"tag_id": tag_id, "votes": weight})
+    return F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), _LOOKUP), slots
+
 
-    A hit is the tag between word boundaries, case-sensitive; a tag listed
-    twice counts twice. One-word tags are looked up word by word with one
-    broadcast join; only the few others are searched as patterns. Pages
-    without a hit come out once with tag_id and votes NULL.
+def page_votes(text: Column, tags: DataFrame) -> Column:
+    """Array of (tag_id, votes) with the hits of each tag row in one text, by tag_id.
+
+    A hit is the tag between word boundaries, case-sensitive; a tag listed twice
+    counts twice. One-word tags are looked up word by word; only the few others
+    are searched as patterns.
     """
     words, patterns = _split_tags(tags)
-    known = sorted({word for word, _ in words})
-    all_words = F.regexp_extract_all("_text", F.lit(r"(?U)\w+"), F.lit(0))
-    item = "array<struct<word string, tag_id int, n bigint>>"
-    # Words that are no tag leave before the rows fan out.
-    spoken = F.transform(
-        F.filter(all_words, lambda w: w.isin(known)) if len(known) <= MAX_LISTED_WORDS else all_words,
-        lambda w: F.struct(w.alias("word"), F.lit(None).cast("int").alias("tag_id"), F.lit(1).cast("bigint").alias("n")),
-    )
-    searched = [
-        F.struct(
-            F.lit(None).cast("string").alias("word"),
-            F.lit(tag_id).cast("int").alias("tag_id"),
-            F.regexp_count("_text", F.lit(rf"(?U)\b{pattern}\b")).cast("bigint").alias("n"),
-        )
-        for tag_id, pattern in patterns
-    ]
-    found = F.filter(F.array(*searched), lambda s: s["n"] > 0).cast(item) if searched else F.array().cast(item)
-    spark = pages.sparkSession
-    vocabulary = spark.createDataFrame(
-        [(word, tag_id, weight) for (word, tag_id), weight in words.items()],
-        "word string, word_tag_id int, weight bigint",
-    )
-    items = pages.select(key, text.alias("_text")).select(key, F.explode_outer(F.concat(spoken.cast(item), found)).alias("i"))
-    hits = items.join(broadcast_if_small(vocabulary), F.col("i.word") == F.col("word"), "left").select(
-        key, F.coalesce("word_tag_id", "i.tag_id").alias("tag_id"), (F.coalesce("weight", F.lit(1)) * F.col("i.n")).alias("n")
-    )
-    return hits.groupBy(key, "tag_id").agg(F.sum(F.when(F.col("tag_id").isNotNull(), F.col("n"))).alias("votes"))
-
-
-def identify_category(pages: DataFrame, tags: DataFrame, text: Column, key: str = "page_id") -> DataFrame:
+    table, slots = _lookup(words)
+    spoken = F.regexp_extract_all(text, F.lit(r"(?U)\w+"), F.lit(0))
+    hits = F.flatten(F.transform(spoken, lambda w: F.coalesce(F.try_element_at(F.get(table, _slot(w, slots)), w), F.array().cast(_VOTES))))
+    if patterns:
+        ids = text_list([str(i) for i, _ in patterns]).cast("array<int>")
+        listed = text_list([rf"(?U)\b{p}\b" for _, p in patterns])
+        counted = F.zip_with(ids, listed, lambda i, p: F.struct(i.alias("tag_id"), F.regexp_count(text, p).cast("bigint").alias("votes")))
+        hits = F.concat(hits, F.filter(counted, lambda s: s["votes"] > 0))
+
+    def summed(found: Column) -> Column:
+        def votes(tag_id: Column) -> Column:
+            mine = F.filter(found, lambda s: s["tag_id"] == tag_id)
+            return F.struct(tag_id.alias("tag_id"), F.aggregate(mine, F.lit(0).cast("bigint"), lambda total, s: total + s["votes"]).alias("votes"))
+
+        return F.transform(F.array_sort(F.array_distinct(F.transform(found, lambda s: s["tag_id"]))), votes)
+
+    return let(hits, summed)
+
+
+def category_votes(pages: DataFrame, tags: DataFrame, text: Column, key: str = "page_id", unique: bool = True) -> DataFrame:
+    """Number of hits per page and tag row: (key, tag_id, votes).
+
+    Votes are counted inside the row, so nothing is shuffled; with
+    ``unique=False`` rows of one key are then added up. Pages without a hit
+    come out once with tag_id and votes NULL.
+    """
+    counted = pages.select(key, F.explode_outer(page_votes(text, tags)).alias("v")).select(key, "v.tag_id", "v.votes")
+    return counted if unique else counted.groupBy(key, "tag_id").agg(F.sum("votes").alias("votes"))
+
+
+def identify_category(pages: DataFrame, tags: DataFrame, text: Column, key: str = "page_id", unique: bool = True) -> DataFrame:
     """Best tag row per page (key, tag_id); ties go to the lowest id, no hit to 0."""
-    votes = category_votes(pages, tags, text, key)
+    if unique:
+        best = F.array_max(F.transform(page_votes(text, tags), lambda v: F.struct(v["votes"].alias("votes"), (-v["tag_id"]).alias("t"))))
+        return pages.select(key, F.coalesce(-best["t"], F.lit(0)).alias("tag_id"))
+    votes = category_votes(pages, tags, text, key, unique=False)
     best = F.max(F.when(F.col("tag_id").isNotNull(), F.struct(F.col("votes"), (-F.col("tag_id")).alias("t"))))
-    return votes.groupBy(key).agg(best.alias("_best")).select(
-        key, F.coalesce(-F.col("_best.t"), F.lit(0)).alias("tag_id")
-    )
+    return votes.groupBy(key).agg(best.alias("_best")).select(key, F.coalesce(-F.col("_best.t"), F.lit(0)).alias("tag_id"))

@@ -135,9 +135,10 @@ def upsert_inns(
 
     table = _merge(existing, per_inn, {"inn": "_inn"}, value, id_col)
     plain = rows.where(~has_domain)
-    first = per_inn.select("_inn", "_first_seq").join(
+    # Staged, so that the join of the single rows has plain shuffles on both sides and splits a hot tax id.
+    first = staged(per_inn.select("_inn", "_first_seq").join(
         existing.select(F.col("inn").alias("_inn"), F.lit(True).alias("_known")), "_inn", "left"
-    )
+    ))
     rejected = plain.join(first, F.col("inn") == F.col("_inn")).where(
         F.coalesce(F.col("_known"), F.lit(False)) | (F.col(seq) > F.col("_first_seq"))
     )

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,6 +112,24 @@ def domain_info_rows(sites: DataFrame, run_date: str) -> DataFrame:
     )
 
 
+class SiteTables(Mapping):
+    """The tables of a crawl by name; each is planned when it is first asked for."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]):
+        self._makers, self._made = makers, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 def build_tables(
     tables: dict[str, DataFrame],
     features: DataFrame,
@@ -121,42 +140,60 @@ def build_tables(
     probes: DataFrame | None = None,
     prefixes: DataFrame | None = None,
     sep: str = "",
-) -> dict[str, DataFrame]:
+) -> SiteTables:
     """Fold features of ``read_pages`` into the site tables.
 
-    ``features`` is read several times: pass a written table. Returns the new
-    tables plus ``domain_info_rejects`` and ``inns_rejects``.
+    ``features`` is read several times: pass a written table. Gives the new
+    tables plus ``domain_info_rejects`` and ``inns_rejects``, each planned on
+    request; what several of them need is staged once.
     """
     spark = features.sparkSession
 
     def given(df: DataFrame | None, schema) -> DataFrame:
         return spark.createDataFrame([], schema) if df is None else df
 
-    finds = staged(contact_finds(given(contact_pages, CONTACT_PAGES), sep))
-    sites = site_rows(staged(last_pages(features)), finds, given(probes, PROBES), regions, given(prefixes, PHONE_PREFIXES))
-    found = contact_rows(features, finds)
-    info, info_rejects = upsert_domain_info(
-        tables["domain_info"], domain_info_rows(sites, run_date), "seq", first_seq="first_seq", id_col="id"
-    )
+    @cache
+    def finds() -> DataFrame:
+        return staged(contact_finds(given(contact_pages, CONTACT_PAGES), sep))
+
+    @cache
+    def info() -> tuple[DataFrame, DataFrame]:
+        sites = site_rows(staged(last_pages(features)), finds(), given(probes, PROBES), regions, given(prefixes, PHONE_PREFIXES))
+        return upsert_domain_info(tables["domain_info"], domain_info_rows(sites, run_date), "seq", first_seq="first_seq", id_col="id")
+
+    @cache
+    def found() -> dict[str, DataFrame]:
+        return contact_rows(features, finds())
+
     # Among the tax ids of one site the lowest counts as found first.
     order = F.struct("seq", "inn")
-    inns, inns_rejects = upsert_inns(tables["inns"], found["inns"].withColumn("seq", order), "seq", id_col="id")
-    first_inns = found["domain_inns"].withColumn("seq", order)
-    return {
-        "domains": resolve_status(tables["domains"], features.select(*ATTEMPT_COLUMNS)),
+
+    @cache
+    def inns() -> tuple[DataFrame, DataFrame]:
+        return upsert_inns(tables["inns"], found()["inns"].withColumn("seq", order), "seq", id_col="id")
+
+    def kept_first(name: str, *keys: str) -> Callable[[], DataFrame]:
+        def make() -> DataFrame:
+            rows = found()[name]
+            return insert_ignore(tables[name], rows.withColumn("seq", order) if name == "domain_inns" else rows, list(keys), "seq", "id")
+
+        return make
+
+    return SiteTables({
+        "domains": lambda: resolve_status(tables["domains"], features.select(*ATTEMPT_COLUMNS)),
         # A CRM label that a crawl never changes; new sites start with this one.
-        "domain_info": info.withColumn("status", F.coalesce("status", F.lit("Отсутствует"))),
-        "domain_phones": insert_ignore(tables["domain_phones"], found["domain_phones"], ["domain_id", "number"], "seq", "id"),
-        "domain_emails": insert_ignore(tables["domain_emails"], found["domain_emails"], ["domain_id", "email"], "seq", "id"),
-        "domain_inns": insert_ignore(tables["domain_inns"], first_inns, ["domain_id"], "seq", "id"),
-        "inns": inns,
-        "domain_info_rejects": info_rejects,
-        "inns_rejects": inns_rejects.withColumn("seq", F.col("seq.seq")),
-    }
+        "domain_info": lambda: info()[0].withColumn("status", F.coalesce("status", F.lit("Отсутствует"))),
+        "domain_phones": kept_first("domain_phones", "domain_id", "number"),
+        "domain_emails": kept_first("domain_emails", "domain_id", "email"),
+        "domain_inns": kept_first("domain_inns", "domain_id"),
+        "inns": lambda: inns()[0],
+        "domain_info_rejects": lambda: info()[1],
+        "inns_rejects": lambda: inns()[1].withColumn("seq", F.col("seq.seq")),
+    })
 
 
 def crawl(
     tables: dict[str, DataFrame], page_fetch: DataFrame, *, rules: Sequence[Rule] | None = None, sep: str = "", **inputs
-) -> dict[str, DataFrame]:
+) -> SiteTables:
     """Batch job: read all pages once, then fold them into the tables."""
     return build_tables(tables, staged(read_pages(page_fetch, rules, sep)), sep=sep, **inputs)

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from ..functions.urls import zone_of
 from ..operators.filters import with_domain
-from ..operators.sizing import broadcast_if_small
 from ..schemas import INN_ROWS
 
 
@@ -34,21 +33,11 @@ def with_row_number(df: DataFrame, name: str = "id") -> DataFrame:
         "_file", "_start", "_low", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     position = F.col("_offset") + F.col("_mono") - F.col("_low")
-    return marked.join(broadcast_if_small(offsets), ["_file", "_start"]).select(
+    return marked.join(offsets, ["_file", "_start"]).select(
         position.alias(name), *[F.col(f"`{c}`") for c in df.columns]
     )
 
 
-def spread(df: DataFrame, small: int = 64) -> DataFrame:
-    """A table just read, spread over the cores if its files make very few tasks.
-
-    Extraction is bound by the CPU, and a small file is one task. Tables with
-    ``small`` or more tasks, or one for every core, stay where they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, small) else df
-
-
 def domain_rows(domains: DataFrame) -> DataFrame:
     """Distinct ``domain`` values with their ``zone``."""
     return domains.select("domain").distinct().withColumn("zone", zone_of(F.col("domain")))
@@ -67,8 +56,8 @@ def read_domains_txt(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("id", F.get(fields, F.lit(0)).alias("domain"), zone.alias("zone"))
 
 
-def read_inns_csv(spark: SparkSession, path: str, limit: int | None = 100_001) -> DataFrame:
-    """Distinct ``inn`` of the first ``limit`` rows of a CSV; leading zeros stay."""
+def read_inns_csv(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """Distinct ``inn`` of a CSV, or of its first ``limit`` rows; leading zeros stay."""
     rows = spark.read.option("header", True).csv(path)
     if limit is not None:
         rows = with_row_number(rows, "_row").where(F.col("_row") < limit)

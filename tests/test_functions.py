@@ -142,7 +142,8 @@ def test_description(spark, html, expected):
 
 def test_keywords_are_cut(spark):
     html = f'<meta name="keywords" content=" {"k" * 1200}">'
-    assert one(spark, html, lambda c: fn.keywords(fn.meta_tags(c))) == "k" * 1000
+    assert one(spark, html, lambda c: fn.keywords(fn.meta_tags(c), 1000)) == "k" * 1000
+    assert one(spark, html, lambda c: fn.keywords(fn.meta_tags(c))) == "k" * 1200
 
 
 def test_links(spark):

@@ -129,7 +129,8 @@ def test_crm(spark):
 
 def test_audit(spark):
     df = spark.createDataFrame([(1, 2, "r", "t" * 150, None, 228, "w")], "id long, domain_id long, real_domain string, title string, description string, page_status int, banword string")
-    assert rows(audit_deleted(df), "*") == [(1, 2, "r", "t" * 100, None)]
+    assert rows(audit_deleted(df), "*") == [(1, 2, "r", "t" * 150, None)]
+    assert rows(audit_deleted(df, 100), "*") == [(1, 2, "r", "t" * 100, None)]
     assert rows(audit_invalid_cms(df.withColumnRenamed("real_domain", "real_url")), "*") == [("r", 228, "w")]
     counted, seen = with_run_counters(df, "run", junk=F.count_if(F.col("page_status") != 200))
     counted.collect()
