@@ -61,7 +61,24 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("op4_inverted_signatures")
+SQL_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+
+
+@register(
+    "op4_inverted_signatures",
+    f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {SQL_WORDS} AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+    c AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+    SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(c.b, w.doc_id)) AS component_id, least(w.doc_id, coalesce(c.b, w.doc_id)) = w.doc_id AS kept
+    FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.a = w.doc_id
+    """,
+)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -71,7 +88,22 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents(spark, sf_dir), fold("doc_id", 7) == 2)
 
 
-@register("op6_stratified_interleaving")
+# CRC-32 by its table, byte by byte.
+SQL_CRC32 = """tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+    b AS (SELECT doc_id, source, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes FROM documents),
+    d AS (SELECT doc_id, source, len(bytes) + 1 AS size, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], bytes), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32 FROM b, tab)"""
+
+
+@register(
+    "op6_stratified_interleaving",
+    f"""
+    WITH {SQL_CRC32}, m AS (SELECT *, md5('0:' || doc_id) AS mix FROM d),
+    r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY mix, doc_id, text_crc32) - 1 AS k, count(*) OVER (PARTITION BY source) AS n FROM m),
+    g AS (SELECT *, row_number() OVER (ORDER BY (CAST(k AS DOUBLE) + CAST(0.5 AS DOUBLE)) / n, source NULLS FIRST, mix, doc_id, text_crc32) - 1 AS rank, count(*) OVER () AS total FROM r)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'rows' AS law, CAST(rank * 16 // total AS INT) AS shard,
+    rank - ((rank * 16 // total) * total + 15) // 16 AS slot, CAST(NULL AS INT) AS grown_shard, source FROM g
+    """,
+)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = interleave(documents(spark, sf_dir))
     return dealt.select(
@@ -101,6 +133,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
-@register("op10_interval_expansion")
+@register(
+    "op10_interval_expansion",
+    """
+    WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS w FROM (SELECT doc_id, h, unnest(range(greatest(len(h) // 2 - 99, 0))) AS i FROM t)),
+    late AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS k FROM w) WHERE k > 1),
+    runs AS (SELECT *, sum(CASE WHEN i > coalesce(before + 100, -1) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+        FROM (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM late)),
+    gone AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS z FROM runs GROUP BY doc_id, run),
+    gaps AS (SELECT *, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS y FROM gone),
+    left_ AS (SELECT g.doc_id, sum(z - a) AS n, count(*) AS c, max(z) AS z, string_agg(substr(h, 2 * y + 1, 2 * (a - y)), '' ORDER BY a) AS kept FROM gaps g JOIN t ON t.doc_id = g.doc_id GROUP BY g.doc_id)
+    SELECT t.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(c, 0) AS BIGINT) AS n_spans,
+    sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(z, 0) + 1))) AS kept_sha256 FROM t LEFT JOIN left_ ON left_.doc_id = t.doc_id
+    """,
+)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
