@@ -35,15 +35,15 @@ def _current(spark: SparkSession, root: str, name: str) -> dict[int, int]:
 def write_buckets(df: DataFrame, root: str, name: str, keys: Sequence[str], buckets: int, snapshot: int | None = None) -> int:
     """Write rows as new versions of the buckets they fall into; returns the snapshot.
 
-    Rows of one bucket go to one folder, in as many files as there are tasks
-    that meet them; a bucket should fit a task or two.
+    Rows of one bucket go to one folder. Rebalancing splits a large bucket
+    over several tasks and files and joins small ones into one task.
     """
     spark = df.sparkSession
     if snapshot is None:
         snapshot = max(_current(spark, root, name).values(), default=-1) + 1
     path = f"{root}/data/{name}/snapshot={snapshot}"
     marked = df.withColumn("_bucket", bucket_of(keys, buckets))
-    marked.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
+    marked.hint("rebalance", F.col("_bucket")).write.mode("overwrite").partitionBy("_bucket").parquet(path)
     written = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(path)
     marks = written.select(F.col("_bucket").alias("bucket"), F.lit(snapshot).cast("bigint").alias("snapshot")).distinct()
     marks.coalesce(1).write.mode("append").parquet(f"{root}/buckets/{name}")
