@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -19,6 +20,8 @@ BASE, OTHER_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
 
+FILTER_BITS = 26
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -44,9 +47,14 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "rank") -> DataFra
 
 
 def release(spark: SparkSession) -> None:
-    """Let go of shuffle files that nothing refers to any more; Spark drops them when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let go of shuffle files that nothing refers to any more; Spark drops them when the driver collects its garbage.
+
+    The last job is still referred to for a moment, so it takes two rounds.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def fold(id_col: str, folds: int) -> Column:
@@ -172,3 +180,34 @@ def token_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
         texts.append(np.searchsorted(ends, starts + at, side="right") - 1)
         at = end
     return np.concatenate(hashes), np.concatenate(texts)
+
+
+def _bitmap_rows(col: str):
+    def run(table: pa.Table) -> pa.Table:
+        """One chunk of the filter: 8192 bits, set where the low bits of a hash fall."""
+        hashes = table[col].to_numpy()
+        bits = np.zeros(8192, np.uint8)
+        bits[hashes & 8191] = 1
+        chunk = int(hashes[0] & ((1 << FILTER_BITS) - 1)) >> 13
+        return pa.table({"chunk": pa.array([chunk], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    return run
+
+
+def bitmap(df: DataFrame, col: str) -> np.ndarray:
+    """Which low bits occur among 64-bit hashes, in a bitmap of fixed size (8 MB).
+
+    It spares most rows without a partner a shuffle as long as it is sparse. What
+    passes has to be joined exactly, so a full one only spares less.
+    """
+    chunk = F.shiftright(F.col(col).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 13)
+    whole = np.zeros(((1 << FILTER_BITS) >> 13, 1024), np.uint8)
+    parts = df.select(col).distinct().groupBy(chunk.alias("_chunk")).applyInArrow(_bitmap_rows(col), "chunk long, bits binary")
+    for row in parts.collect():  # 8192 rows of 1 KB at most
+        whole[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
+    return whole.ravel()
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    low = hashes.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)
+    return (bits[(low >> np.uint64(3)).astype(np.int64)] >> (7 - (low & np.uint64(7))).astype(np.uint8)) & 1 == 1

@@ -13,28 +13,26 @@ from pyspark.sql import functions as F
 
 from siteledger.operators import staged
 
-from .common import BASE, CHUNK, OTHER_BASE, batches, prefix_hash, range_hash, release, rows_of
+from .common import BASE, CHUNK, OTHER_BASE, batches, bitmap, in_bitmap, prefix_hash, range_hash, release, rows_of, text_bytes
 
 LEAST = 100
 GRAM = 40
 BUCKET_BYTES = 1 << 20
 HOT_PIECES = 4096
-FILTER_BITS = 26
 TASK_BYTES = 64 << 20
 LAST = (1 << 63) - 1
 _PLACE = np.uint64((1 << 22) - 1)  # a place in a chunk
 
 
-def pieces(text: bytes, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, start, size, hash) of the pieces of a text.
+def pieces(whole: np.ndarray, ends: np.ndarray, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, start, size, hash) of the pieces of all texts of a batch, given their bytes and bounds.
 
     Every window of ``least`` bytes has an anchor, the leftmost of the strings of
     ``gram`` bytes in it with the smallest hash, so equal windows have equal
     anchors at equal places. Neighbouring windows with one anchor place make a
-    piece. Windows are read chunk by chunk.
+    piece. Windows are read chunk by chunk; those that reach into the next text do not count.
     """
     found, width = [], least - gram + 1
-    whole = np.frombuffer(text, np.uint8)
     for at in range(0, len(whole) - least + 1, CHUNK):
         data = whole[at : at + CHUNK + least - 1]
         starts = np.arange(len(data) - gram + 1)
@@ -45,9 +43,17 @@ def pieces(text: bytes, least: int = LEAST, gram: int = GRAM) -> tuple[np.ndarra
         if size < width:
             low = np.minimum(low[: len(low) - (width - size)], low[width - size :])
         low = low[: len(data) - least + 1] & _PLACE
-        begin = np.concatenate(([0], np.flatnonzero(low[1:] != low[:-1]) + 1))
-        end = np.concatenate((begin[1:], [len(low)])) + least - 1
-        found.append((hashes[low[begin].view(np.int64)], begin + at, end - begin, range_hash(prefix_hash(data, OTHER_BASE), begin, end, OTHER_BASE)))
+        own = np.ones(len(low) + 1, bool)
+        own[-1] = False
+        for end in (ends[np.searchsorted(ends, at, side="right") : np.searchsorted(ends, at + len(data), side="right")] - at).tolist():
+            own[max(0, end - least + 1) : end] = False
+        changed = np.concatenate(([True], low[1:] != low[:-1]))
+        begin = np.flatnonzero(own[:-1] & (changed | ~np.concatenate(([False], own[:-2]))))
+        # A piece ends where the next one begins or where windows no longer count.
+        stop = np.flatnonzero(~own)
+        end = np.minimum(np.append(begin[1:], len(low)), stop[np.searchsorted(stop, begin)]) + least - 1
+        if len(begin):
+            found.append((hashes[low[begin].view(np.int64)], begin + at, end - begin, range_hash(prefix_hash(data, OTHER_BASE), begin, end, OTHER_BASE)))
     if not found:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     return tuple(np.concatenate(column) for column in zip(*found, strict=True))
@@ -185,49 +191,28 @@ def _anchor_rows(least: int, gram: int):
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = [pieces(text.encode(), least, gram)[0] for (text,) in rows_of(part, "_text")]
-            values, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_counts=True)
+            anchors = pieces(*text_bytes(part.column(part.schema.get_field_index("_text"))), least, gram)[0]
+            values, n = np.unique(anchors, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(_signed(values)), pa.array(n.astype(np.int64))], schema=schema)
 
     return run
 
 
-def _bitmap_rows(table: pa.Table) -> pa.Table:
-    """One chunk of the filter: 8192 bits, set where an anchor's low bits fall."""
-    anchors = table["anchor"].to_numpy()
-    bits = np.zeros(8192, np.uint8)
-    bits[anchors & 8191] = 1
-    chunk = int(anchors[0] & ((1 << FILTER_BITS) - 1)) >> 13
-    return pa.table({"chunk": pa.array([chunk], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-
-
-def _filter(anchors: DataFrame) -> np.ndarray:
-    """Which low bits occur among the anchors, in a bitmap of fixed size.
-
-    It spares most anchors without a counterpart the shuffle as long as it is
-    sparse; what passes is joined exactly, so a full one only spares less.
-    """
-    chunk = F.shiftright(F.col("anchor").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), 13)
-    whole = np.zeros(((1 << FILTER_BITS) >> 13, 1024), np.uint8)
-    for row in anchors.groupBy(chunk.alias("_chunk")).applyInArrow(_bitmap_rows, "chunk long, bits binary").collect():  # 8 MB at most
-        whole[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
-    return whole.ravel()
-
-
 _PLACES = pa.schema([(n, pa.int64()) for n in ("_doc", "_t", "start", "size", "anchor", "hash")])
 
 
 def _place_rows(least: int, gram: int, known: np.ndarray):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for doc, t, text in rows_of(part, "_doc", "_t", "_text"):
-                anchor, start, size, mixed = pieces(text.encode(), least, gram)
-                low = anchor & np.uint64((1 << FILTER_BITS) - 1)
-                keep = (known[(low >> np.uint64(3)).astype(np.int64)] >> (7 - (low & np.uint64(7))).astype(np.uint8)) & 1 == 1
-                anchor, start, size, mixed = anchor[keep], start[keep], size[keep], mixed[keep]
-                if len(start):
-                    columns = [np.full(len(start), doc), np.full(len(start), t), start, size, _signed(anchor), _signed(mixed)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], schema=_PLACES)
+            place = part.schema.get_field_index
+            whole, ends = text_bytes(part.column(place("_text")))
+            anchor, start, size, mixed = pieces(whole, ends, least, gram)
+            keep = in_bitmap(known, anchor)
+            anchor, start, size, mixed = anchor[keep], start[keep], size[keep], mixed[keep]
+            text = np.searchsorted(ends, start, side="right") - 1
+            columns = [part.column(place(c)).to_numpy()[text] for c in ("_doc", "_t")]
+            columns += [start - ends[text], size, _signed(anchor), _signed(mixed)]
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], schema=_PLACES)
 
     return run
 
@@ -287,7 +272,7 @@ def repeated_spans(read: DataFrame, least: int = LEAST, gram: int = GRAM, bucket
     counted = read.select("_text").mapInArrow(_anchor_rows(least, gram), "anchor long, n long")
     twice = staged(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"))
     release(spark)
-    found = read.select("_doc", "_t", "_text").mapInArrow(_place_rows(least, gram, _filter(twice)), ", ".join(f"{n} long" for n in _PLACES.names))
+    found = read.select("_doc", "_t", "_text").mapInArrow(_place_rows(least, gram, bitmap(twice, "anchor")), ", ".join(f"{n} long" for n in _PLACES.names))
     places = staged(found.join(twice, "anchor"))
     release(spark)
     # Copies of a piece count as one, the first of them. Sides of joins that were reduced are staged, so that
@@ -299,6 +284,7 @@ def repeated_spans(read: DataFrame, least: int = LEAST, gram: int = GRAM, bucket
     # Different pieces with one anchor may share windows; a piece without another shares none.
     mixed = staged(first.groupBy("anchor").agg(F.count("*").alias("variants")).where("variants > 1"))
     some = staged(first.join(mixed, "anchor").select("anchor", "size", "variants", "_first.*"))
+    release(spark)
     total = some.where(F.col("variants") <= hot_pieces).agg(F.sum("size")).first()[0] or 0
     lists = some.groupBy("_doc", "_t").agg(F.collect_list(F.struct("start", "size", "anchor", "variants")).alias("_places"))  # of one text
     cut = staged(read.join(lists, ["_doc", "_t"]).select("_doc", "_t", "_text", "_places").mapInArrow(_cut_rows, "_doc long, _t long, start long, anchor long, variants long, piece binary"))
@@ -316,6 +302,7 @@ def repeated_spans(read: DataFrame, least: int = LEAST, gram: int = GRAM, bucket
     heads = staged(windows.groupBy("anchor", "h1", "h2").agg(F.min(at).alias("_first")))
     late = windows.join(heads, ["anchor", "h1", "h2"]).where(at != F.col("_first"))
     late = late.select("_doc", "_t", F.col("at").alias("begin"), (F.col("at") + least).alias("end"))
+    release(spark)
     return copies.unionByName(expanded).unionByName(late)
 
 
