@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from siteledger.operators import staged
 
-from .common import release, shingle_hashes, text_bytes, token_hashes
+from .common import bitmap, in_bitmap, release, shingle_hashes, text_bytes, token_hashes
 from .components import components
 
 COORDINATES = 48
@@ -82,14 +82,17 @@ def _set_rows(shingle: int, coordinates: int):
     return run
 
 
-def _full_rows(shingle: int):
-    schema = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
+def _full_rows(shingle: int, wanted: np.ndarray):
+    """Sets of the documents whose hash may be a wanted one."""
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.binary())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            ids = part.column(part.schema.get_field_index("_doc")).to_pylist()
-            for row, found in _sets(part, shingle):
-                yield pa.RecordBatch.from_arrays([pa.array([ids[row]]), pa.array([len(found)]), pa.array([found.tobytes()], pa.binary())], schema=schema)
+            part = part.filter(pa.array(in_bitmap(wanted, part.column(part.schema.get_field_index("_h")).to_numpy())))
+            if len(part):
+                ids = part.column(part.schema.get_field_index("_doc")).to_pylist()
+                for row, found in _sets(part, shingle):
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[row]], pa.int64()), pa.array([found.tobytes()], pa.binary())], schema=schema)
 
     return run
 
@@ -173,41 +176,61 @@ def _shingle_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), node)), pa.array(found)], names=["node", "shingle"])
 
 
-def _rest(posts: DataFrame, labels: DataFrame, full: DataFrame, nodes: DataFrame, percent: int, coordinates: int, least: int, small: int) -> DataFrame:
-    """Links between different components: every pair of unlike labels that may be similar.
+def _starred(lists: DataFrame, key: str, near: DataFrame) -> DataFrame:
+    """Pairs of the best-connected member of each list with its members of other components: as many as members."""
+    weighed = lists.join(near.select("node", "weight"), "node")
+    heads = staged(weighed.groupBy(key).agg(F.max_by(F.struct("node", "n", "label"), "weight").alias("h")).select(key, F.col("h.node").alias("_h"), F.col("h.n").alias("n_b"), F.col("h.label").alias("_l")))
+    pairs = lists.withColumnRenamed("n", "n_a").join(heads, key).where((F.col("label") != F.col("_l")))
+    return pairs.select(F.col("node"), F.col("_h"), "n_a", "n_b").distinct()
 
-    Short postings are compared member by member. Members of long ones that
-    still have different labels meet on their rarest shingles instead: similar
-    sets share one of the first n - ceil(t n) + 1 in any common order.
-    """
+
+def _crossed(rows: DataFrame, key: str, percent: int) -> DataFrame:
+    """All pairs of members of a list that are in different components."""
+    one = rows.select(key, F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("_la"))
+    two = rows.select(key, F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("_lb"))
+    return one.join(two, key).where((F.col("_la") < F.col("_lb")) & _sized(percent)).select("a", "b").distinct()
+
+
+def _open(posts: DataFrame, labels: DataFrame, key: str) -> DataFrame:
+    """Members (key, node, n, label, m) of the lists that still hold several components."""
     known = staged(posts.join(labels, "node"))
-    split = staged(known.groupBy("key").agg(F.count("*").alias("m"), F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("key", "m"))
-    open_ = staged(known.join(split, "key"))
-    short = open_.where(F.col("m") <= small)
-
-    def paired(rows: DataFrame, key: str) -> DataFrame:
-        one = rows.select(key, F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("_la"))
-        two = rows.select(key, F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("_lb"))
-        return one.join(two, key).where((F.col("_la") < F.col("_lb")) & _sized(percent)).select("a", "b").distinct()
-
-    near = _matching(paired(short, "key"), nodes, percent, coordinates, least)
-    hot = staged(open_.where(F.col("m") > small).select("node", "n", "label").distinct())
-    if not hot.isEmpty():
-        words = staged(full.join(hot, "node", "left_semi").select("node", "shingles").mapInArrow(_shingle_rows, "node long, shingle long"))
-        counts = words.groupBy("shingle").agg(F.count("*").alias("_c"))
-        # A shingle of one set links nothing but still takes a place in its set's order: the rarest come first.
-        common = staged(counts.where("_c > 1"))
-        shared = words.join(common, "shingle")
-        ranked = shared.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("_c", "shingle"))).alias("_s"))  # of one set
-        ranked = ranked.join(hot, "node")
-        first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-        alone = F.col("n") - F.size("_s")
-        prefix = ranked.withColumn("_take", (first - alone).cast("int")).where("_take > 0")
-        lists = prefix.select("node", "n", "label", F.explode(F.slice("_s", F.lit(1), F.col("_take"))).alias("_x")).select("node", "n", "label", "_x.shingle")
-        lists = staged(lists)
-        mixed = staged(lists.groupBy("shingle").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("shingle"))
-        near = near.unionByName(_matching(paired(lists.join(mixed, "shingle"), "shingle"), nodes, percent, coordinates, least))
-    return _confirmed(near.distinct(), full, percent)
+    split = known.groupBy(key).agg(F.count("*").alias("m"), F.min("n").alias("n_min"), F.min("label").alias("_lo"), F.max("label").alias("_hi"))
+    return staged(known.join(staged(split.where("_lo < _hi").select(key, "m", "n_min")), key))
+
+
+def _rare_lists(hot: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """(shingle, node, n) of the shingles under which similar sets among the hot ones (node, n, n_min) must meet.
+
+    A set of n shingles and a similar one of k share at least t / (1 + t) (n + k)
+    of them, and k is at least n_min. So a set with fewer shingles that occur in
+    another one has no partner, and similar sets share one of the first
+    n - overlap + 1 in the order of rarity.
+    """
+    words = staged(full.join(hot.select("node"), "node", "left_semi").select("node", "shingles").mapInArrow(_shingle_rows, "node long, shingle long"))
+    common = staged(words.groupBy("shingle").agg(F.count("*").alias("_c")).where("_c > 1"))
+    shared = words.join(common, "shingle")
+    smallest = F.greatest(F.col("n_min"), F.ceil(F.col("n") * percent / 100))
+    need = F.ceil((F.col("n") + smallest) * percent / (100 + percent)).cast("long")
+    counted = staged(shared.groupBy("node").agg(F.count("*").alias("_s")))
+    strong = staged(hot.join(counted, "node").withColumn("_need", need).where("_s >= _need"))
+    left = shared.join(strong.select("node", "n", "_s", "_need"), "node")
+    # What occurs in one set alone takes the first places of its order and links nothing.
+    first = F.col("_s") - F.col("_need") + 1
+    ranked = left.groupBy("node", "n", "_s", "_need").agg(F.sort_array(F.collect_list(F.struct("_c", "shingle"))).alias("_x"))  # of one set
+    taken = ranked.select("node", "n", F.explode(F.slice("_x", F.lit(1), first.cast("int"))).alias("_x"))
+    return staged(taken.select("_x.shingle", "node", "n"))
+
+
+def _joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after links between components."""
+    if links.isEmpty():
+        return labels
+    ends = labels.select(F.col("node").alias("a"), F.col("label").alias("_a"))
+    others = labels.select(F.col("node").alias("b"), F.col("label").alias("_b"))
+    across = links.join(ends, "a").join(others, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct()
+    above = components(labels.select(F.col("label").alias("node")).distinct(), across)
+    above = above.select(F.col("node").alias("_of"), F.col("label").alias("_top"))
+    return staged(labels.join(above, F.col("label") == F.col("_of")).select("node", F.col("_top").alias("label")))
 
 
 def near_duplicates(
@@ -261,25 +284,33 @@ def _labelled(read: DataFrame, near: DataFrame, shingle: int, percent: int, coor
     posts = near.mapInArrow(_posting_rows(coordinates), "key long, node long, n long, at int").where(F.col("at") < prefix).drop("at")
     sizes = posts.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     posts = staged(posts.join(staged(sizes), "key"))
-    texts = read.join(near.select("node"), read["_doc"] == near["node"], "left_semi")
-    full = staged(texts.mapInArrow(_full_rows(shingle), "node long, n long, shingles binary").dropDuplicates(["node"]))
+    hashed = F.xxhash64("node").alias("_h")
+    texts = read.where("_doc IS NOT NULL").withColumn("_h", F.xxhash64("_doc"))
+    found = texts.mapInArrow(_full_rows(shingle, bitmap(near.select(hashed), "_h")), "node long, shingles binary")
+    full = staged(found.join(near.select("node"), "node").dropDuplicates(["node"]))
     release(read.sparkSession)
-    weighed = posts.join(near.select("node", "weight"), "node")
-    heads = staged(weighed.groupBy("key").agg(F.max_by("node", "weight").alias("head")))
-    about = near.select(F.col("node").alias("head"), F.col("n").alias("n_b"))
-    pairs = posts.join(heads, "key").where("node != head").select("node", "head", F.col("n").alias("n_a")).distinct().join(about, "head").where(_sized(percent))
-    pairs = pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
-    links = _confirmed(_matching(pairs, near, percent, coordinates, least), full, percent)
-    labels = components(near.select("node"), links)
-    more = _rest(posts, labels, full, near, percent, coordinates, least, small)
-    if more.isEmpty():
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return _confirmed(_matching(pairs, near, percent, coordinates, least), full, percent)
+
+    def starred(lists: DataFrame, key: str) -> DataFrame:
+        pairs = _starred(lists, key, near).where(_sized(percent))
+        return linked(pairs.select(F.least("node", "_h").alias("a"), F.greatest("node", "_h").alias("b")).distinct())
+
+    # All members of a posting with its best-connected one.
+    alone = near.select("node", F.col("node").alias("label"))
+    labels = components(near.select("node"), starred(posts.join(alone, "node"), "key"))
+    open_ = _open(posts, labels, "key")
+    # Short postings are then compared member by member, as far as components differ.
+    labels = _joined_labels(labels, linked(_crossed(open_.where(F.col("m") <= small), "key", percent)))
+    hot = staged(open_.where(F.col("m") > small).groupBy("node", "n").agg(F.min("n_min").alias("n_min")))
+    if hot.isEmpty():
         return labels
-    ends = labels.select(F.col("node").alias("a"), F.col("label").alias("_a"))
-    others = labels.select(F.col("node").alias("b"), F.col("label").alias("_b"))
-    across = more.join(ends, "a").join(others, "b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct()
-    above = components(labels.select(F.col("label").alias("node")).distinct(), across)
-    above = above.select(F.col("node").alias("_of"), F.col("label").alias("_top"))
-    return staged(labels.join(above, F.col("label") == F.col("_of")).select("node", F.col("_top").alias("label")))
+    # Members of long ones meet again on their rarest shingles: first with the best-connected, then with all of other components.
+    lists = _rare_lists(hot, full, percent)
+    release(read.sparkSession)
+    labels = _joined_labels(labels, starred(_open(lists, labels, "shingle"), "shingle"))
+    return _joined_labels(labels, linked(_crossed(_open(lists, labels, "shingle"), "shingle", percent)))
 
 
 def drop_near(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
