@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import io
 import math
 import os
+import struct
 import tempfile
 from collections.abc import Iterator
 
@@ -21,10 +21,10 @@ from .common import release, text_bytes, token_hashes
 END, START = np.uint64(1), np.uint64(2)
 MASS = 100.0
 HOT_SHARE = 1000
-SHARD_BYTES = 10 << 20
+SHARD_BYTES = 16 << 20
 SLICE_BYTES = 4 << 20
-SLICE_TEXTS = 1 << 15
-COLD, HOT, TEXTS, SUMS = range(4)
+SLICE_TEXTS = 1 << 16
+COLD, HOT, HOME = range(3)
 _ROWS = pa.schema([("shard", pa.int64()), ("part", pa.int64()), ("kind", pa.int64()), ("data", pa.binary())])
 _ROW_TYPE = "shard long, part long, kind long, data binary"
 
@@ -115,15 +115,18 @@ class Trie:
         return np.where(found, self.least + self.step * self.codes[np.where(found, place, 0)], otherwise)
 
 
-def _dump(**arrays: np.ndarray) -> bytes:
-    out = io.BytesIO()
-    np.savez(out, **arrays)
-    return out.getvalue()
+def _dump(*arrays: np.ndarray) -> bytes:
+    """Arrays one after the other, each behind its type and length."""
+    return b"".join(part for a in arrays for part in (struct.pack("<cI", a.dtype.char.encode(), len(a)), np.ascontiguousarray(a).tobytes()))
 
 
-def _load(data: bytes) -> dict[str, np.ndarray]:
-    with np.load(io.BytesIO(data)) as file:
-        return dict(file)
+def _load(data: bytes) -> list[np.ndarray]:
+    arrays, at = [], 0
+    while at < len(data):
+        kind, n = struct.unpack_from("<cI", data, at)
+        arrays.append(np.frombuffer(data, np.dtype(kind.decode()), n, at + 5))
+        at += 5 + arrays[-1].nbytes
+    return arrays
 
 
 def _short(hashes: np.ndarray) -> np.ndarray:
@@ -202,30 +205,37 @@ class Known:
         self.context = -np.log10(counts + mass)
 
 
-def _blocks(primary: np.ndarray, other: np.ndarray, of: np.ndarray, held: np.ndarray, shards: int) -> Iterator[tuple[int, bytes]]:
-    """Pairs sorted by primary word and cut by its shard; each pair once, with the list of its texts."""
+def _blocks(primary: np.ndarray, other: np.ndarray, of: np.ndarray, held: np.ndarray, shards: int) -> tuple[list[tuple[int, bytes]], list[np.ndarray]]:
+    """Pairs sorted by the shard of their primary word: what each shard is asked, and what stays with the texts.
+
+    A shard gets its words, and per pair the other word and how often it occurs
+    in texts that teach. The lists of texts of each pair stay.
+    """
     words, rank = np.unique(primary, return_inverse=True)
     by_shard = np.argsort(_shard(words, shards), kind="stable")
     words, place = words[by_shard], np.empty(len(words), np.int64)
     place[by_shard] = np.arange(len(words))
     key = (place[rank].astype(np.uint64) << np.uint64(32)) | _short(other)
     order = np.argsort(key)
-    key, texts = key[order], (of[order] | (held[of[order]].astype(np.int64) << 15)).astype(np.uint16)
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    runs = np.diff(np.append(first, len(key)))
-    cuts = -(-runs // 255)  # long lists go in parts of 255
-    starts = np.repeat(first, cuts) + 255 * (np.arange(cuts.sum()) - np.repeat(np.cumsum(cuts) - cuts, cuts))
+    key, texts = key[order], of[order]
+    starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1])))
     lengths = np.diff(np.append(starts, len(key)))
+    taught = np.diff(np.concatenate(([0], np.cumsum(~held[texts])))[np.append(starts, len(key))])
     owner, child = (key[starts] >> np.uint64(32)).astype(np.int64), key[starts].astype(np.uint32)
     shard = _shard(words, shards).astype(np.int64)
     bounds = np.searchsorted(shard, np.arange(shards + 1))
     entry = np.searchsorted(owner, bounds)
-    post = np.append(starts, len(key))[entry]
-    for s in range(shards):
-        if entry[s] < entry[s + 1]:
-            e = slice(entry[s], entry[s + 1])
-            per = np.bincount(owner[e] - bounds[s], minlength=bounds[s + 1] - bounds[s]).astype(np.uint32)
-            yield s, _dump(words=words[bounds[s] : bounds[s + 1]], per=per, child=child[e], runs=lengths[e].astype(np.uint8), texts=texts[post[s] : post[s + 1]])
+    per = np.bincount(owner, minlength=len(words)).astype(np.uint32)
+    asked = [
+        (s, _dump(words[bounds[s] : bounds[s + 1]], per[bounds[s] : bounds[s + 1]], child[entry[s] : entry[s + 1]], _least(taught[entry[s] : entry[s + 1]])))
+        for s in range(shards) if entry[s] < entry[s + 1]
+    ]
+    return asked, [words == END, per, _least(lengths), texts.astype(np.uint16)]
+
+
+def _least(values: np.ndarray) -> np.ndarray:
+    """Counts in the smallest type that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
 
 
 def _sums(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -250,73 +260,57 @@ def _emit_rows(known: Known, shards: int):
                 heard = _sums(of[frequent], known.counts[b[frequent]] > 0, n)
                 ids = rows.column(rows.schema.get_field_index("_id"))
                 tokens = np.bincount(of, minlength=n)
-                texts_row = _dump(id=np.array(ids.fill_null(0)), null=np.array(ids.is_null()), held=held, tokens=tokens, base=base, score=score, known=heard.astype(np.int64))
-                out = [(uid % shards, uid, TEXTS, texts_row)]
-                out += [(s, uid, COLD, d) for s, d in _blocks(now[far], before[far], of[far], held, shards)]
-                out += [(s, uid, HOT, d) for s, d in _blocks(before[start], now[start], of[start], held, shards)]
+                out, stay = [], [np.array(ids.fill_null(0)), np.array(ids.is_null()), held, tokens, base, score, heard]
+                for kind, mine, one, two in ((COLD, far, now, before), (HOT, start, before, now)):
+                    asked, kept = _blocks(one[mine], two[mine], of[mine], held, shards)
+                    out += [(s, uid, kind, d) for s, d in asked]
+                    stay += kept
+                out.append((uid % shards, uid, HOME, _dump(*stay)))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], f.type) for k, f in enumerate(_ROWS)], schema=_ROWS)
 
     return run
 
 
-def _score_kind(blocks: list[dict[str, np.ndarray]], kind: int, known: Known, folder: str) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per block the (base, score, known) sums of its texts: the trie is built from texts that teach and asked for all pairs."""
-    words, rank = np.unique(np.concatenate([b["words"] for b in blocks]), return_inverse=True)
-    cuts = np.cumsum([len(b["words"]) for b in blocks])[:-1]
-    owner = np.concatenate([np.repeat(r, b["per"]) for r, b in zip(np.split(rank, cuts), blocks, strict=True)])
-    child = np.concatenate([b["child"] for b in blocks]).astype(np.uint64)
-    runs = np.concatenate([b["runs"] for b in blocks]).astype(np.int64)
-    texts = np.concatenate([b["texts"] for b in blocks])
-    taught = np.add.reduceat((texts >> 15 == 0).astype(np.int64), np.cumsum(runs) - runs)
+def _answers(blocks: list[list[np.ndarray]], kind: int, known: Known, folder: str) -> list[bytes]:
+    """For each block the counts of its words and the weights of its pairs, from a trie of all pairs that teach."""
+    words, rank = np.unique(np.concatenate([b[0] for b in blocks]), return_inverse=True)
+    of_block = np.split(rank, np.cumsum([len(b[0]) for b in blocks])[:-1])
+    owner = np.concatenate([np.repeat(r, b[1]) for r, b in zip(of_block, blocks, strict=True)])
+    child = np.concatenate([b[2] for b in blocks]).astype(np.uint64)
+    taught = np.concatenate([b[3] for b in blocks]).astype(np.int64)
     keys, entry = np.unique((owner.astype(np.uint64) << np.uint64(32)) | child, return_inverse=True)
     count = np.bincount(entry, taught)
     of_word, next_to = (keys >> np.uint64(32)).astype(np.int64), keys & np.uint64(0xFFFFFFFF)
+    counts = np.bincount(owner, taught, len(words))
     if kind == COLD:
-        counts = np.bincount(owner, taught, len(words))
         share = known.mass * (counts[of_word] + 1) / known.total
     else:  # the pair's second word is a frequent one
-        counts = None
         short = _short(known.hot)
         order = np.argsort(short)
         share = known.mass * 10 ** known.base[order[np.searchsorted(short[order], next_to)]]
     seen = count > 0
     nodes, node = np.unique(of_word[seen], return_inverse=True)
     trie = Trie(words[nodes], node, next_to[seen], np.log10(count[seen] + share[seen]), folder)
-    at = np.minimum(np.searchsorted(nodes, of_word), max(len(nodes) - 1, 0))
-    unseen = np.log10(share)
-    weight = unseen
+    weight = np.log10(share)
     if len(nodes):
+        at = np.minimum(np.searchsorted(nodes, of_word), len(nodes) - 1)
         asked = nodes[at] == of_word
-        weight = unseen.copy()
-        weight[asked] = trie.weights(at[asked], next_to[asked], unseen[asked])
-    value = weight[entry]
-    if kind == COLD:
-        context = np.where(words == END, 0.0, -np.log10(counts + known.mass))
-        base = np.log10((counts + 1) / known.total)
-        value = value + context[owner]
-    out, a, p = [], 0, 0
-    for b in blocks:
-        n, m = len(b["child"]), len(b["texts"])
-        run, of = runs[a : a + n], (b["texts"] & 0x7FFF).astype(np.int64)
-        sums = [np.zeros(0), np.bincount(of, np.repeat(value[a : a + n], run)), np.zeros(0)]
-        if kind == COLD:
-            own = np.repeat(owner[a : a + n], run)
-            sums[0], sums[2] = np.bincount(of, base[own]), np.bincount(of, counts[own] > 0)
-        out.append(tuple(sums))
-        a, p = a + n, p + m
-    return out
+        weight[asked] = trie.weights(at[asked], next_to[asked], weight[asked])
+    value = weight[entry].astype(np.float32)
+    parts = np.split(value, np.cumsum([len(b[2]) for b in blocks])[:-1])
+    return [_dump(_least(counts[r]), v) for r, v in zip(of_block, parts, strict=True)]
 
 
 def _score_rows(known: Known):
     def run(table: pa.Table) -> pa.Table:
-        parts, kinds, data = (table[n].to_pylist() for n in ("part", "kind", "data"))
-        rows = [(0, u, k, d) for u, k, d in zip(parts, kinds, data, strict=True) if k == TEXTS]
+        shard, parts, kinds, data = (table[n].to_pylist() for n in ("shard", "part", "kind", "data"))
+        rows = [r for r in zip(shard, parts, kinds, data, strict=True) if r[2] == HOME]
         for kind in (COLD, HOT):
             mine = [i for i, k in enumerate(kinds) if k == kind]
             if mine:
                 with tempfile.TemporaryDirectory() as folder:
-                    sums = _score_kind([_load(data[i]) for i in mine], kind, known, folder)
-                rows += [(0, parts[i], SUMS, _dump(base=s[0], score=s[1], known=s[2].astype(np.int64))) for i, s in zip(mine, sums, strict=True)]
+                    answers = _answers([_load(data[i]) for i in mine], kind, known, folder)
+                rows += [(shard[i], parts[i], kind, a) for i, a in zip(mine, answers, strict=True)]
         return pa.Table.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_ROWS)], schema=_ROWS)
 
     return run
@@ -325,16 +319,29 @@ def _score_rows(known: Known):
 _SCORES = pa.schema([("_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _sum_rows(table: pa.Table) -> pa.Table:
-    loaded = [(k, _load(d)) for k, d in zip(table["kind"].to_pylist(), table["data"].to_pylist(), strict=True)]
-    own = next(d for k, d in loaded if k == TEXTS)
-    sums = {k: own[k].astype(np.float64) for k in ("base", "score", "known")}
-    for kind, data in loaded:
-        if kind == SUMS:
-            for name, values in data.items():
-                sums[name][: len(values)] += values
-    columns = [pa.array(own["id"], pa.int64(), mask=own["null"]), own["held"], own["tokens"], sums["known"].astype(np.int64), sums["base"], sums["score"]]
-    return pa.Table.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, _SCORES, strict=True)], schema=_SCORES)
+def _sum_rows(known: Known):
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table["kind"].to_pylist(), table["shard"].to_pylist(), table["data"].to_pylist(), strict=True), key=lambda r: r[:2])
+        ids, null, held, tokens, base, score, heard, *stay = _load(next(d for k, _, d in rows if k == HOME))
+        n, base, score, heard = len(ids), base.copy(), score.copy(), heard.copy()
+        for kind in (COLD, HOT):
+            is_end, per, lengths, texts = stay[4 * kind : 4 * kind + 4]
+            answers = [_load(d) for k, _, d in rows if k == kind]  # shard by shard, in the order in which they were asked
+            if not answers:
+                continue
+            counts, weights = (np.concatenate([a[k] for a in answers]) for k in (0, 1))
+            lengths, texts = lengths.astype(np.int64), texts.astype(np.int64)
+            score += np.bincount(texts, np.repeat(weights.astype(np.float64), lengths), n)
+            if kind == COLD:
+                word = np.repeat(np.repeat(np.arange(len(per)), per), lengths)
+                counts = counts.astype(np.int64)
+                base += np.bincount(texts, np.log10((counts + 1) / known.total)[word], n)
+                score += np.bincount(texts, np.where(is_end, 0.0, -np.log10(counts + known.mass))[word], n)
+                heard += np.bincount(texts, (counts > 0)[word], n)
+        columns = [pa.array(ids, pa.int64(), mask=null), held, tokens, heard.astype(np.int64), base, score]
+        return pa.Table.from_arrays([pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, _SCORES, strict=True)], schema=_SCORES)
+
+    return run
 
 
 def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", mass: float = MASS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -344,9 +351,10 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     probability of word w after v is (c(v w) + mass * u(w)) / (c(v) + mass) with the
     add-one share u(w) = (c(w) + 1) / (N + V + 1), so all words' probabilities add up to 1.
 
-    Each task groups its pairs by the rarer word's shard and sends each once with
-    the list of its texts. A shard builds its trie from texts that teach, in files
-    that it maps, looks all pairs up and returns sums per text. Words that
+    Each task cuts its texts into parts, groups the pairs of a part by the rarer
+    word's shard and asks for each once. A shard builds its trie from the counts of
+    texts that teach, in files that it maps, looks up all pairs it was asked and
+    answers the part, which kept the lists of texts. Words that
     make up more than one in ``HOT_SHARE`` tokens, at most that many, have no
     shard: their counts and those of pairs of two of them go to every task, and
     pairs with one of them are dealt by the other word. Nothing is pruned.
@@ -374,8 +382,9 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     # The start of a text is no token, so it has no share of its own; its place in the list is for pairs that begin with it.
     known = Known(tokens, distinct, hot, number, pairs, mass)
     size = read.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    shards = max(1, math.ceil(size * 1.3 / shard_bytes))  # about as many bytes of pairs as of text
+    shards = max(1, math.ceil(size / shard_bytes))
+    release(spark)
     sent = read.mapInArrow(_emit_rows(known, shards), _ROW_TYPE)
     summed = sent.groupBy("shard").applyInArrow(_score_rows(known), _ROW_TYPE)
-    scores = summed.groupBy("part").applyInArrow(_sum_rows, "_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    scores = summed.groupBy("part").applyInArrow(_sum_rows(known), "_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scores.select(F.col("_id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
