@@ -185,10 +185,19 @@ def _starred(lists: DataFrame, key: str, near: DataFrame) -> DataFrame:
 
 
 def _crossed(rows: DataFrame, key: str, percent: int) -> DataFrame:
-    """All pairs of members of a list that are in different components."""
-    one = rows.select(key, F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("_la"))
-    two = rows.select(key, F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("_lb"))
-    return one.join(two, key).where((F.col("_la") < F.col("_lb")) & _sized(percent)).select("a", "b").distinct()
+    """Pairs of members of a list that are in different components and may be similar.
+
+    ``rest``, if there, is how many shingles a member can share with others from
+    this list's shingle on, in the common order. A similar pair shares enough of
+    them from its first common shingle on, and is found in that list.
+    """
+    more = ["rest"] if "rest" in rows.columns else []
+    one = rows.select(key, F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("_la"), *[F.col(c).alias(f"{c}_a") for c in more])
+    two = rows.select(key, F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("_lb"), *[F.col(c).alias(f"{c}_b") for c in more])
+    fits = (F.col("_la") < F.col("_lb")) & _sized(percent)
+    if more:
+        fits &= F.least("rest_a", "rest_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    return one.join(two, key).where(fits).select("a", "b").distinct()
 
 
 def _open(posts: DataFrame, labels: DataFrame, key: str) -> DataFrame:
@@ -199,7 +208,7 @@ def _open(posts: DataFrame, labels: DataFrame, key: str) -> DataFrame:
 
 
 def _rare_lists(hot: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """(shingle, node, n) of the shingles under which similar sets among the hot ones (node, n, n_min) must meet.
+    """(shingle, node, n, rest) of the shingles under which similar sets among the hot ones (node, n, n_min) must meet.
 
     A set of n shingles and a similar one of k share at least t / (1 + t) (n + k)
     of them, and k is at least n_min. So a set with fewer shingles that occur in
@@ -217,8 +226,8 @@ def _rare_lists(hot: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     # What occurs in one set alone takes the first places of its order and links nothing.
     first = F.col("_s") - F.col("_need") + 1
     ranked = left.groupBy("node", "n", "_s", "_need").agg(F.sort_array(F.collect_list(F.struct("_c", "shingle"))).alias("_x"))  # of one set
-    taken = ranked.select("node", "n", F.explode(F.slice("_x", F.lit(1), first.cast("int"))).alias("_x"))
-    return staged(taken.select("_x.shingle", "node", "n"))
+    taken = ranked.select("node", "n", "_s", F.posexplode(F.slice("_x", F.lit(1), first.cast("int"))).alias("_i", "_x"))
+    return staged(taken.select("_x.shingle", "node", "n", (F.col("_s") - F.col("_i")).alias("rest")))
 
 
 def _joined_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
