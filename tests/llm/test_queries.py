@@ -1,0 +1,34 @@
+import os
+import sys
+
+import pytest
+from conftest import SF
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from oracle import compare, connect
+
+from siteledger.llm import ORACLE, QUERIES
+
+COLUMNS = {
+    "op3": "doc_id held_out lang_pred score", "op4": "doc_id n_shingles component_id kept",
+    "op5": "doc_id held_out n_tokens n_known train_tokens base_score score", "op6": "doc_id size text_crc32 law shard slot grown_shard",
+    "op7": "doc_id n_email n_ip n_card n_phone base_sha256 spans", "op8": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
+    "op9": "doc_id keep_id group_size kept text_sha256", "op10": "doc_id n_bytes n_removed n_spans kept_sha256",
+}
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(spark, name):
+    if name in ORACLE:
+        problem, n, _ = compare(spark, connect(SF), QUERIES[name], ORACLE[name], SF)
+        assert problem is None
+    else:
+        n = QUERIES[name](spark, SF).count()
+    assert n >= spark.read.parquet(f"{SF}/documents.parquet").count()
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_columns(spark, name):
+    want = COLUMNS.get(name.split("_")[0], "doc_id").split()
+    assert QUERIES[name](spark, SF).columns[: len(want)] == want
