@@ -11,7 +11,7 @@ from .common import documents, fold
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
 from .langid import Model, learn, predict
-from .line_dedup import repeated_chunks
+from .line_dedup import repeated_passages
 from .lm_score import score_documents
 from .minhash import near_duplicates
 from .packing import pack
@@ -42,7 +42,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op2_line_chunks")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeated_chunks(documents(spark, sf_dir))
+    found = repeated_passages(documents(spark, sf_dir))
     return found.select("doc_id", F.col("lines").alias("n_lines"), F.col("removed").alias("n_removed"), F.col("spans").alias("removed_lines"))
 
 
