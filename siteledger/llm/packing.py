@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 import zlib
 from array import array
@@ -25,16 +27,31 @@ _BLANKS = re.compile(r"\s\s|^ | $")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def added_tokens(vocabulary: str) -> dict[str, int]:
+    """Ids of the tokens that the tokenizer file (.json) beside a rank file of the same name adds to the ranks."""
+    with open(os.path.splitext(vocabulary)[0] + ".json", encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens", [])
+    if odd := [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"]]:
+        raise ValueError(f"added tokens that take more or less than their own text: {odd}")
+    return {t["content"]: t["id"] for t in added}
+
+
 class Ids(dict):
-    """Ids of words with the blank before them, as unsigned 32-bit values; keeps those of the last words seen."""
+    """Ids of words with the blank before them, as unsigned 32-bit values; keeps those of the last words seen.
 
-    def __init__(self, vocabulary: str):
+    With ``added``, added tokens that stand in a text have ids of their own, and the text before
+    and after them is encoded by itself, as the tokenizer does; else they are spelled out.
+    """
+
+    def __init__(self, vocabulary: str, added: bool = False):
         import tiktoken
         from public_tokenizers import PATTERN
 
         with open(vocabulary, "rb") as lines:
             ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
         self.encode = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.added = {word: array("I", [i]).tobytes() for word, i in (added_tokens(vocabulary) if added else {}).items()}
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else None
 
     def __missing__(self, word: str) -> bytes:
         ids = array("I", self.encode(" " + word)).tobytes()
@@ -45,6 +62,11 @@ class Ids(dict):
         return ids
 
     def of(self, text: str) -> bytes:
+        if not any(word in text for word in self.added):
+            return self.plain(text)
+        return b"".join(self.added[x] if k % 2 else self.plain(x) for k, x in enumerate(self.split(text)) if x)
+
+    def plain(self, text: str) -> bytes:
         words = _CUT.split(text) if _BLANKS.search(text) else text.split(" ")
         return array("I", self.encode(words[0])).tobytes() + b"".join(map(self.__getitem__, words[1:]))
 
@@ -55,9 +77,9 @@ def default_vocabulary() -> str:
     return path("byte_bpe_50k.tiktoken")
 
 
-def _piece_rows(vocabulary: str, window: int):
+def _piece_rows(vocabulary: str, window: int, added: bool):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(vocabulary)
+        ids = Ids(vocabulary, added)
         for part in parts:
             out = {name: [] for name in PIECES.names}
             for row, text in rows_of(part, "_row", "_text"):
@@ -134,7 +156,7 @@ def plan(counts: np.ndarray, window: int) -> list[tuple[tuple[int, ...], int]]:
     return made
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
     """Token ids of all documents, each with an end id 0, in sequences of at most ``window`` ids.
 
     Whole windows of a document are sequences of their own. What remains is
@@ -142,7 +164,8 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, i
     it; combinations of lengths that fill a window are enumerated, their repeat
     counts solved by non-negative least squares against the histogram and
     rounded, and the rest is packed greedily. Pieces find their place by their
-    rank among those of their length.
+    rank among those of their length. With ``added``, added tokens of the tokenizer
+    that stand in a text have their own ids; else they are spelled out.
 
     Result, one row per piece: id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset. Null text is empty and has the end id alone; null ids
@@ -151,7 +174,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, i
     """
     read = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     cut = read.select(F.col("_id").cast("long").alias("_row"), "_text").mapInArrow(
-        _piece_rows(vocabulary or default_vocabulary(), window), "_row long, start long, length long, ids_crc32 long, doc_tokens long"
+        _piece_rows(vocabulary or default_vocabulary(), window, added), "_row long, start long, length long, ids_crc32 long, doc_tokens long"
     )
     pieces = staged(cut)
     counts = np.zeros(window + 1, np.int64)

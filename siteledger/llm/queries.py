@@ -118,7 +118,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op8_histogram_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(documents(spark, sf_dir))
+    return pack(documents(spark, sf_dir), added=True)
 
 
 @register(
