@@ -154,8 +154,9 @@ def discovered(scan: DataFrame, rounds: int = ROUNDS, confidence: float = CONFID
     Base spans are the seeds. A pattern's confidence in a kind is the weight of
     its seeds and believed words of that kind among all its identifier-like
     places, with ``support`` places of doubt added, so rare patterns prove
-    nothing. A word that looks like a kind is believed as much as its patterns
-    are on average. After ``rounds`` rounds over the graph of patterns and words,
+    nothing. A word that looks like a kind is believed as much as its best pattern:
+    one side is enough, and neither a common word on the other side nor a rare pair
+    takes from it. Groups of digits parted by blanks are words of their own. After ``rounds`` rounds over the graph of patterns and words,
     words believed by ``confidence`` or more are identifiers wherever they stand.
     """
     seeds = scan.select("_row", F.explode("base").alias("x")).select("_row", "x.start", "x.end", "x.value", "x.left", "x.right", "x.kind")
@@ -176,7 +177,7 @@ def discovered(scan: DataFrame, rounds: int = ROUNDS, confidence: float = CONFID
         trust = trust.where(" OR ".join(f"r{k} > 0" for k in range(len(KINDS))))
         open_ = edges.where("kind IS NULL").select("value", "pattern", "n", *[x.alias(f"l{k}") for k, x in enumerate(looks)])
         open_ = open_.where(" OR ".join(f"l{k} > 0" for k in range(len(KINDS)))).join(trust, "pattern", "left")
-        belief = [(F.sum(F.coalesce(f"r{k}", F.lit(0.0)) * F.col("n")) / F.sum("n") * F.max(f"l{k}")).alias(f"b{k}") for k in range(len(KINDS))]
+        belief = [(F.max(F.coalesce(f"r{k}", F.lit(0.0))) * F.max(f"l{k}")).alias(f"b{k}") for k in range(len(KINDS))]
         believed = staged(open_.groupBy("value").agg(*belief))
     top = F.greatest(*[F.col(f"b{k}") for k in range(len(KINDS))])
     kind = F.coalesce(*[F.when(F.col(f"b{k}") == top, F.lit(k)) for k in range(len(KINDS))])
