@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import documents, fold
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
+from .filter_audit import audit
 from .langid import Model, learn, predict
 from .line_dedup import repeated_passages
 from .lm_score import score_documents
@@ -150,3 +151,28 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
+
+
+@register(
+    "op13_coalition_audit",
+    r"""
+    WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    f AS (SELECT d.doc_id, part, [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text),
+            regexp_matches(text, '[#$%&*|]'), coalesce(d.doc_id, 9223372036854775807) > min(coalesce(d.doc_id, 9223372036854775807)) OVER (PARTITION BY text)] AS fails,
+            coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+        FROM t d LEFT JOIN (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id) l ON l.doc_id = d.doc_id),
+    g AS (SELECT part, fails, good, toxic, count(*) AS n FROM f GROUP BY ALL),
+    i AS (SELECT unnest(range(1, 6)) AS i),
+    o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM i a, i b, i c, i d, i e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+    s AS (SELECT o, k.i AS step, o[k.i] AS own, o[1:k.i - 1] AS before FROM o, i k),
+    r AS (SELECT part, o, step, own, sum(n) AS rows, fails[own] AS f, list_bool_or(list_transform(before, lambda x: fails[x])) AS b, sum(n) AS n, good, toxic,
+        list_sum(list_transform(fails, lambda x: CAST(x AS INT))) = 1 AS alone FROM g, s GROUP BY ALL),
+    q AS (SELECT part, o, step, own, sum(n) FILTER (NOT f AND NOT coalesce(b, false)) AS kept, sum(n) FILTER (f AND NOT coalesce(b, false)) AS removed, sum(n) FILTER (f AND b) AS redundant,
+        sum(n) FILTER (f AND alone) AS unique_fails, sum(n) FILTER (f AND NOT coalesce(b, false) AND good) AS good_lost, sum(n) FILTER (f AND NOT coalesce(b, false) AND toxic) AS toxic_lost FROM r GROUP BY ALL)
+    SELECT part, array_to_string(list_transform(o, lambda x: 'ABCDE'[x]), '') AS filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+        CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+        CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost, CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM q
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
