@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .centroids import cluster
 from .common import documents, fold
 from .decontaminate import contamination
 from .exact_dedup import exact_duplicates
@@ -153,6 +154,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
 
 
+def _round_sql(k: int, last: bool) -> str:
+    """Vectors with their nearest centroid, and the centroids after that."""
+    near = f"""a{k} AS MATERIALIZED (SELECT row, vec_id, v, struct_extract(m, 'd') AS d, struct_extract(m, 'k') AS k FROM (SELECT row, vec_id, v,
+        list_min(list_transform(cs, lambda c: {{'d': list_sum(list_transform(list_zip(v, c['c']), lambda p: CAST((p[1] - p[2]) * (p[1] - p[2]) AS BIGINT))), 'k': c['k']}})) AS m
+        FROM i, (SELECT list({{'k': k, 'c': c}}) AS cs FROM c{k})))"""
+    moved = f"""c{k + 1} AS MATERIALIZED (SELECT k, coalesce(n.c, c{k}.c) AS c FROM c{k} LEFT JOIN (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) AS c
+        FROM (SELECT k, p, sum(v[p]) AS s, count(*) AS n FROM a{k}, (SELECT unnest(range(1, 65)) AS p) GROUP BY k, p) GROUP BY k) n USING (k))"""
+    return near if last else f"{near}, {moved}"
+
+
+@register(
+    "op12_simplex_clusters",
+    f"""
+    WITH i AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+        WHERE len(embedding) = 64 AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+    c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v AS c FROM (SELECT sha256('1:' || vec_id) AS h, v FROM i ORDER BY h, v LIMIT 16)),
+    {", ".join(_round_sql(k, k == 3) for k in range(4))}
+    SELECT vec_id, CAST(k AS INT) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+        sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a3 JOIN c3 USING (k)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @register(
     "op13_coalition_audit",
     r"""
