@@ -143,12 +143,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[ends[0] : ends[-1]], ends - ends[0]
 
 
-def token_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash per word of all texts, and the text it is in; A to Z count as lower case, words have no blanks in them.
+def token_hashes(data: np.ndarray, ends: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash per word of all texts, and the text it is in; words have no blanks in them, and with ``lower`` A to Z count as lower case.
 
     Bytes are read chunk by chunk, each of which ends where a word cannot go on.
     """
     hashes, texts, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    letters = _LOWER if lower else np.arange(256, dtype=np.uint8)
     while at < len(data):
         end = min(at + CHUNK, len(data))
         if end < len(data):
@@ -162,7 +163,7 @@ def token_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
                     if len(blank):
                         cut = begin + int(blank[0])
                         break
-                whole = _LOWER[data[at:cut]].tobytes()
+                whole = letters[data[at:cut]].tobytes()
                 hashes.append(np.array([xxhash.xxh3_64_intdigest(whole)], np.uint64))
                 texts.append(np.searchsorted(ends, [at], side="right") - 1)
                 at = cut
@@ -176,7 +177,7 @@ def token_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
         begins = word & (first[:-1] | ~np.concatenate(([False], word[:-1])))
         stops = word & (first[1:] | ~np.concatenate((word[1:], [False])))
         starts = np.flatnonzero(begins)
-        hashes.append(range_hash(prefix_hash(_LOWER[part], BASE), starts, np.flatnonzero(stops) + 1, BASE))
+        hashes.append(range_hash(prefix_hash(letters[part], BASE), starts, np.flatnonzero(stops) + 1, BASE))
         texts.append(np.searchsorted(ends, starts + at, side="right") - 1)
         at = end
     return np.concatenate(hashes), np.concatenate(texts)

@@ -20,6 +20,7 @@ from .packing import pack
 from .pii import personal_data
 from .sharding import interleave
 from .suffix_dedup import remove_repeats
+from .word_repeats import remove_repeated_words
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -154,6 +155,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir))
 
 
+@register(
+    "op11_block_anchors",
+    r"""
+    WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t WHERE len(w) >= 13)),
+    late AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS first FROM s) WHERE doc_id > first),
+    gone AS (SELECT doc_id, list_distinct(list(i + j)) AS g FROM late, (SELECT unnest(range(13)) AS j) GROUP BY doc_id),
+    kept AS (SELECT t.doc_id, len(w) AS n, coalesce(len(g), 0) AS m, CASE WHEN g IS NULL THEN w ELSE
+        list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda p: NOT list_contains(g, p[2])), lambda p: p[1]) END AS k FROM t LEFT JOIN gone USING (doc_id))
+    SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(m AS BIGINT) AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_words(documents(spark, sf_dir))
+
+
 def _round_sql(k: int, last: bool) -> str:
     """Vectors with their nearest centroid, and the centroids after that."""
     near = f"""a{k} AS MATERIALIZED (SELECT row, vec_id, v, struct_extract(m, 'd') AS d, struct_extract(m, 'k') AS k FROM (SELECT row, vec_id, v,
