@@ -119,11 +119,12 @@ def _probe_rows(window: int, known: np.ndarray):
     return run
 
 
-_WINDOWS = pa.schema([(n, pa.int64()) for n in ("k1", "k2", "_doc", "_t", "at")])
+_KEYS = pa.schema([(n, pa.int64()) for n in ("k1", "k2", "_doc")])
+_WINDOWS = pa.schema([*_KEYS, ("_t", pa.int64()), ("at", pa.int64())])
 
 
-def _window_rows(window: int, known: np.ndarray, hit: np.ndarray):
-    """Hits extended to all windows of words around them."""
+def _window_rows(window: int, known: np.ndarray, hit: np.ndarray, shared: np.ndarray | None = None):
+    """Hits extended to all windows of words around them; with ``shared``, only windows that may be among these, and their places."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -135,7 +136,12 @@ def _window_rows(window: int, known: np.ndarray, hit: np.ndarray):
                 at = np.flatnonzero(alive & r.over(blocks))
                 if len(at):
                     k1, k2 = (shingle_hashes(r.words ^ salt, window)[at] for salt in (np.uint64(0), OTHER))
-                    yield _batch(_WINDOWS, k1, k2, docs[r.text[at]], ties[r.text[at]], r.place[at])
+                    if shared is None:
+                        yield _batch(_KEYS, k1, k2, docs[r.text[at]])
+                        continue
+                    two = in_bitmap(shared, k1)
+                    at = at[two]
+                    yield _batch(_WINDOWS, k1[two], k2[two], docs[r.text[at]], ties[r.text[at]], r.place[at])
 
     return run
 
@@ -157,11 +163,13 @@ def repeated_windows(read: DataFrame, window: int = WINDOW) -> DataFrame:
     probes = read.select("_doc", "_text").mapInArrow(_probe_rows(window, known), "h long, first long, last long")
     hit = staged(probes.groupBy("h").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last").select("h"))
     release(spark)
-    kinds = ", ".join(f"{n} long" for n in _WINDOWS.names)
-    windows = staged(read.select("_doc", "_t", "_text").mapInArrow(_window_rows(window, known, bitmap(hit, "h")), kinds))
-    first = windows.groupBy("k1", "k2").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"))
+    # Windows are made twice, once to find the first document of each and once to look it up, so that they are never written as a whole.
+    texts, around = read.select("_doc", "_t", "_text"), bitmap(hit, "h")
+    keys = texts.mapInArrow(_window_rows(window, known, around), ", ".join(f"{n} long" for n in _KEYS.names))
+    first = keys.groupBy("k1", "k2").agg(F.min("_doc").alias("_first"), F.max("_doc").alias("_last"))
     first = staged(first.where("_first < _last").select("k1", "k2", "_first"))
     release(spark)
+    windows = texts.mapInArrow(_window_rows(window, known, around, bitmap(first, "k1")), ", ".join(f"{n} long" for n in _WINDOWS.names))
     return windows.join(first, ["k1", "k2"]).where("_doc > _first").select("_doc", "_t", "at")
 
 
