@@ -19,6 +19,8 @@ from .components import components
 COORDINATES = 48
 DEVIATIONS = 4.4
 SMALL = 32
+HEADS = 32
+TURNS = 3
 SLICE_BYTES = 8 << 20
 _SETS = "_doc long, n long, s1 long, s2 long, sig binary"
 
@@ -196,10 +198,32 @@ def _crossed(rows: DataFrame, key: str, percent: int) -> DataFrame:
     two = rows.select(key, F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("_lb"), *[F.col(c).alias(f"{c}_b") for c in more])
     fits = (F.col("_la") < F.col("_lb")) & _sized(percent)
     if more:
-        fits &= F.least("rest_a", "rest_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+        fits &= _shareable(percent)
     return one.join(two, key).where(fits).select("a", "b").distinct()
 
 
+def _headed(lists: DataFrame, key: str, percent: int, turn: int, heads: int = HEADS) -> DataFrame:
+    """Pairs of some members of each list's largest component, others each turn, with its members of other components.
+
+    Members that are near some of a large component, but not its centre, are likely
+    to meet one; the pairs are as many as members times ``heads``.
+    """
+    parts = lists.groupBy(key, "label").agg(F.count("*").alias("_k"))
+    largest = staged(parts.groupBy(key).agg(F.max(F.struct("_k", "label")).alias("_x")).select(key, F.col("_x.label").alias("_l"), F.col("_x._k").alias("_k")))
+    known = lists.join(largest, key)
+    # As many heads as asked for on average, drawn row by row.
+    drawn = known.where(F.col("label") == F.col("_l")).where(F.pmod(F.xxhash64("node", F.lit(turn)), F.col("_k")) < heads)
+    drawn = staged(drawn.select(key, F.col("node").alias("_h"), F.col("n").alias("n_b"), F.col("rest").alias("rest_b")))
+    minor = staged(known.where(F.col("label") != F.col("_l")).select(key, "node", F.col("n").alias("n_a"), F.col("rest").alias("rest_a")))
+    pairs = minor.join(drawn, key).where(_sized(percent)).where(_shareable(percent))
+    return pairs.select(F.least("node", "_h").alias("a"), F.greatest("node", "_h").alias("b")).distinct()
+
+
+def _shareable(percent: int):
+    """What both sets can share from a list's shingle on is enough."""
+    return F.least("rest_a", "rest_b") * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+
+
 def _open(posts: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """Members (key, node, n, label, m) of the lists that still hold several components."""
     known = staged(posts.join(labels, "node"))
@@ -319,6 +343,9 @@ def _labelled(read: DataFrame, near: DataFrame, shingle: int, percent: int, coor
     lists = _rare_lists(hot, full, percent)
     release(read.sparkSession)
     labels = _joined_labels(labels, starred(_open(lists, labels, "shingle"), "shingle"))
+    for turn in range(TURNS):
+        open_ = _open(lists, labels, "shingle")
+        labels = _joined_labels(labels, linked(_headed(open_, "shingle", percent, turn)))
     return _joined_labels(labels, linked(_crossed(_open(lists, labels, "shingle"), "shingle", percent)))
 
 
