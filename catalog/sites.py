@@ -31,7 +31,7 @@ from siteledger.operators import (
 from siteledger.functions import strip_hidden, text, title
 from siteledger.plans import clean_up, crawl, read_pages
 from siteledger.schemas import PAGE_FETCH, TABLES
-from siteledger.streaming import refresh_tables, stream_pages
+from siteledger.streaming import refresh_tables, site_table, stream_pages
 
 from . import register, table, texts
 from .planted import TITLE, planted, planted_sql
@@ -304,7 +304,7 @@ def _(spark, sf):
     return _crawl(spark, sf)["domain_inns"].select("id", "inn", "domain_id")
 
 
-@register("plan_crawl_info_texts", planted_sql("page_fetch") + f""", {SQL_VALID}, {SQL_PREFIXES}, one AS (SELECT prefix, min(location) AS location FROM prefixes GROUP BY prefix),
+SQL_INFO_TEXTS = planted_sql("page_fetch") + f""", {SQL_VALID}, {SQL_PREFIXES}, one AS (SELECT prefix, min(location) AS location FROM prefixes GROUP BY prefix),
     ph AS ({SQL_MAIN_PHONES}), loc AS (SELECT domain_id, number, arg_max(location, length(prefix)) AS location FROM ph JOIN one
     ON starts_with('7' || substr(number, 2), prefix) GROUP BY domain_id, number), byphone AS (SELECT domain_id, string_agg(DISTINCT location, ',' ORDER BY location) AS city FROM loc GROUP BY domain_id),
     byinn AS (SELECT domain_id, string_agg(n_name, ',' ORDER BY n_name) AS city FROM (SELECT domain_id, unnest(inns) AS inn FROM v) JOIN nation
@@ -314,12 +314,14 @@ def _(spark, sf):
     FROM v JOIN customer ON c_custkey = v.domain_id LEFT JOIN byinn i ON i.domain_id = v.domain_id LEFT JOIN byphone p ON p.domain_id = v.domain_id),
     o AS (SELECT real_domain, arg_min(domain_id, seq) AS domain_id, arg_max(r, seq) AS w FROM r GROUP BY real_domain)
     SELECT domain_id, w.city AS city, w.description AS description, w.keywords AS keywords, '' AS hosting, w.is_https_redirect AS is_https_redirect,
-    DATE '2024-05-01' AS last_updated, '' AS country, '' AS license_type, 'Отсутствует' AS status FROM o""")
+    DATE '2024-05-01' AS last_updated, '' AS country, '' AS license_type, 'Отсутствует' AS status FROM o"""
+INFO_TEXTS = ["domain_id", "city", "description", "keywords", "hosting", "is_https_redirect", "last_updated", "country", "license_type", "status"]
+
+
+@register("plan_crawl_info_texts", SQL_INFO_TEXTS)
 def _(spark, sf):
     """Texts of the sites and their cities, by tax id or else by phone number."""
-    return _crawl(spark, sf, prefixes=_prefixes(spark, sf))["domain_info"].select(
-        "domain_id", "city", "description", "keywords", "hosting", "is_https_redirect", "last_updated", "country", "license_type", "status"
-    )
+    return _crawl(spark, sf, prefixes=_prefixes(spark, sf))["domain_info"].select(*INFO_TEXTS)
 
 
 @register("plan_clean_up_records", planted_sql("site_info") + f"SELECT id, real_domain FROM site_info WHERE {SQL_SITE_HIT}")
@@ -327,20 +329,20 @@ def _(spark, sf):
     return clean_up(planted(spark, sf, "site_info"))[1].select("id", "real_domain")
 
 
-def _stream(spark, sf, name, **more):
-    """The crawl as a stream of files: feature log, then one refresh."""
+def _stream(spark, sf, **more):
+    """The crawl as a stream of files: feature log, then one refresh; gives the folder of the tables."""
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     pages = planted(spark, sf, "page_fetch")
     pages.select(*[F.col(f.name).cast(f.dataType) for f in PAGE_FETCH.fields]).repartition(4, "domain_id").write.parquet(f"{base}/feed")
-    sources.write_table(planted(spark, sf, "domains"), f"{base}/root", "domains")
+    site_table(spark, f"{base}/root", "domains").replace(planted(spark, sf, "domains"))
     stream_pages(spark, f"{base}/feed", f"{base}/root", f"{base}/checkpoint", max_files=2)
     refresh_tables(spark, f"{base}/root", regions=_regions(spark, sf), run_date="2024-05-01", **more)
-    return sources.read_table(spark, f"{base}/root", name)
+    return f"{base}/root"
 
 
 @register("st1_stream_domains", SQL_CRAWL_DOMAINS)
 def _(spark, sf):
-    return _stream(spark, sf, "domains")
+    return site_table(spark, _stream(spark, sf), "domains").read()
 
 
 @register("st1_stream_contacts", planted_sql("page_fetch") + f""", {SQL_VALID}, {SQL_MAIN_MAILS}
@@ -349,9 +351,15 @@ def _(spark, sf):
     UNION ALL SELECT max(domain_id), 'inns', inn FROM (SELECT domain_id, unnest(inns) AS inn FROM v) GROUP BY inn""")
 def _(spark, sf):
     """All contact tables of the streamed crawl, one after the other."""
-    emails = _stream(spark, sf, "domain_emails")
-    root = emails.inputFiles()[0].split("/data/")[0] if emails.inputFiles() else None
-    rows = [emails.select("domain_id", F.lit("emails").alias("kind"), F.col("email").alias("value"))]
-    for name, kind, value in (("domain_phones", "phones", "number"), ("domain_inns", "domain_inns", "inn"), ("inns", "inns", "inn")):
-        rows.append(sources.read_table(spark, root, name).select("domain_id", F.lit(kind).alias("kind"), F.col(value).alias("value")))
+    root, rows = _stream(spark, sf), []
+    kinds = (("domain_emails", "emails", "email"), ("domain_phones", "phones", "number"), ("domain_inns", "domain_inns", "inn"), ("inns", "inns", "inn"))
+    for name, kind, value in kinds:
+        rows.append(site_table(spark, root, name).read().select("domain_id", F.lit(kind).alias("kind"), F.col(value).alias("value")))
     return reduce(DataFrame.unionByName, rows)
+
+
+@register("st1_stream_info", SQL_INFO_TEXTS)
+def _(spark, sf):
+    """Texts and cities of the sites of the streamed crawl."""
+    root = _stream(spark, sf, prefixes=_prefixes(spark, sf))
+    return site_table(spark, root, "domain_info").read().select(*INFO_TEXTS)

@@ -69,7 +69,7 @@ def _(spark, sf):
     coalesce(l.status, o_orderstatus) AS o_orderstatus, coalesce(l.price, o_totalprice) AS o_totalprice
     FROM orders FULL JOIN (SELECT * FROM u WHERE rn = 1) l ON o_orderkey = l.k""")
 def _(spark, sf):
-    """The same upsert into a bucketed table on disk."""
+    """The same upsert into a partitioned table on disk, which reads and replaces touched partitions only."""
     root = f"{shared_dir(spark)}/buckets-{uuid.uuid4().hex}"
     existing = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
     updates = table(spark, sf, "lineitem").select(
@@ -78,9 +78,10 @@ def _(spark, sf):
     )
     # Lines of one order with one number are told apart by the remaining columns, as in the SQL.
     updates = updates.withColumn("seq", F.struct("seq", "part", "o_totalprice", "o_orderstatus")).drop("part")
-    sources.write_buckets(existing, root, "orders", ["o_orderkey"], 8)
-    sources.upsert_buckets(spark, root, "orders", existing.schema, updates, ["o_orderkey"], ["o_orderstatus", "o_totalprice"], "seq", 8)
-    return sources.read_buckets(spark, root, "orders", existing.schema)
+    orders = sources.PartitionedTable(spark, root, "orders", existing.schema, ("o_orderkey",), 8)
+    orders.replace(existing)
+    orders.replace(upsert(orders.near(updates), updates, ["o_orderkey"], ["o_orderstatus", "o_totalprice"], "seq"))
+    return orders.read()
 
 
 @register("u2_insert_ignore", """SELECT s_name AS inn, s_suppkey AS domain_id FROM supplier UNION ALL

@@ -42,12 +42,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     return _one_per_key(df, keys, seq, F.min)
 
 
-def _merge(existing: DataFrame, changes: DataFrame, keys: Mapping[str, str], value, id_col: str | None) -> DataFrame:
+def _merge(existing: DataFrame, changes: DataFrame, keys: Mapping[str, str], value, id_col: str | None, above: int = 0) -> DataFrame:
     """Existing rows changed and new ones added; ``changes`` has one row per key.
 
     ``keys`` maps key columns to those of the changes, ``value`` gives each
     output column from the joined row. With ``id_col`` new rows get the next
-    free ids; only the changes are staged for that, never the table.
+    free ids; only the changes are staged for that, never the table. Where
+    ``existing`` is a part of the table, ``above`` is the highest id in use.
     """
     on = [F.col(k) == F.col(c) for k, c in keys.items()]
     types = {f.name: f.dataType for f in existing.schema.fields}
@@ -61,12 +62,12 @@ def _merge(existing: DataFrame, changes: DataFrame, keys: Mapping[str, str], val
     new = changes.join(existing.select(*keys), on, "left_anti").select(
         "*", *[F.lit(None).cast(types[c]).alias(c) for c in existing.columns]
     )
-    return pick(existing.join(changes, on, "left")).unionByName(_numbered(existing, pick(new), list(keys), id_col))
+    return pick(existing.join(changes, on, "left")).unionByName(_numbered(existing, pick(new), list(keys), id_col, above))
 
 
-def _numbered(existing: DataFrame, new: DataFrame, order: Sequence[str], id_col: str) -> DataFrame:
+def _numbered(existing: DataFrame, new: DataFrame, order: Sequence[str], id_col: str, above: int = 0) -> DataFrame:
     """New rows with ids that follow the highest one of the table."""
-    start = existing.agg(F.max(id_col)).first()[0] or 0
+    start = max(existing.agg(F.max(id_col)).first()[0] or 0, above)
     return assign_ids(new.drop(id_col), start, order, id_col)
 
 
@@ -103,18 +104,18 @@ def upsert(
 
 
 def insert_ignore(
-    existing: DataFrame, rows: DataFrame, keys: Sequence[str], seq: str, id_col: str | None = None
+    existing: DataFrame, rows: DataFrame, keys: Sequence[str], seq: str, id_col: str | None = None, above: int = 0
 ) -> DataFrame:
     """Keep-first: rows with a known key change nothing, the first new one is added."""
     new = first_per_key(rows, keys, seq).join(existing.select(*keys), list(keys), "left_anti")
     new = new.select(*[c for c in existing.columns if c in new.columns])
     if id_col is not None:
-        new = _numbered(existing, new, keys, id_col)
+        new = _numbered(existing, new, keys, id_col, above)
     return existing.unionByName(new, allowMissingColumns=True)
 
 
 def upsert_inns(
-    existing: DataFrame, rows: DataFrame, seq: str, id_col: str | None = None
+    existing: DataFrame, rows: DataFrame, seq: str, id_col: str | None = None, above: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """Owners of tax ids: (new table, rejected rows).
 
@@ -133,7 +134,7 @@ def upsert_inns(
             return F.coalesce(F.col("_owner")["domain_id"], F.col("domain_id"))
         return F.coalesce("inn", "_inn") if c == "inn" else F.col(c)
 
-    table = _merge(existing, per_inn, {"inn": "_inn"}, value, id_col)
+    table = _merge(existing, per_inn, {"inn": "_inn"}, value, id_col, above)
     plain = rows.where(~has_domain)
     # Staged, so that the join of the single rows has plain shuffles on both sides and splits a hot tax id.
     first = staged(per_inn.select("_inn", "_first_seq").join(
@@ -146,7 +147,7 @@ def upsert_inns(
 
 
 def upsert_domain_info(
-    existing: DataFrame, rows: DataFrame, seq: str, first_seq: str | None = None, id_col: str | None = None
+    existing: DataFrame, rows: DataFrame, seq: str, first_seq: str | None = None, id_col: str | None = None, above: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """Site rows under two unique keys, domain_id and real_domain: (new table, rejects).
 
@@ -250,7 +251,7 @@ def upsert_domain_info(
             return F.when(F.col("_new").isNotNull(), F.col("_new").getField(c)).otherwise(F.col(c))
         return F.col(c)
 
-    table = _merge(existing, changes, {"domain_id": "_target"}, value, id_col)
+    table = _merge(existing, changes, {"domain_id": "_target"}, value, id_col, above)
     movers = placed.where(kind == "move").join(moved, F.col("domain_id") == F.col("_moved"), "left_anti")
     rejects = movers.select("domain_id", "real_domain", F.col("_seq").alias(seq), *[F.col("_body").getField(c).alias(c) for c in values])
     return table, rejects
@@ -287,7 +288,7 @@ def assign_ids(new: DataFrame, start: int, order: Sequence[str], id_col: str = "
     counts = stable.groupBy("_part").agg(F.count("*").alias("_n"))
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     row = F.col("_mono") - F.shiftleft(F.col("_part"), 33)
-    return stable.join(offsets, "_part").select((F.col("_before") + row + (start + 1)).alias(id_col), *new.columns)
+    return stable.join(F.broadcast(offsets), "_part").select((F.col("_before") + row + (start + 1)).alias(id_col), *new.columns)
 
 
 def explode_contacts(features: DataFrame) -> dict[str, DataFrame]:

@@ -24,6 +24,7 @@ from ..operators.upsert import (
     upsert_inns,
 )
 from ..schemas import CONTACT_PAGES, PHONE_PREFIXES, PROBES
+from ..sources.partitions import PartitionedTable
 
 ATTEMPT_COLUMNS = ["domain_id", "seq", "http_status", "page_status", "error_kind", "real_url"]
 
@@ -131,7 +132,7 @@ class SiteTables(Mapping):
 
 
 def build_tables(
-    tables: dict[str, DataFrame],
+    tables: Mapping[str, DataFrame | PartitionedTable],
     features: DataFrame,
     *,
     regions: DataFrame,
@@ -140,14 +141,25 @@ def build_tables(
     probes: DataFrame | None = None,
     prefixes: DataFrame | None = None,
     sep: str = "",
+    names: PartitionedTable | None = None,
+    above: Mapping[str, int] | None = None,
 ) -> SiteTables:
     """Fold features of ``read_pages`` into the site tables.
 
     ``features`` is read several times: pass a written table. Gives the new
     tables plus ``domain_info_rejects`` and ``inns_rejects``, each planned on
     request; what several of them need is staged once.
+
+    Where a table is partitioned, only the partitions that the new rows touch are
+    read and come out. For domain_info these are those of the sites and of the
+    owners of their addresses, which ``names`` (real_domain, domain_id) tells;
+    ``above`` is then the highest id in use of each table.
     """
-    spark = features.sparkSession
+    spark, above = features.sparkSession, above or {}
+
+    def near(name: str, rows: DataFrame, key: str) -> DataFrame:
+        """The rows of a table that new rows can meet."""
+        return tables[name].near(rows, key) if isinstance(tables[name], PartitionedTable) else tables[name]
 
     def given(df: DataFrame | None, schema) -> DataFrame:
         return spark.createDataFrame([], schema) if df is None else df
@@ -159,7 +171,12 @@ def build_tables(
     @cache
     def info() -> tuple[DataFrame, DataFrame]:
         sites = site_rows(staged(last_pages(features)), finds(), given(probes, PROBES), regions, given(prefixes, PHONE_PREFIXES))
-        return upsert_domain_info(tables["domain_info"], domain_info_rows(sites, run_date), "seq", first_seq="first_seq", id_col="id")
+        rows = staged(domain_info_rows(sites, run_date))
+        wanted = rows.select("domain_id", "real_domain")
+        if names is not None:
+            owners = names.near(wanted, "real_domain").join(wanted.select("real_domain").distinct(), "real_domain")
+            wanted = wanted.unionByName(owners.select("domain_id", "real_domain"))
+        return upsert_domain_info(near("domain_info", wanted, "domain_id"), rows, "seq", first_seq="first_seq", id_col="id", above=above.get("domain_info", 0))
 
     @cache
     def found() -> dict[str, DataFrame]:
@@ -170,17 +187,19 @@ def build_tables(
 
     @cache
     def inns() -> tuple[DataFrame, DataFrame]:
-        return upsert_inns(tables["inns"], found()["inns"].withColumn("seq", order), "seq", id_col="id")
+        rows = found()["inns"].withColumn("seq", order)
+        return upsert_inns(near("inns", rows, "inn"), rows, "seq", id_col="id", above=above.get("inns", 0))
 
     def kept_first(name: str, *keys: str) -> Callable[[], DataFrame]:
         def make() -> DataFrame:
             rows = found()[name]
-            return insert_ignore(tables[name], rows.withColumn("seq", order) if name == "domain_inns" else rows, list(keys), "seq", "id")
+            existing = near(name, rows, "domain_id")
+            return insert_ignore(existing, rows.withColumn("seq", order) if name == "domain_inns" else rows, list(keys), "seq", "id", above.get(name, 0))
 
         return make
 
     return SiteTables({
-        "domains": lambda: resolve_status(tables["domains"], features.select(*ATTEMPT_COLUMNS)),
+        "domains": lambda: resolve_status(near("domains", features, "domain_id"), features.select(*ATTEMPT_COLUMNS)),
         # A CRM label that a crawl never changes; new sites start with this one.
         "domain_info": lambda: info()[0].withColumn("status", F.coalesce("status", F.lit("Отсутствует"))),
         "domain_phones": kept_first("domain_phones", "domain_id", "number"),

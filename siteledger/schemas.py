@@ -109,6 +109,9 @@ FOREIGN_KEYS = [
     ("tags", "subcategory_id", "subcategory", "id"),
 ]
 
+# Which sites have or had an address: finds the partition of an address's owner.
+DOMAIN_NAMES = _schema("real_domain string, domain_id bigint")
+
 PAGE_FETCH = _schema(
     "domain_id bigint, domain string, zone string, previous_status int, http_status int, real_url string, "
     "https_real_url string, error_kind string, html string, ip string, hosting string, country string, seq bigint"

@@ -19,7 +19,7 @@ def with_row_number(df: DataFrame, name: str = "id") -> DataFrame:
 
     One pass counts the rows of each file block, a second one adds the
     position inside the block; rows are not moved. Only one count per block
-    is brought together.
+    is brought together and sent to the tasks.
     """
     marked = df.select(
         "*",
@@ -33,7 +33,7 @@ def with_row_number(df: DataFrame, name: str = "id") -> DataFrame:
         "_file", "_start", "_low", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     position = F.col("_offset") + F.col("_mono") - F.col("_low")
-    return marked.join(offsets, ["_file", "_start"]).select(
+    return marked.join(F.broadcast(offsets), ["_file", "_start"]).select(
         position.alias(name), *[F.col(f"`{c}`") for c in df.columns]
     )
 

@@ -1,5 +1,5 @@
 """Streaming feeds."""
 
-from .pages import refresh_tables, stream_pages
+from .pages import REJECTS, SITE_TABLES, refresh_tables, site_table, stream_pages
 
-__all__ = ["refresh_tables", "stream_pages"]
+__all__ = ["REJECTS", "SITE_TABLES", "refresh_tables", "site_table", "stream_pages"]

@@ -3,13 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from siteledger import sources
 from siteledger.operators import default_regions, extract_features, staged
 from siteledger.plans import clean_up, crawl, read_pages
 from siteledger.schemas import CONTACT_PAGES, PAGE_FETCH, PHONE_PREFIXES, PROBES, TABLES
-from siteledger.streaming import refresh_tables, stream_pages
-
-SITE_TABLES = ["domains", "domain_info", "domain_phones", "domain_emails", "domain_inns", "inns"]
+from siteledger.streaming import REJECTS, SITE_TABLES, refresh_tables, site_table, stream_pages
 
 
 def page(domain_id, seq, html, *, http=200, real=None, https=None, error=None):
@@ -82,14 +79,14 @@ def test_crawl_tables(batch):
 
 def test_stream_equals_batch(spark, batch, inputs, tmp_path):
     root, feed, checkpoint = (str(tmp_path / n) for n in ("root", "feed", "checkpoint"))
-    sources.write_table(start_tables(spark)["domains"], root, "domains")
+    site_table(spark, root, "domains", 8).replace(start_tables(spark)["domains"])
     for part in (PAGES[:4], PAGES[4:]):
         for p in part:
             spark.createDataFrame([p], PAGE_FETCH).coalesce(1).write.mode("append").parquet(feed)
         stream_pages(spark, feed, root, checkpoint, max_files=3)
         refresh_tables(spark, root, **inputs)
     for name in SITE_TABLES:
-        got = sources.read_table(spark, root, name)
+        got = site_table(spark, root, name).read()
         cols = [c for c in got.columns if c != "id" or name == "domains"]
         assert rows(got, *cols) == rows(batch[name], *cols), name
     last = refresh_tables(spark, root, **inputs)
@@ -98,15 +95,66 @@ def test_stream_equals_batch(spark, batch, inputs, tmp_path):
 
 def test_stream_in_one_refresh_equals_batch(spark, batch, inputs, tmp_path):
     root, feed, checkpoint = (str(tmp_path / n) for n in ("root", "feed", "checkpoint"))
-    sources.write_table(start_tables(spark)["domains"], root, "domains")
+    site_table(spark, root, "domains", 8).replace(start_tables(spark)["domains"])
     spark.createDataFrame(PAGES, PAGE_FETCH).repartition(5).write.parquet(feed)
     stream_pages(spark, feed, root, checkpoint, max_files=2)
     refresh_tables(spark, root, **inputs)
     for name in SITE_TABLES:
-        got = sources.read_table(spark, root, name)
+        got = site_table(spark, root, name).read()
         assert rows(got, *got.columns) == rows(batch[name], *got.columns), name
 
 
+def partition_files(root):
+    """Written files of every partition of every table, with their times."""
+    return {(p.parts[-3], p.parts[-2], p.name): p.stat().st_mtime_ns for p in root.glob("parts/*/_part=*/*.parquet")}
+
+
+def test_a_refresh_neither_reads_nor_writes_partitions_it_does_not_touch(spark, inputs, tmp_path):
+    root, feed, checkpoint = (str(tmp_path / n) for n in ("root", "feed", "checkpoint"))
+    many = spark.range(1000, 1400).selectExpr("id", "concat('d', id, '.ru') AS domain", "'ru' AS zone", "CAST(NULL AS string) AS real_domain", "CAST(NULL AS int) AS status")
+    site_table(spark, root, "domains", 32).replace(start_tables(spark)["domains"].unionByName(many))
+    spark.createDataFrame(PAGES, PAGE_FETCH).coalesce(1).write.mode("append").parquet(feed)
+    stream_pages(spark, feed, root, checkpoint)
+    refresh_tables(spark, root, parts=32, **inputs)
+    before, known = partition_files(tmp_path / "root"), {n: site_table(spark, root, n).read().collect() for n in SITE_TABLES}
+    # Site 1 moves to a new address; what lies in other partitions is made unreadable meanwhile.
+    page = {f.name: v for f, v in zip(PAGE_FETCH, PAGES[0])} if isinstance(PAGES[0], tuple) else dict(PAGES[0])
+    page |= {"seq": 10_000}
+    spark.createDataFrame([tuple(page.get(f.name) for f in PAGE_FETCH)], PAGE_FETCH).coalesce(1).write.mode("append").parquet(feed)
+    stream_pages(spark, feed, root, checkpoint)
+    part = spark.sql(f"SELECT CAST(pmod(xxhash64(CAST({page['domain_id']} AS bigint)), 32) AS int) AS p").first()["p"]
+    spoilt = [p for t in ("domains", "domain_phones", "domain_emails") for p in (tmp_path / "root" / "parts" / t).glob("_part=*/*.parquet") if p.parts[-2] != f"_part={part}"]
+    whole = {p: p.read_bytes() for p in spoilt}
+    assert len(spoilt) > 20
+    for p in spoilt:
+        p.write_bytes(b"unreadable")
+        p.with_name(f".{p.name}.crc").unlink(missing_ok=True)
+    refresh_tables(spark, root, parts=32, **inputs)
+    assert all(p.read_bytes() == b"unreadable" for p in spoilt)
+    for p, data in whole.items():
+        p.write_bytes(data)
+    after = partition_files(tmp_path / "root")
+    changed = {(t, part) for t, part, _ in set(before) ^ set(after)}
+    assert ("domains", f"_part={part}") in changed
+    assert {p for t, p in changed if t in ("domains", "domain_phones", "domain_emails", "domain_inns")} <= {f"_part={part}"}
+    for name, rows_before in known.items():
+        now = site_table(spark, root, name).read().collect()
+        assert len(now) >= len(rows_before) and len({r["id"] for r in now}) == len(now)
+
+
+def test_new_ids_go_on_above_those_of_untouched_partitions(spark, inputs, tmp_path):
+    root, feed, checkpoint = (str(tmp_path / n) for n in ("root", "feed", "checkpoint"))
+    site_table(spark, root, "domains", 16).replace(start_tables(spark)["domains"])
+    for some in (PAGES[:3], PAGES[3:]):
+        spark.createDataFrame(some, PAGE_FETCH).coalesce(1).write.mode("append").parquet(feed)
+        stream_pages(spark, feed, root, checkpoint)
+        refresh_tables(spark, root, parts=16, **inputs)
+    for name in SITE_TABLES:
+        ids = [r["id"] for r in site_table(spark, root, name).read().collect()]
+        assert len(ids) == len(set(ids)), name
+    assert all(spark.read.parquet(f"{root}/records/{name}").count() >= 0 for name in REJECTS)
+
+
 def test_clean_up(spark, batch):
     kept, deleted = clean_up(batch["domain_info"].withColumn("title", F.when(F.col("domain_id") == 6, "404").otherwise(F.col("title"))))
     assert rows(kept, "domain_id") == [(1,), (3,)]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siteledger import sources
 from siteledger.operators import (
+    upsert,
     audit_deleted,
     audit_invalid_cms,
     cms_counts,
@@ -137,17 +138,21 @@ def test_audit(spark):
     assert seen.get == {"rows": 1, "junk": 1}
 
 
-def test_upsert_touches_only_its_buckets(spark, tmp_path):
-    root, keys = str(tmp_path), ["id"]
-    table = spark.range(0, 400).select("id", F.lit("old").alias("v"), F.lit("keep").alias("w"))
-    assert sources.write_buckets(table, root, "t", keys, 16) == 0
+def test_upsert_touches_only_its_partitions(spark, tmp_path):
+    rows_ = spark.range(0, 400).select("id", F.lit("old").alias("v"), F.lit("keep").alias("w"))
+    table = sources.PartitionedTable(spark, str(tmp_path), "t", rows_.schema, ("id",), 16)
+    assert table.read().count() == 0 and table.near(rows_).count() == 0
+    table.replace(rows_)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "parts" / "t").glob("_part=*/*.parquet")}
+    assert len({p.parent for p in files}) == 16
     updates = spark.createDataFrame([(5, "new", 1), (5, "newer", 2), (9000, "added", 1)], "id long, v string, seq long")
-    expected = {r["id"]: (r["v"], r["w"]) for r in table.collect()} | {5: ("newer", "keep"), 9000: ("added", None)}
-    for snapshot in (1, 2):
-        assert sources.upsert_buckets(spark, root, "t", table.schema, updates, keys, ["v"], "seq", 16) == snapshot
-        read = sources.read_buckets(spark, root, "t", table.schema)
-        assert {r["id"]: (r["v"], r["w"]) for r in read.collect()} == expected
-        assert read.count() == len(expected)
-        written = [p.name for p in (tmp_path / "data" / "t" / f"snapshot={snapshot}").iterdir() if p.name.startswith("_bucket=")]
-        assert 1 <= len(written) <= 2
-    assert sources.read_buckets(spark, root, "none", table.schema).count() == 0
+    expected = {r["id"]: (r["v"], r["w"]) for r in rows_.collect()} | {5: ("newer", "keep"), 9000: ("added", None)}
+    # The number of partitions is that of the first write.
+    again = sources.PartitionedTable(spark, str(tmp_path), "t", rows_.schema, ("id",), 4)
+    for _ in range(2):
+        again.replace(upsert(again.near(updates), updates, ["id"], ["v"], "seq"))
+        read = again.read()
+        assert {r["id"]: (r["v"], r["w"]) for r in read.collect()} == expected and read.count() == len(expected)
+        now = {p: p.stat().st_mtime_ns for p in (tmp_path / "parts" / "t").glob("_part=*/*.parquet")}
+        assert 1 <= len({p.parent for p in set(files) - set(now)}) <= 2
+        assert all(now[p] == files[p] for p in set(files) & set(now))
