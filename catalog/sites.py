@@ -40,12 +40,12 @@ from .text import SQL_PLANTED_INNS, SQL_PLANTED_PHONES, sql_clean, sql_decode, s
 
 # A short rule list whose words occur in the page table.
 RULES = [
-    Rule("url", 0, 4300, "farm", "spam-farm", False),
-    Rule("title", 1, 1000, "empty", "the"),
-    Rule("title", 2, 1100, "hosting", "und"),
-    Rule("content", 3, 3000, "empty", "Ohne"),
-    Rule("content", 4, 3100, "hosting", "que"),
-    Rule("content", 5, 3100, "hosting", "des"),
+    Rule("url", 0, 4300, "spam-farm", False),
+    Rule("title", 1, 1000, "the"),
+    Rule("title", 2, 1100, "und"),
+    Rule("content", 3, 3000, "Ohne"),
+    Rule("content", 4, 3100, "que"),
+    Rule("content", 5, 3100, "des"),
 ]
 
 

@@ -1,6 +1,6 @@
 """Default rule list of the page classifier.
 
-A rule is (part, ord, status, name, pattern, word). ``part`` is url, title,
+A rule is (part, ord, status, pattern, word). ``part`` is url, title,
 description or content; a ``word`` rule is wrapped in word boundaries, any
 other pattern is searched as it stands. Parts are tried in PARTS order, rules
 of a part by ``ord``.
@@ -17,36 +17,35 @@ class Rule(NamedTuple):
     part: str
     ord: int
     status: int
-    name: str
     pattern: str
     word: bool = True
 
 
 # Patterns searched as they stand, before the words of the part.
 URL_PATTERNS = [
-    (4200, "Porn", ["porn"]),
-    (4300, "Bets + fishing", ["1xbet"]),
+    (4200, ["porn"]),
+    (4300, ["1xbet"]),
 ]
 TITLE_PATTERNS = [
-    (1300, "Bets + fishing", [r"1[\s]*[xх][\s]*[Bb][eе]t"]),
-    (1700, "Domains shop", [
+    (1300, [r"1[\s]*[xх][\s]*[Bb][eе]t"]),
+    (1700, [
         r"\b[Дд]омен\b[a-zA-Zа-яА-Я0-9\.\-\s]*\bпрода[её]тся\b",
         r"\b[Дд]омен\b[a-zA-Zа-яА-Я0-9\.\-:\s]*\bкупить\b",
     ]),
 ]
 CONTENT_PATTERNS = [
     # Starts with a capital while the text is lower-cased, so it never hits.
-    (3100, "Hosting", [r"Сайт[a-zA-Zа-яА-Я0-9\.\-:\s]*только что создан"]),
+    (3100, [r"Сайт[a-zA-Zа-яА-Я0-9\.\-:\s]*только что создан"]),
 ]
 
 # Words and phrases by part and status.
 TITLE_WORDS = [
-    (1000, "Empty", [
+    (1000, [
         "404", "403", "welcome to nginx", "blank page", "coming soon", "loading", "not found",
         "error", "To Bet, игровая платформа", "в разработке", "under construction",
         "没有找到站点", "доступ заблокирован",
     ]),
-    (1100, "Hosting", [
+    (1100, [
         "timeweb", "срок регистрации", "доменное имя продается", "домен продается",
         "домен продаётся", "домен не прилинкован", "for sale", "домен уже",
         "площадке интернет", "витрина домена", "to centos", "доменное имя", "купить домен",
@@ -62,41 +61,41 @@ TITLE_WORDS = [
         "Success!", "Alle Bikes", "Настройте домен правильно", "сайт заблокирован",
         "сайт создан", "купить красивый домен",
     ]),
-    (1200, "Porn", [
+    (1200, [
         "порно", "porn", "sex", "секс", "проститутки", "шлюхи", "brazzers", "хентай",
         "бдсм", "геи", "увеличить член", "порнуха", "порнуху",
     ]),
-    (1300, "Bets + fishing", [
+    (1300, [
         "1x", "1х", "казино", "casino", "займ", "букмекер", "Займы до 500 000",
     ]),
-    (1400, "Unsorted", [
+    (1400, [
         "здоровая росссия", "РќРµ РѕРїСѓР±Р»РёРєРѕРІР°РЅ", "как вы здесь оказались",
         "временно недоступен", "недоступен", "доступ ограничен", "закрыто",
         "доступ к сайту", "default page", "ещё один сайт", "на реконстркции",
         "заглушка для сайта", "index of", "без названия", "report",
     ]),
-    (1500, "By hand", ["страница входа", "captcha", "just a moment"]),
-    (1600, "To check", ["access denied", "website"]),
-    (1700, "Domains shop", ["Domenomania"]),
+    (1500, ["страница входа", "captcha", "just a moment"]),
+    (1600, ["access denied", "website"]),
+    (1700, ["Domenomania"]),
 ]
 DESCRIPTION_WORDS = [
-    (2000, "Empty", ["default index page"]),
-    (2200, "Porn", [
+    (2000, ["default index page"]),
+    (2200, [
         "порно", "porn", "sex", "секс", "проститутки", "шлюхи", "brazzers", "хентай",
         "бдсм", "геи", "увеличить член", "порнуха", "порнуху",
     ]),
-    (2300, "Bets + fishing", ["ставки", "ставка"]),
-    (2500, "By hand", ["закрытый форум"]),
-    (2600, "To check", ["ещё один сайт на wordpress"]),
-    (2700, "Domains shop", ["магазин доменных имен"]),
+    (2300, ["ставки", "ставка"]),
+    (2500, ["закрытый форум"]),
+    (2600, ["ещё один сайт на wordpress"]),
+    (2700, ["магазин доменных имен"]),
 ]
 CONTENT_WORDS = [
-    (3000, "Empty", [
+    (3000, [
         "we'll be back soon!", "403 forbidden", "эта страница генерируется автоматически",
         "если этот сайт принадлежит вам", "сайт находится в стадии разработки",
     ]),
-    (3100, "Hosting", ["reg.ru", "ISPsystem © 1997-"]),
-    (3200, "Domains shop", [
+    (3100, ["reg.ru", "ISPsystem © 1997-"]),
+    (3200, [
         "пусть домен работает", "цифирные домены от", "этот домен продается",
         "account has been suspended",
     ]),
@@ -114,7 +113,7 @@ def default_rules() -> list[Rule]:
     rules: list[Rule] = []
     for part, (patterns, words) in groups.items():
         for is_word, entries in ((False, patterns), (True, words)):
-            for status, name, texts in entries:
+            for status, texts in entries:
                 for text in texts:
-                    rules.append(Rule(part, len(rules), status, name, text, is_word))
+                    rules.append(Rule(part, len(rules), status, text, is_word))
     return rules

@@ -59,7 +59,7 @@ def test_default_rules(spark, page, status):
 
 
 def test_word_rule_in_cyrillic(spark):
-    rules = [Rule("title", 0, 1700, "shop", "домен")]
+    rules = [Rule("title", 0, 1700, "домен")]
     assert classify(spark, rules, title="Купить домен тут")["junk_status"] == 1700
     assert classify(spark, rules, title="поддомены")["junk_status"] is None
 
