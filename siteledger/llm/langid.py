@@ -102,7 +102,8 @@ def learn(docs: DataFrame, lang: Column, text: Column, order: Column, per_langua
     drawn = keyed.select("lang", F.coalesce("_order", F.lit("")).alias("_order")).withColumn("_draw", F.crc32(F.concat(F.lit("draw"), F.col("_order")).cast("binary")))
     counts = drawn.groupBy("lang").agg(F.count("*").alias("_n"))
     few = F.col("_draw") * F.col("_n") < F.lit((2.0 * per_language + 100) * (1 << 32))
-    drawn = drawn.join(counts, "lang").where(few).select("lang", "_order", "_draw").distinct()
+    # One row a language, so that nothing is shuffled by language before the share is taken.
+    drawn = drawn.join(F.broadcast(counts), "lang").where(few).select("lang", "_order", "_draw").distinct()
     first = Window.partitionBy("lang").orderBy("_draw", "_order")
     chosen = drawn.withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= per_language)
     keyed = keyed.withColumn("_order", F.coalesce("_order", F.lit("")))
