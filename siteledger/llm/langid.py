@@ -18,6 +18,11 @@ SAMPLE_PER_LANGUAGE = 400
 CENTROIDS = 4
 ROUNDS = 10
 ROWS = 256
+SLACK = 0.7
+QUANTILE = 0.01
+SMALL_CLUSTER = 0.02
+# Lengths in characters at which a language's radius is measured; longer texts have that of the last one.
+LENGTHS = (16, 32, 64, 128, 256, 512)
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 # Letters of ASCII in lower case, bytes of other characters as they are, anything else a blank.
@@ -47,48 +52,73 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]
-    least: np.ndarray  # similarity below which a text is too far from the centroid
+    least: np.ndarray  # per centroid and length, the similarity below which a text is too far
 
+    def too_far(self, near: np.ndarray, centroid: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether similarities to the nearest centroids are below their radius for texts of that many characters."""
+        at = np.interp(np.log2(np.maximum(sizes, 1)), np.log2(LENGTHS), np.arange(len(LENGTHS)))
+        low = at.astype(int)
+        high, share = np.minimum(low + 1, len(LENGTHS) - 1), at - low
+        return near < (1 - share) * self.least[centroid, low] + share * self.least[centroid, high]
 
-def _clusters(points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spherical k-means from the point nearest to the mean and then the farthest ones."""
-    chosen = [int(np.argmax(points @ points.mean(axis=0)))]
-    while len(chosen) < min(k, len(points)):
-        chosen.append(int(np.argmin((points @ points[chosen].T).max(axis=1))))
-    centroids = points[chosen]
+
+def _clusters(points: np.ndarray, k: int) -> np.ndarray:
+    """Centroids of spherical k-means, begun at even ranks of similarity to the mean.
+
+    Clusters of less than ``SMALL_CLUSTER`` of the points are odd texts, whose
+    centroid would be near to anything odd, so they are left out.
+    """
+    ranks = np.argsort(points @ points.mean(axis=0), kind="stable")
+    k = min(k, len(points))
+    centroids = points[ranks[[(2 * i + 1) * len(points) // (2 * k) for i in range(k)]]]
     for _ in range(ROUNDS):
         of = np.argmax(points @ centroids.T, axis=1)
-        sums = np.stack([points[of == c].sum(axis=0) if (of == c).any() else centroids[c] for c in range(len(centroids))])
+        sums = np.stack([points[of == c].sum(axis=0) if (of == c).any() else centroids[c] for c in range(k)])
         centroids = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return centroids, points @ centroids.T
+    sizes = np.bincount(np.argmax(points @ centroids.T, axis=1), minlength=k)
+    return centroids[sizes >= min(SMALL_CLUSTER * len(points), sizes.max())]
+
+
+def pieces(text: str) -> np.ndarray:
+    """Counts of the middle of a text at each of ``LENGTHS``; of the whole text where it is shorter."""
+    middles = [max(0, (len(text) - n) // 2) for n in LENGTHS]
+    return np.stack([counts(text[m : m + n]) for m, n in zip(middles, LENGTHS, strict=True)])
+
+
+def _radius(idf: np.ndarray, own: np.ndarray, cut: list[np.ndarray], slack: float) -> list[float]:
+    """Per length, ``slack`` times the low quantile of the similarities that the language's own pieces have."""
+    near = np.stack([(vectors(c, idf) @ own.T).max(axis=1) for c in cut])
+    return (slack * np.quantile(near, QUANTILE, axis=0)).tolist()
 
 
-def train(sample: list[tuple[str, np.ndarray]], centroids: int = CENTROIDS, slack: float = 0.25) -> Model | None:
-    """Model of (language, counts) pairs; None without any.
+def train(sample: list[tuple[str, np.ndarray, np.ndarray]], centroids: int = CENTROIDS, slack: float = SLACK) -> Model | None:
+    """Model of (language, counts, counts of pieces) of texts; None without any.
 
-    A text is rejected if its similarity to the nearest centroid is below
-    ``slack`` times the least one that the language's sample has to its own:
-    texts of a few words are far from every centroid and still clean.
+    A text is rejected if its similarity to the nearest centroid is below the
+    radius of that centroid's language for its length. The radius is ``slack``
+    times a low quantile of the similarities that pieces of that length, cut from the
+    sample, have to their own language: a few words are far from every centroid and
+    still clean, while a long text of the language never is.
     """
     if not sample:
         return None
-    matrix = np.stack([c for _, c in sample])
+    matrix = np.stack([c for _, c, _ in sample])
     idf = (np.log((1 + len(matrix)) / (1 + (matrix > 0).sum(axis=0))) + 1).astype(np.float32)
-    points, names = vectors(matrix, idf), np.array([lang for lang, _ in sample])
+    points, names = vectors(matrix, idf), np.array([lang for lang, _, _ in sample])
     found, languages, least = [], [], []
     for lang in sorted(set(names.tolist())):
-        own, near = _clusters(points[names == lang], centroids)
+        own = _clusters(points[names == lang], centroids)
         found.extend(own)
         languages += [lang] * len(own)
-        least += [slack * float(near.max(axis=1).min())] * len(own)
+        least += [_radius(idf, own, [c for name, _, c in sample if name == lang], slack)] * len(own)
     return Model(idf, np.stack(found), languages, np.array(least))
 
 
 def _count_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("lang", pa.string()), ("counts", pa.binary())])
+    schema = pa.schema([("lang", pa.string()), ("counts", pa.binary()), ("pieces", pa.binary())])
     for part in parts:
-        pairs = [(lang, counts(text).tobytes()) for lang, text in rows_of(part, "lang", "text")]
-        yield batches({"lang": [p[0] for p in pairs], "counts": [p[1] for p in pairs]}, schema)
+        rows = [(lang, counts(text).tobytes(), pieces(text).astype(np.uint16).tobytes()) for lang, text in rows_of(part, "lang", "text")]
+        yield batches({name: [r[k] for r in rows] for k, name in enumerate(schema.names)}, schema)
 
 
 def learn(docs: DataFrame, lang: Column, text: Column, order: Column, per_language: int = SAMPLE_PER_LANGUAGE, **options) -> Model | None:
@@ -109,9 +139,9 @@ def learn(docs: DataFrame, lang: Column, text: Column, order: Column, per_langua
     keyed = keyed.withColumn("_order", F.coalesce("_order", F.lit("")))
     ids = F.broadcast(chosen.select("lang", "_order").distinct())
     rows = keyed.where(text_has_letter("text")).join(ids, ["lang", "_order"]).dropDuplicates(["lang", "_order"])
-    found = rows.select("lang", "text").mapInArrow(_count_rows, "lang string, counts binary").collect()
-    sample = sorted((r["lang"], bytes(r["counts"])) for r in found)
-    return train([(lang, np.frombuffer(c, np.float32)) for lang, c in sample], **options)
+    found = rows.select("lang", "text").mapInArrow(_count_rows, "lang string, counts binary, pieces binary").collect()
+    sample = sorted((r["lang"], bytes(r["counts"]), bytes(r["pieces"])) for r in found)
+    return train([(lang, np.frombuffer(c, np.float32), np.frombuffer(p, np.uint16).reshape(-1, DIMS)) for lang, c, p in sample], **options)
 
 
 def text_has_letter(name: str) -> Column:
@@ -128,9 +158,10 @@ def _predictions(model: Model | None, keep: list[str], text_col: str):
             if not there:
                 continue
             near = vectors(np.stack([counts(texts[i]) for i in there]), model.idf) @ model.centroids.T
-            best = near.argmax(axis=1)
-            for i, c, score in zip(there, best.tolist(), near.max(axis=1).tolist(), strict=True):
-                out[i] = (model.languages[c], min(1.0, max(0.0, score)), bool(score < model.least[c]))
+            best, top = near.argmax(axis=1), near.max(axis=1)
+            far = model.too_far(top, best, np.array([len(texts[i]) for i in there]))
+            for i, c, score, out_of_reach in zip(there, best.tolist(), top.tolist(), far.tolist(), strict=True):
+                out[i] = (model.languages[c], min(1.0, max(0.0, score)), out_of_reach)
         return out
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,9 +176,10 @@ def _predictions(model: Model | None, keep: list[str], text_col: str):
 def predict(docs: DataFrame, model: Model | None, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` of ``docs`` as struct ``_doc``, with ``_lang``, ``_score`` and ``_rejected``.
 
-    ``_lang`` is the language of the nearest centroid by cosine, ``_score`` that
-    cosine. Null text and text without a letter are ``und`` with score 0;
-    these, and texts farther from the centroid than its radius, are rejected.
+    ``_lang`` is the language of the nearest centroid by cosine (ties: the first
+    language by name), ``_score`` that cosine. Null text and text without a letter are ``und`` with score 0;
+    these, and texts farther from the centroid than its language's radius for
+    their length, are rejected.
     Without a model all are ``und``. Whole texts are read; nothing is shuffled.
     Repeated rows are judged alike; an empty table gives no rows.
     """

@@ -1,7 +1,11 @@
+import math
+import random
+import string
+
 from pyspark.sql import functions as F
 
 from siteledger.llm.common import fold
-from siteledger.llm.langid import drop_unknown, learn, predict
+from siteledger.llm.langid import counts, drop_unknown, learn, predict
 
 
 def order():
@@ -30,9 +34,46 @@ def test_texts_without_letters_are_unknown(corpus, frame):
     assert kept.columns == docs.columns and not {1, 2, 3, 4} & {r["doc_id"] for r in kept.collect()}
 
 
-def test_far_texts_are_rejected(corpus, frame):
-    rows = predict(frame([(1, "日本語のテキスト" * 20), (2, "qzx wqj kkq zzx " * 20)]), model_of(corpus), ["doc_id"]).collect()
-    assert rows[0]["_rejected"]
+RANDOM = random.Random(3)
+FAR = {
+    "another script": "日本語のテキスト" * 20,
+    "random letters": " ".join("".join(RANDOM.choices(string.ascii_lowercase, k=RANDOM.randint(2, 9))) for _ in range(120)),
+    "Finnish": "Suomi on tasavalta Pohjois-Euroopassa ja sen pääkaupunki on Helsinki. Maassa on paljon järviä ja metsiä, ja talvet ovat siellä kylmiä ja pitkiä. "
+    "Ihmiset puhuvat suomea ja ruotsia, ja kesällä monet matkustavat mökille uimaan, saunomaan ja kalastamaan.",
+    "Polish": "Polska jest państwem położonym w Europie Środkowej. Stolicą jest Warszawa, a największe miasta to Kraków, Łódź i Wrocław. Mieszkańcy mówią po polsku.",
+    "C++": "#include <vector>\ntemplate <typename T> class Stack { std::vector<T> items; public: void push(const T& x) { items.push_back(x); } "
+    "T pop() { T x = items.back(); items.pop_back(); return x; } };\nint main() { Stack<int> s; for (int i = 0; i < 10; ++i) s.push(i); return 0; }",
+    "hex dump": " ".join("".join(RANDOM.choices("0123456789abcdef", k=8)) for _ in range(80)),
+}
+NEAR = ["la vie et le", "The weather has been quite nice today and we went for a long walk in the park with our dog before dinner.", "the thing and the other of them " * 30]
+
+
+def test_far_texts_are_rejected_and_near_ones_kept(corpus, frame):
+    model = model_of(corpus)
+    kept = {r["doc_id"] for r in drop_unknown(frame(list(enumerate([*FAR.values(), *NEAR]))), model).collect()}
+    assert {name for i, name in enumerate(FAR) if i in kept} == set()
+    assert kept == set(range(len(FAR), len(FAR) + len(NEAR)))
+
+
+def test_equals_a_plain_search_of_centroids(corpus):
+    model = model_of(corpus)
+    rows = predict(corpus, model, ["doc_id", "text"]).select("_doc.*", "_lang", "_score").collect()
+    centroids = model.centroids.astype(float)
+    for r in rows[::7]:
+        weighed = [math.log1p(c) * w for c, w in zip(counts(r["text"]).tolist(), model.idf.tolist(), strict=True)]
+        length = math.sqrt(math.fsum(w * w for w in weighed))
+        near = [math.fsum(w * c for w, c in zip(weighed, centroid, strict=True) if w) / length for centroid in centroids.tolist()]
+        assert abs(max(near) - r["_score"]) < 1e-4
+        assert max(n for n, lang in zip(near, model.languages, strict=True) if lang == r["_lang"]) > max(near) - 1e-4
+
+
+def test_one_text_in_two_languages_is_a_tie(spark):
+    rows = [(i, "same words here and there", lang) for lang in ("xx", "aa") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = learn(docs, F.col("lang"), F.col("text"), order())
+    found = predict(docs, model, ["doc_id"]).collect()
+    assert set(model.languages) == {"aa", "xx"}
+    assert len(found) == 6 and {(r["_lang"], r["_rejected"]) for r in found} == {("aa", False)}
 
 
 def test_no_labels_and_no_rows(corpus, frame):
