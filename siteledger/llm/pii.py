@@ -21,15 +21,15 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9]", "phone": r"\+[0-9]"}
-# A word with a digit or an at sign.
-CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# Three to five groups of two to four digits parted by blanks, or a word with a digit or an at sign.
+CANDIDATE = r"(?<!\S)(?:\(?[0-9]{2,4}\)?(?:\x20[0-9]{2,4}){2,4}(?=[\s.,;:!?]|$)|[^\s0-9@]*+[0-9@]\S*+)"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 # What a word must look like to be an unseen identifier of a kind.
 LOOKS = {
     "email": r"^[^\s@]+@[^\s@]+$",
     "ip": r"^(?=.*[0-9])[0-9A-Fa-f]*:[0-9A-Fa-f:]*:[0-9A-Fa-f]*$",
     "card": r"^[0-9]{14,19}$",
-    "phone": r"^\(?[0-9](?:[().-]?[0-9]){6,14}$",
+    "phone": r"^\(?[0-9](?:[().-]?[0-9]){6,14}$|^(?=(?:[^0-9]*[0-9]){7,15}$)\(?[0-9]{2,4}\)?(?:\x20[0-9]{2,4}){2,4}$",
 }
 BLOCK = 256
 ROUNDS = 2
@@ -60,13 +60,18 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _starts(pieces: Column, matches: Column) -> Column:
-    """Where each match starts, in code points, from the text before, between and after matches.
+def _sizes(pieces: Column, matches: Column) -> Column:
+    """Lengths of each match and of the text before it."""
+    return F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: F.struct(F.length(p).cast("long").alias("p"), F.length(m).cast("long").alias("m")))
 
-    Running sums go block by block, so a text with a million matches is no square of work.
+
+def _starts(sizes: Column) -> Column:
+    """Where each match starts, in code points.
+
+    Running sums go block by block, so a text with a million matches is no square
+    of work; ``sizes`` has to be a column of its own, as every block is cut from it.
     """
-    sizes = F.zip_with(F.slice(pieces, F.lit(1), F.size(matches)), matches, lambda p, m: F.struct(F.length(p).cast("long").alias("p"), F.length(m).cast("long").alias("m")))
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(matches) - 1) / BLOCK).cast("int")), lambda b: F.slice(sizes, b * BLOCK + 1, BLOCK))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / BLOCK).cast("int")), lambda b: F.slice(sizes, b * BLOCK + 1, BLOCK))
     nothing = F.array().cast("array<bigint>")
 
     def totals(acc: Column, block: Column) -> Column:
@@ -83,13 +88,49 @@ def _starts(pieces: Column, matches: Column) -> Column:
     return F.flatten(F.zip_with(blocks, offsets, within))
 
 
+def _reach(spans: Column) -> Column:
+    """(start, top) of each span in order of start; top is the greatest end so far. Goes block by block like ``_starts``."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / BLOCK).cast("int")), lambda b: F.slice(spans, b * BLOCK + 1, BLOCK))
+    below = F.lit(0).cast("long")
+
+    def tops(acc: Column, block: Column) -> Column:
+        own = F.array_max(F.transform(block, lambda x: x["end"]))
+        return F.struct(F.greatest(acc["top"], own).alias("top"), F.array_append(acc["out"], acc["top"]).alias("out"))
+
+    def within(block: Column, top: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            higher = F.greatest(acc["top"], x["end"])
+            return F.struct(higher.alias("top"), F.array_append(acc["out"], F.struct(x["start"].alias("start"), higher.alias("top"))).alias("out"))
+
+        nothing = F.array().cast("array<struct<start:bigint,top:bigint>>")
+        return F.aggregate(block, F.struct(top.alias("top"), nothing.alias("out")), step, lambda acc: acc["out"])
+
+    before = F.aggregate(blocks, F.struct(below.alias("top"), F.array().cast("array<bigint>").alias("out")), tops, lambda acc: acc["out"])
+    return F.flatten(F.zip_with(blocks, before, within))
+
+
+def _is_free(x: Column, reach: Column) -> Column:
+    """Whether no span overlaps x: the last one to start before its end, found by halving, reaches no farther than its start."""
+
+    def half(acc: Column, _: Column) -> Column:
+        middle = F.shiftright(acc["low"] + acc["high"], 1)
+        before = F.get(reach, middle)["start"] < x["end"]
+        more = acc["low"] < acc["high"]
+        return F.struct(F.when(more & before, middle + 1).otherwise(acc["low"]).alias("low"), F.when(more & ~before, middle).otherwise(acc["high"]).alias("high"))
+
+    halvings = F.sequence(F.lit(0), F.ceil(F.log2(F.size(reach).cast("double"))).cast("int"))
+    count = F.aggregate(halvings, F.struct(F.lit(0).alias("low"), F.size(reach).alias("high")), half, lambda acc: acc["low"])
+    return F.coalesce(F.get(reach, count - 1)["top"] <= x["start"], F.lit(True))
+
+
 def _found(df: DataFrame, name: str, pattern: str, needs: str) -> DataFrame:
     """Adds an array of (start, value, left, right) of all matches of a pattern; left and right are the words next to them."""
     text, there = F.col("_text"), F.col("_text").rlike(needs)
     # Regular expressions run in projections of their own, so nothing reads a text twice.
     df = df.withColumn("_m", F.when(there, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))))
     df = df.withColumn("_p", F.when(F.size("_m") > 0, F.split(text, pattern, -1)))
-    df = df.withColumn("_s", F.when(F.size("_m") > 0, _starts(F.col("_p"), F.col("_m"))))
+    df = df.withColumn("_z", F.when(F.size("_m") > 0, _sizes(F.col("_p"), F.col("_m"))))
+    df = df.withColumn("_s", F.when(F.size("_z") > 0, _starts(F.col("_z"))))
 
     def last(piece: Column) -> Column:
         return F.lower(F.regexp_extract(piece, r"(?<!\S)(\S++)\s*+$", 1))
@@ -104,7 +145,7 @@ def _found(df: DataFrame, name: str, pattern: str, needs: str) -> DataFrame:
         )
 
     none = F.array().cast("array<struct<start:bigint,value:string,left:string,right:string>>")
-    return df.withColumn(name, F.coalesce(F.transform("_s", entry), none)).drop("_m", "_p", "_s")
+    return df.withColumn(name, F.coalesce(F.transform("_s", entry), none)).drop("_m", "_p", "_z", "_s")
 
 
 def _kept(kind: str) -> Column:
@@ -134,11 +175,9 @@ def _scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         value = F.btrim(F.substr(x["value"], front + 1), F.lit("\"'([{<>}]).,;:!?"))
         return F.struct((x["start"] + front).alias("start"), (x["start"] + front + F.length(value)).alias("end"), value.alias("value"), x["left"], x["right"])
 
-    def free(x: Column) -> Column:
-        return ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-
-    df = df.select("_id", "base", F.transform("_words", bare).alias("_bare"))
-    df = df.select("_id", "base", F.filter("_bare", lambda x: (F.length(x["value"]) > 0) & free(x)).alias("candidates"))
+    # Spans that do not overlap are sought by halving, so a text with many spans and words is no square of work.
+    df = df.select("_id", "base", F.transform("_words", bare).alias("_bare"), F.when(F.size("base") > 0, _reach(F.col("base"))).alias("_reach"))
+    df = df.select("_id", "base", F.filter("_bare", lambda x: (F.length(x["value"]) > 0) & _is_free(x, F.col("_reach"))).alias("candidates"))
     return staged(df.withColumn("_row", F.monotonically_increasing_id()))
 
 
@@ -156,7 +195,7 @@ def discovered(scan: DataFrame, rounds: int = ROUNDS, confidence: float = CONFID
     places, with ``support`` places of doubt added, so rare patterns prove
     nothing. A word that looks like a kind is believed as much as its best pattern:
     one side is enough, and neither a common word on the other side nor a rare pair
-    takes from it. Groups of digits parted by blanks are words of their own. After ``rounds`` rounds over the graph of patterns and words,
+    takes from it. A few short groups of digits parted by blanks are one word. After ``rounds`` rounds over the graph of patterns and words,
     words believed by ``confidence`` or more are identifiers wherever they stand.
     """
     seeds = scan.select("_row", F.explode("base").alias("x")).select("_row", "x.start", "x.end", "x.value", "x.left", "x.right", "x.kind")
