@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siteledger.llm.common import fold
-from siteledger.llm.lm_score import MASS, EliasFano, score_documents
+from siteledger.llm.lm_score import MASS, EliasFano, learn_model, score_documents, score_with
 
 
 def plain(rows):
@@ -68,3 +68,43 @@ def test_elias_fano_successor(tmp_path):
         place, found = coded.successor(asked)
         assert (found == np.isin(asked, values)).all()
         assert (place[found] == np.searchsorted(values, asked[found])).all()
+
+
+def test_scores_come_from_stored_tries_alone(spark, corpus, texts, frame):
+    """Learnt once, then asked about other texts; the tries are a stored table and nothing else is kept of the corpus."""
+    model = learn_model(corpus, F.lit(False), shard_bytes=20_000)
+    rows = list(texts.items())
+    other = [(i, " ".join(reversed((t or "").split()))) for i, t in rows[:40]] + [(10**6, "never seen words only"), (10**6 + 1, None)]
+    words, pairs = Counter(), Counter()
+    for _, t in rows:
+        d = [*(t or "").encode().lower().split(), None]
+        words.update(d)
+        pairs.update(zip(["start", *d[:-1]], d, strict=True))
+    got = {r["doc_id"]: r for r in score_with(frame(other), model, F.lit(True)).collect()}
+    assert len(got) == len(other)
+    total = sum(words.values()) + len(words) + 1
+    for i, t in other:
+        d = [*(t or "").encode().lower().split(), None]
+        before = [len(rows), *(words[w] for w in d[:-1])]
+        share = [(words[w] + 1) / total for w in d]
+        want = sum(math.log10((pairs[p] + MASS * s) / (c + MASS)) for p, s, c in zip(zip(["start", *d[:-1]], d, strict=True), share, before, strict=True))
+        assert got[i]["score"] == pytest.approx(want, rel=1e-4, abs=1e-3)
+    tries = spark.read.parquet(*model.tries.inputFiles())
+    assert tries.count() > 10 and tries.select("shard").distinct().count() == tries.count()
+
+
+def test_pairs_of_frequent_words_are_in_many_tries(frame):
+    rows = [(i, " ".join(f"hot w{(i * 31 + k) % 5000}" for k in range(50))) for i in range(400)]
+    model = learn_model(frame(rows), F.lit(False), shard_bytes=4_000)
+    sizes = [len(r["levels"]) for r in model.tries.collect()]
+    assert len(sizes) > 20 and max(sizes) < 6 * sorted(sizes)[len(sizes) // 2]
+    check_rows = {r["doc_id"]: r["score"] for r in score_with(frame(rows), model, F.lit(False)).collect()}
+    assert len(check_rows) == 400 and all(s < 0 for s in check_rows.values())
+
+
+def test_elias_fano_values_at_places():
+    rnd = np.random.default_rng(2)
+    for n, universe in ((1, 1), (5, 6), (100, 120), (1000, 1 << 40), (1000, 5000), (3000, 1 << 62), (2000, 1 << 50)):
+        values = np.sort(rnd.integers(0, universe, n).astype(np.uint64))
+        places = rnd.integers(0, n, 700)
+        assert (EliasFano(values, universe).at(places) == values[places]).all()
