@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from siteledger.operators import staged
 
-from .common import release, text_bytes, token_hashes
+from .common import release, text_bytes, token_hashes, unstage
 
 END = np.uint64(1)
 MASS = 100.0
@@ -25,7 +25,7 @@ LEAST_SHARE, MOST_SHARE = 1000, 100_000
 SHARD_BYTES = 8 << 20
 SLICE_BYTES = 4 << 20
 SLICE_TEXTS = 1 << 16
-CHILD_BITS = np.uint64(40)
+NODE_BITS, CHILD_BITS = np.uint64(48), np.uint64(40)
 _BLOCKS = pa.schema([("shard", pa.int64()), ("part", pa.int64()), ("data", pa.binary())])
 _BLOCK_TYPE = "shard long, part long, data binary"
 _TRIES = pa.schema([("shard", pa.int64()), ("levels", pa.binary())])
@@ -174,7 +174,7 @@ class Trie:
         least, most = (float(weights.min()), float(weights.max())) if len(weights) else (0.0, 0.0)
         step = (most - least) / 65534 or 1.0
         coded = [
-            EliasFano(nodes >> np.uint64(1), 1 << 63),
+            EliasFano(nodes, 1 << int(NODE_BITS)),
             EliasFano(starts.astype(np.uint64), len(owners) + 1),
             EliasFano(totals.astype(np.uint64), int(totals[-1]) + 1),
             EliasFano((owners.astype(np.uint64) << CHILD_BITS) | children, max(1, len(nodes)) << int(CHILD_BITS)),
@@ -184,7 +184,7 @@ class Trie:
 
     def find(self, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of each context (0 if it is not there), and tokens that teach below it here."""
-        place, found = self.nodes.successor(contexts >> np.uint64(1))
+        place, found = self.nodes.successor(contexts)
         rank = np.where(found, place, 0)
         total = (self.totals.at(rank + 1) - self.totals.at(rank)).astype(np.int64) if self.nodes.n else np.zeros(len(rank), np.int64)
         return np.where(found, rank, -1), np.where(found, total, 0)
@@ -226,11 +226,25 @@ class Model:
     known: Known
 
 
+def _nodes(hashes: np.ndarray) -> np.ndarray:
+    """48 bits of a hash, for the contexts of one shard."""
+    return (hashes * np.uint64(0xBF58476D1CE4E5B9)) >> (np.uint64(64) - NODE_BITS)
+
+
 def _children(hashes: np.ndarray) -> np.ndarray:
     """40 bits of a hash, for the words after one context."""
     return (hashes * np.uint64(0xD6E8FEB86659FD93)) >> (np.uint64(64) - CHILD_BITS)
 
 
+def _planes(values: np.ndarray, upper: type) -> list[np.ndarray]:
+    """The low 32 bits of numbers, and the rest in a type of its own."""
+    return [values.astype(np.uint32), (values >> np.uint64(32)).astype(upper)]
+
+
+def _whole(lower: np.ndarray, upper: np.ndarray) -> np.ndarray:
+    return lower.astype(np.uint64) | (upper.astype(np.uint64) << np.uint64(32))
+
+
 def _shard(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) * np.uint64(shards)) >> np.uint64(24)).astype(np.int64)
 
@@ -303,15 +317,14 @@ def _pairs(slots: np.ndarray, end: int, shard: np.ndarray, hot: np.ndarray) -> t
 
 def _blocks(words: np.ndarray, a: np.ndarray, b: np.ndarray, dealt: np.ndarray, starts: np.ndarray, counts: np.ndarray | None) -> Iterator[tuple[int, bytes]]:
     """Per shard its contexts, their numbers of children, the children, and counts if there are any."""
-    contexts, per, child = words[a[starts]], np.diff(np.append(starts, len(a))), _children(words[b])
+    contexts, per, child = _nodes(words[a[starts]]), np.diff(np.append(starts, len(a))), _children(words[b])
     shards, first = np.unique(dealt, return_index=True)
     bounds = np.append(first, len(a))
     of = np.searchsorted(starts, bounds)
     for k, s in enumerate(shards.tolist()):
         mine, here = slice(of[k], of[k + 1]), slice(bounds[k], bounds[k + 1])
         more = [] if counts is None else [_least(counts[here])]
-        lower, upper = child[here].astype(np.uint32), (child[here] >> np.uint64(32)).astype(np.uint8)
-        yield s, _dump(contexts[mine], _least(per[mine]), lower, upper, *more)
+        yield s, _dump(*_planes(contexts[mine], np.uint16), _least(per[mine]), *_planes(child[here], np.uint8), *more)
 
 
 def _rows(out: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -335,24 +348,24 @@ def _learn_rows(known: Known):
 
 def _joined(blocks: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """Distinct contexts of blocks, per pair the rank of its context and the child, and the ranks of each block's contexts."""
-    words, rank = np.unique(np.concatenate([b[0] for b in blocks]), return_inverse=True)
+    lower, upper, per, low_child, high_child = (np.concatenate([b[k] for b in blocks]) for k in range(5))
+    nodes, rank = np.unique(_whole(lower, upper), return_inverse=True)
     ranks = np.split(rank, np.cumsum([len(b[0]) for b in blocks])[:-1])
-    owner = np.concatenate([np.repeat(r, b[1]) for r, b in zip(ranks, blocks, strict=True)])
-    child = np.concatenate([b[2] for b in blocks]).astype(np.uint64) | (np.concatenate([b[3] for b in blocks]).astype(np.uint64) << np.uint64(32))
-    return words, owner, child, ranks
+    return nodes, np.repeat(rank, per), _whole(low_child, high_child), ranks
 
 
 def _build_rows(known: Known):
     def run(table: pa.Table) -> pa.Table:
         """The trie of one shard from all its blocks."""
         blocks = [_load(_bytes(d)) for d in table["data"].to_pylist()]
-        words, owner, child, _ = _joined(blocks)
+        nodes, owner, child, _ = _joined(blocks)
         keys, entry = np.unique((owner.astype(np.uint64) << CHILD_BITS) | child, return_inverse=True)
-        count = np.bincount(entry, np.concatenate([b[4] for b in blocks]))
+        count = np.bincount(entry, np.concatenate([b[5] for b in blocks]))
         owner, child = (keys >> CHILD_BITS).astype(np.int64), keys & ((np.uint64(1) << CHILD_BITS) - np.uint64(1))
-        at = np.minimum(np.searchsorted(known.hot, words), len(known.hot) - 1)
-        total = np.where(known.hot[at] == words, known.counts[at], np.bincount(owner, count, len(words)))
-        levels = Trie.levels(words, owner, child, count, np.log10(count / (total[owner] + known.mass)))
+        hot, order = np.unique(_nodes(known.hot), return_index=True)
+        at = np.minimum(np.searchsorted(hot, nodes), len(hot) - 1)
+        total = np.where(hot[at] == nodes, known.counts[order[at]], np.bincount(owner, count, len(nodes)))
+        levels = Trie.levels(nodes, owner, child, count, np.log10(count / (total[owner] + known.mass)))
         return pa.Table.from_batches([_rows([(table["shard"][0].as_py(), levels)], _TRIES)])
 
     return run
@@ -369,7 +382,8 @@ def _ask_rows(known: Known):
                 ids = rows.column(rows.schema.get_field_index("_id"))
                 frequent = np.flatnonzero(words.hot)
                 low, high = words.slots.astype(np.uint16), _least(words.slots >> 16)
-                stay = _dump(np.array(ids.fill_null(0)), np.array(ids.is_null()), _flags(rows), words.lengths, words.shard, frequent, words.counts[frequent], low, high)
+                there, runs = np.unique(words.shard, return_counts=True)
+                stay = _dump(np.array(ids.fill_null(0)), np.array(ids.is_null()), _flags(rows), words.lengths, there, runs, frequent, words.counts[frequent], low, high)
                 home = struct.pack("<Q", len(stay)) + pa.compress(stay, "zstd", asbytes=True)
                 yield _rows([*((s, uid, d) for s, d in _blocks(words.words, a, b, dealt, starts, None)), (-1 - uid, uid, home)], _BLOCKS)
 
@@ -385,14 +399,14 @@ def _answer_rows(asked: pa.Table, stored: pa.Table) -> pa.Table:
     if not shards or shards[0] < 0:
         return asked.cast(_BLOCKS)
     blocks = [_load(_bytes(d)) for d in data]
-    words, owner, child, ranks = _joined(blocks)
-    counts, codes, scale = np.zeros(len(words), np.int64), np.zeros(len(owner), np.uint16), np.array([0.0, 1.0])
+    nodes, owner, child, ranks = _joined(blocks)
+    counts, codes, scale = np.zeros(len(nodes), np.int64), np.zeros(len(owner), np.uint16), np.array([0.0, 1.0])
     if len(stored):
         with tempfile.TemporaryDirectory() as folder:
             trie = Trie(_mapped(stored["levels"][0].as_py(), folder, "trie"))
-            rank, counts = trie.find(words)
+            rank, counts = trie.find(nodes)
             codes, scale = trie.look_up(rank, owner, child), np.array(trie.scale)
-    per_block = np.split(codes, np.cumsum([len(b[2]) for b in blocks])[:-1])
+    per_block = np.split(codes, np.cumsum([len(b[3]) for b in blocks])[:-1])
     out = [(s, p, _dump(_least(counts[r]), c, scale)) for s, p, r, c in zip(shards, parts, ranks, per_block, strict=True)]
     return pa.Table.from_batches([_rows(out, _BLOCKS)])
 
@@ -406,8 +420,8 @@ def _sum_rows(known: Known) -> Callable[[pa.Table], pa.Table]:
         rows = sorted(zip(table["shard"].to_pylist(), table["data"].to_pylist(), strict=True), key=lambda r: r[0])
         (size,) = struct.unpack_from("<Q", rows[0][1])
         stay = pa.decompress(rows[0][1][8:], size, "zstd", asbytes=True)
-        ids, null, held, lengths, shard, frequent, often, low, high = _load(_bytes(stay))
-        slots, n = low.astype(np.int64) | (high.astype(np.int64) << 16), len(ids)
+        ids, null, held, lengths, there, runs, frequent, often, low, high = _load(_bytes(stay))
+        slots, shard, n = low.astype(np.int64) | (high.astype(np.int64) << 16), np.repeat(there, runs), len(ids)
         hot, counts = np.zeros(len(shard), bool), np.zeros(len(shard), np.int64)
         hot[frequent] = True
         a, b, _, starts, of = _pairs(slots, slots[-1], shard, hot)
@@ -446,6 +460,7 @@ def learn_model(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     often = min(max(shards, LEAST_SHARE), MOST_SHARE)
     frequent = counts.where((F.col("n") * often > tokens) | (F.col("word") == int(END))).toArrow()  # ``often`` rows and the end at most
+    unstage(counts)
     release(spark)
     table = {int(END): 0} | dict(zip(frequent["word"].to_numpy().view(np.uint64).tolist(), frequent["n"].to_pylist(), strict=True))
     hot = np.array(sorted(table), np.uint64)
