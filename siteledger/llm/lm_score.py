@@ -55,6 +55,15 @@ def _bytes(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint8)
 
 
+def _packed(data: bytes) -> bytes:
+    """Entropy-coded bytes behind their length, for what is shuffled or stored."""
+    return struct.pack("<Q", len(data)) + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> bytes:
+    return pa.decompress(data[8:], struct.unpack_from("<Q", data)[0], "zstd", asbytes=True)
+
+
 def _mapped(data: bytes, folder: str, name: str) -> list[np.ndarray]:
     """The arrays of a dump, in a file that is mapped instead of held."""
     path = os.path.join(folder, name)
@@ -366,7 +375,7 @@ def _build_rows(known: Known):
         at = np.minimum(np.searchsorted(hot, nodes), len(hot) - 1)
         total = np.where(hot[at] == nodes, known.counts[order[at]], np.bincount(owner, count, len(nodes)))
         levels = Trie.levels(nodes, owner, child, count, np.log10(count / (total[owner] + known.mass)))
-        return pa.Table.from_batches([_rows([(table["shard"][0].as_py(), levels)], _TRIES)])
+        return pa.Table.from_batches([_rows([(table["shard"][0].as_py(), _packed(levels))], _TRIES)])
 
     return run
 
@@ -384,8 +393,7 @@ def _ask_rows(known: Known):
                 low, high = words.slots.astype(np.uint16), _least(words.slots >> 16)
                 there, runs = np.unique(words.shard, return_counts=True)
                 stay = _dump(np.array(ids.fill_null(0)), np.array(ids.is_null()), _flags(rows), words.lengths, there, runs, frequent, words.counts[frequent], low, high)
-                home = struct.pack("<Q", len(stay)) + pa.compress(stay, "zstd", asbytes=True)
-                yield _rows([*((s, uid, d) for s, d in _blocks(words.words, a, b, dealt, starts, None)), (-1 - uid, uid, home)], _BLOCKS)
+                yield _rows([*((s, uid, d) for s, d in _blocks(words.words, a, b, dealt, starts, None)), (-1 - uid, uid, _packed(stay))], _BLOCKS)
 
     return run
 
@@ -403,11 +411,11 @@ def _answer_rows(asked: pa.Table, stored: pa.Table) -> pa.Table:
     counts, codes, scale = np.zeros(len(nodes), np.int64), np.zeros(len(owner), np.uint16), np.array([0.0, 1.0])
     if len(stored):
         with tempfile.TemporaryDirectory() as folder:
-            trie = Trie(_mapped(stored["levels"][0].as_py(), folder, "trie"))
+            trie = Trie(_mapped(_unpacked(stored["levels"][0].as_py()), folder, "trie"))
             rank, counts = trie.find(nodes)
             codes, scale = trie.look_up(rank, owner, child), np.array(trie.scale)
     per_block = np.split(codes, np.cumsum([len(b[3]) for b in blocks])[:-1])
-    out = [(s, p, _dump(_least(counts[r]), c, scale)) for s, p, r, c in zip(shards, parts, ranks, per_block, strict=True)]
+    out = [(s, p, _packed(_dump(_least(counts[r]), c, scale))) for s, p, r, c in zip(shards, parts, ranks, per_block, strict=True)]
     return pa.Table.from_batches([_rows(out, _BLOCKS)])
 
 
@@ -418,14 +426,12 @@ def _sum_rows(known: Known) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         """Scores of one run of texts: answers come back in the order in which their shards were asked."""
         rows = sorted(zip(table["shard"].to_pylist(), table["data"].to_pylist(), strict=True), key=lambda r: r[0])
-        (size,) = struct.unpack_from("<Q", rows[0][1])
-        stay = pa.decompress(rows[0][1][8:], size, "zstd", asbytes=True)
-        ids, null, held, lengths, there, runs, frequent, often, low, high = _load(_bytes(stay))
+        ids, null, held, lengths, there, runs, frequent, often, low, high = _load(_bytes(_unpacked(rows[0][1])))
         slots, shard, n = low.astype(np.int64) | (high.astype(np.int64) << 16), np.repeat(there, runs), len(ids)
         hot, counts = np.zeros(len(shard), bool), np.zeros(len(shard), np.int64)
         hot[frequent] = True
         a, b, _, starts, of = _pairs(slots, slots[-1], shard, hot)
-        answers = [_load(_bytes(d)) for _, d in rows[1:]]
+        answers = [_load(_bytes(_unpacked(d))) for _, d in rows[1:]]
         counts[a[starts]] = np.concatenate([x[0] for x in answers])
         counts[frequent] = often
         seen = np.concatenate([np.where(c > 0, 10.0 ** (s[0] + s[1] * (c.astype(np.float64) - 1)), 0.0) for _, c, s in answers])
