@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siteledger.operators import staged
+from siteledger.operators.sizing import broadcast_if_small
 
 from .common import numbered
 
@@ -18,7 +19,8 @@ def interleave(
     Rows of a stratum are shuffled by a seeded hash of the id and ranked. Row r
     of n gets the fractional rank (r + 1/2) / n, all rows are sorted by it, and
     the sorted sequence is cut into even pieces, so a piece holds every stratum
-    in proportion. Ranks come from range partitions, so no stratum sits in one task.
+    in proportion. Ranks come from range partitions, so no stratum sits in one task;
+    counts per stratum are broadcast if a check of their size allows.
 
     Result: id, size (bytes + 1), text_crc32, stratum, shard, slot. A null text
     has no bytes, a null stratum is a stratum, null ids and repeated rows are
@@ -36,7 +38,7 @@ def interleave(
     ranked = numbered(small, ["_stratum", "_mix", "_id", "text_crc32"], "_rank")
     strata = ranked.groupBy(F.col("_stratum").alias("_s")).agg(F.count("*").alias("_n"), F.min("_rank").alias("_first"))
     part = ((F.col("_rank") - F.col("_first")) + F.lit(0.5)) / F.col("_n")
-    even = ranked.join(strata, F.col("_stratum").eqNullSafe(F.col("_s"))).withColumn("_part", part).drop("_rank", "_s", "_n", "_first")
+    even = ranked.join(broadcast_if_small(staged(strata)), F.col("_stratum").eqNullSafe(F.col("_s"))).withColumn("_part", part).drop("_rank", "_s", "_n", "_first")
     placed = numbered(even, ["_part", "_stratum", "_mix", "_id", "text_crc32"], "_rank")
     total = small.count()
     shard = F.expr(f"_rank * {shards}L div {max(total, 1)}").cast("int")
