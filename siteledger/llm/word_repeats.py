@@ -16,8 +16,9 @@ from .common import bitmap, in_bitmap, release, rows_of, shingle_hashes, text_by
 from .suffix_dedup import _read as read_texts
 
 WINDOW = 13
-SLICE_BYTES = 8 << 20
-SLICE_WORDS = 1 << 20
+# Runs are short, so that their arrays stay in the processor's cache and a task needs little memory.
+SLICE_BYTES = 1 << 19
+SLICE_WORDS = 1 << 16
 OTHER = np.uint64(0xA24BAED4963EE407)
 
 
@@ -193,7 +194,7 @@ def _kept_rows(window: int, with_text: bool, without: np.ndarray | None = None):
                     np.add.at(edge, starts + window, -1)
                     words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()]
                 kept = b" ".join(words)
-                rows.append((doc, n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode()))
+                rows.append((doc, n, n - len(words), hashlib.sha256(kept).hexdigest(), *([kept.decode()] if with_text else [])))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
 
     return run

@@ -1,7 +1,9 @@
 import hashlib
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import siteledger.llm.word_repeats as module
@@ -92,6 +94,21 @@ def test_long_texts_go_in_runs(frame, monkeypatch):
     assert run(frame, rows) == plain(rows)
 
 
+def test_a_large_batch_takes_little_memory():
+    words = np.array([f"w{i}" for i in range(5000)])
+    rng = np.random.default_rng(5)
+    texts = [" ".join(words[rng.integers(0, 5000, 300)]) for _ in range(5000)]
+    part = pa.RecordBatch.from_arrays([pa.array(range(5000)), pa.array([0] * 5000), pa.array(texts)], names=["_doc", "_t", "_text"])
+    full = np.full(1 << 23, 255, np.uint8)
+    for function in (module._least_rows(13), module._probe_rows(13, full), module._window_rows(13, full, full), module._window_rows(13, full, full, full)):
+        list(function(iter([part.slice(0, 5)])))  # constants
+        tracemalloc.start()
+        assert sum(len(found) for found in function(iter([part]))) > 300_000
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 24 << 20
+
+
 def test_empty_table(frame):
     assert run(frame, []) == []
 
