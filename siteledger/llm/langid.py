@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,7 +12,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import batches, rows_of, texts_of, with_text
+from siteledger.operators import staged
+
+from .common import batches, rows_of, texts_of, unstage, with_text
 
 DIMS = 4096
 SAMPLE_PER_LANGUAGE = 400
@@ -91,34 +94,63 @@ def _radius(idf: np.ndarray, own: np.ndarray, cut: list[np.ndarray], slack: floa
     return (slack * np.quantile(near, QUANTILE, axis=0)).tolist()
 
 
-def train(sample: list[tuple[str, np.ndarray, np.ndarray]], centroids: int = CENTROIDS, slack: float = SLACK) -> Model | None:
-    """Model of (language, counts, counts of pieces) of texts; None without any.
+def _count_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of texts and of their pieces, compressed, as most are 0."""
+    schema = pa.schema([("lang", pa.string()), ("counts", pa.binary()), ("pieces", pa.binary())])
+    for part in parts:
+        rows = [(lang, zlib.compress(counts(text).tobytes(), 1), zlib.compress(pieces(text).astype(np.uint16).tobytes(), 1)) for lang, text in rows_of(part, "lang", "text")]
+        yield batches({name: [r[k] for r in rows] for k, name in enumerate(schema.names)}, schema)
+
+
+def _seen_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts have each of the counts; at ``DIMS``, the number of texts."""
+    seen = np.zeros(DIMS + 1, np.int64)
+    for part in parts:
+        for (packed,) in rows_of(part, "counts"):
+            seen += np.append(np.frombuffer(zlib.decompress(packed), np.float32) > 0, True)
+    places = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(seen[places])], names=["place", "n"])
+
+
+def _fit_rows(idf: np.ndarray, centroids: int, slack: float):
+    def run(table: pa.Table) -> pa.Table:
+        """Centroids and radii of one language."""
+        sample = sorted((zlib.decompress(c), zlib.decompress(p)) for c, p in zip(table["counts"].to_pylist(), table["pieces"].to_pylist(), strict=True))
+        own = _clusters(vectors(np.stack([np.frombuffer(c, np.float32) for c, _ in sample]), idf), centroids)
+        least = _radius(idf, own, [np.frombuffer(p, np.uint16).reshape(-1, DIMS) for _, p in sample], slack)
+        kinds = (pa.string(), pa.binary(), pa.list_(pa.float64()))
+        values = (table["lang"][0].as_py(), own.tobytes(), least)
+        return pa.table([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names=["lang", "centroids", "least"])
+
+    return run
+
+
+def train(sample: DataFrame, centroids: int = CENTROIDS, slack: float = SLACK) -> Model | None:
+    """Model of texts by their language, counts and counts of pieces; None without any.
 
     A text is rejected if its similarity to the nearest centroid is below the
     radius of that centroid's language for its length. The radius is ``slack``
     times a low quantile of the similarities that pieces of that length, cut from the
     sample, have to their own language: a few words are far from every centroid and
     still clean, while a long text of the language never is.
+
+    Each language is fitted in a task. Only the numbers of texts that have each of
+    the counts, and the centroids and radii, reach the driver.
     """
-    if not sample:
+    seen = np.zeros(DIMS + 1, np.int64)
+    for place, n in sample.select("counts").mapInArrow(_seen_rows, "place long, n long").groupBy("place").agg(F.sum("n")).collect():
+        seen[place] = n
+    if not seen[DIMS]:
         return None
-    matrix = np.stack([c for _, c, _ in sample])
-    idf = (np.log((1 + len(matrix)) / (1 + (matrix > 0).sum(axis=0))) + 1).astype(np.float32)
-    points, names = vectors(matrix, idf), np.array([lang for lang, _, _ in sample])
+    idf = (np.log((1 + seen[DIMS]) / (1 + seen[:DIMS])) + 1).astype(np.float32)
+    fitted = sample.groupBy("lang").applyInArrow(_fit_rows(idf, centroids, slack), "lang string, centroids binary, least array<double>")
     found, languages, least = [], [], []
-    for lang in sorted(set(names.tolist())):
-        own = _clusters(points[names == lang], centroids)
-        found.extend(own)
+    for lang, packed, radii in sorted(fitted.collect()):
+        own = np.frombuffer(packed, np.float32).reshape(-1, DIMS)
+        found.append(own)
         languages += [lang] * len(own)
-        least += [_radius(idf, own, [c for name, _, c in sample if name == lang], slack)] * len(own)
-    return Model(idf, np.stack(found), languages, np.array(least))
-
-
-def _count_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("lang", pa.string()), ("counts", pa.binary()), ("pieces", pa.binary())])
-    for part in parts:
-        rows = [(lang, counts(text).tobytes(), pieces(text).astype(np.uint16).tobytes()) for lang, text in rows_of(part, "lang", "text")]
-        yield batches({name: [r[k] for r in rows] for k, name in enumerate(schema.names)}, schema)
+        least += [radii] * len(own)
+    return Model(idf, np.concatenate(found), languages, np.array(least))
 
 
 def learn(docs: DataFrame, lang: Column, text: Column, order: Column, per_language: int = SAMPLE_PER_LANGUAGE, **options) -> Model | None:
@@ -139,9 +171,10 @@ def learn(docs: DataFrame, lang: Column, text: Column, order: Column, per_langua
     keyed = keyed.withColumn("_order", F.coalesce("_order", F.lit("")))
     ids = F.broadcast(chosen.select("lang", "_order").distinct())
     rows = keyed.where(text_has_letter("text")).join(ids, ["lang", "_order"]).dropDuplicates(["lang", "_order"])
-    found = rows.select("lang", "text").mapInArrow(_count_rows, "lang string, counts binary, pieces binary").collect()
-    sample = sorted((r["lang"], bytes(r["counts"]), bytes(r["pieces"])) for r in found)
-    return train([(lang, np.frombuffer(c, np.float32), np.frombuffer(p, np.uint16).reshape(-1, DIMS)) for lang, c, p in sample], **options)
+    sample = staged(rows.select("lang", "text").mapInArrow(_count_rows, "lang string, counts binary, pieces binary"))
+    model = train(sample, **options)
+    unstage(sample)
+    return model
 
 
 def text_has_letter(name: str) -> Column:

@@ -2,8 +2,10 @@ import math
 import random
 import string
 
+import numpy as np
 from pyspark.sql import functions as F
 
+import siteledger.llm.langid as module
 from siteledger.llm.common import fold
 from siteledger.llm.langid import counts, drop_unknown, learn, predict
 
@@ -86,3 +88,32 @@ def test_no_labels_and_no_rows(corpus, frame):
 def test_sample_is_bounded_even_if_ids_repeat(spark):
     docs = spark.createDataFrame([(1, "same text", "en")] * 500 + [(i, "otro texto", "es") for i in range(40)], "doc_id long, text string, lang string")
     assert len(learn(docs, F.col("lang"), F.col("text"), order(), per_language=5).languages) <= 8
+
+
+def test_the_sample_is_fitted_in_tasks_and_only_the_model_reaches_the_driver(corpus, monkeypatch):
+    sent, collect = [], type(corpus).collect
+
+    def collected(df):
+        rows = collect(df)
+        sent.append(sum(len(v) for r in rows for v in r if isinstance(v, bytes | bytearray)))
+        return rows
+
+    monkeypatch.setattr(type(corpus), "collect", collected)
+    model = model_of(corpus)
+    assert len(model.languages) >= 4 and sum(sent) <= model.centroids.nbytes
+
+
+def test_model_equals_a_plain_fit_of_all_texts(corpus):
+    model = model_of(corpus)
+    sample = corpus.where(fold("doc_id", 5) != 0).where("lang IS NOT NULL").where(module.text_has_letter("text")).select("lang", "text").collect()
+    sample = sorted((r["lang"], counts(r["text"]).tobytes(), r["text"]) for r in sample)
+    assert len(sample) > 80
+    matrix = np.stack([counts(text) for _, _, text in sample])
+    idf = (np.log((1 + len(matrix)) / (1 + (matrix > 0).sum(axis=0))) + 1).astype(np.float32)
+    assert np.array_equal(model.idf, idf)
+    for lang in set(model.languages):
+        at = [i for i, row in enumerate(sample) if row[0] == lang]
+        own, here = module._clusters(module.vectors(matrix[at], idf), module.CENTROIDS), [i for i, name in enumerate(model.languages) if name == lang]
+        assert np.allclose(model.centroids[here], own, atol=1e-5)
+        radius = module._radius(idf, own, [module.pieces(sample[i][2]) for i in at], module.SLACK)
+        assert np.allclose(model.least[here], [radius] * len(here), atol=1e-5)
